@@ -35,6 +35,7 @@ from mercatura.plans.products import (
 )
 from mercatura.plans.sales import (
     delivered_items,
+    fold_to_orders,
     growth_report,
     latest_months,
     monthly_sales,
@@ -45,11 +46,10 @@ from mercatura.plans.sales import (
     with_growth,
 )
 from mercatura.plans.sellers import METRICS, seller_metrics, seller_performance
-from mercatura.schema import Tables
-from mercatura.session import checkpointed, scratch_path, tune
+from mercatura.session import scratch_path, tune
 from mercatura.sources import star_sample
 from mercatura.sources.csv_files import read_clean, read_plain, write_csv
-from mercatura.sources.star_sample import DELIVERED
+from mercatura.sources.star_sample import DELIVERED, StarSample
 from mercatura.streaming import append_available, daily_sales, stream_parquet
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -60,11 +60,11 @@ MANY_ORDERS = 590
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return star_sample.tables(tune(spark), sf_dir)
+def _tables(spark: SparkSession, sf_dir: str) -> StarSample:
+    return StarSample(tune(spark), sf_dir)
 
 
-def _on_tables(build: Callable[[Tables], DataFrame]) -> Query:
+def _on_tables(build: Callable[[StarSample], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(_tables(spark, sf_dir))
 
 
@@ -75,56 +75,56 @@ def _rounded(df: DataFrame, places: int, *names: str) -> DataFrame:
 # Reports -----------------------------------------------------------------------------------
 
 
-def _sales(t: Tables) -> DataFrame:
+def _sales(t: StarSample) -> DataFrame:
     return sales_patterns(t.orders, t.order_items, DELIVERED)
 
 
-def _time(t: Tables) -> DataFrame:
+def _time(t: StarSample) -> DataFrame:
     return time_metrics(t.orders, t.order_items, DELIVERED)
 
 
-def _behavior(t: Tables) -> DataFrame:
+def _behavior(t: StarSample) -> DataFrame:
     return customer_behavior(t.customers, t.orders, t.order_items)
 
 
-def _products(t: Tables, **options) -> DataFrame:
+def _products(t: StarSample, **options) -> DataFrame:
     return product_performance(
         t.products, t.order_items, t.order_reviews, t.category_translation, **options
     )
 
 
-def _categories(t: Tables, **options) -> DataFrame:
+def _categories(t: StarSample, **options) -> DataFrame:
     return category_analysis(
         t.products, t.order_items, t.order_reviews, t.category_translation, **options
     )
 
 
-def _sellers(t: Tables, **options) -> DataFrame:
-    # The sellers table bounds the report; counting it decides how the quintiles are ranked.
+def _sellers(t: StarSample, **options) -> DataFrame:
+    # The size of the sellers table decides how the quintiles are ranked.
     return seller_performance(
         t.sellers,
         t.order_items,
         t.orders,
         t.order_reviews,
-        rows_at_most=t.sellers.count(),
+        rows_at_most=t.sellers_at_most,
         **options,
     )
 
 
-def _seller_revenue(t: Tables) -> DataFrame:
+def _seller_revenue(t: StarSample) -> DataFrame:
     return seller_metrics(t.sellers, t.order_items, t.orders, t.order_reviews)
 
 
 # Joins, aggregates, windows, scalars ---------------------------------------------------------
 
 
-def _join_orders_items(t: Tables) -> DataFrame:
+def _join_orders_items(t: StarSample) -> DataFrame:
     return ordered_items(
         t.orders, t.order_items, ["customer_id", "order_status"], ["order_item_id", "price"]
     )
 
 
-def _left_join_reviews(t: Tables) -> DataFrame:
+def _left_join_reviews(t: StarSample) -> DataFrame:
     """What the row-multiplying left join holds per order and product."""
     folded = t.order_items.groupBy("order_id", "product_id").agg(
         F.sum("price").alias("price"), F.count(F.lit(1)).alias("rows")
@@ -142,29 +142,29 @@ def _left_join_reviews(t: Tables) -> DataFrame:
     )
 
 
-def _count_distinct(t: Tables) -> DataFrame:
+def _count_distinct(t: StarSample) -> DataFrame:
     return t.order_items.groupBy("seller_id").agg(
         F.count_distinct("order_id").alias("orders"),
         F.count_distinct("product_id").alias("products"),
     )
 
 
-def _window_lag(t: Tables) -> DataFrame:
+def _window_lag(t: StarSample) -> DataFrame:
     monthly = monthly_sales(t.orders, t.order_items, DELIVERED).select("month", "revenue")
     return with_growth(monthly).select("month", "revenue", "prev_month_revenue")
 
 
 def _window_ntile(value: str, name: str, distributed: bool) -> Query:
-    def build(t: Tables) -> DataFrame:
+    def build(t: StarSample) -> DataFrame:
         rows = _seller_revenue(t).select("seller_id", value)
         order = [F.col(value).desc_nulls_first(), F.col("seller_id").asc_nulls_last()]
-        bound = None if distributed else t.sellers.count()
+        bound = None if distributed else t.sellers_at_most
         return ntile(rows, 5, order, name, rows_at_most=bound)
 
     return _on_tables(build)
 
 
-def _elapsed(t: Tables) -> DataFrame:
+def _elapsed(t: StarSample) -> DataFrame:
     joined = ordered_items(
         t.orders,
         t.order_items,
@@ -182,7 +182,7 @@ def _elapsed(t: Tables) -> DataFrame:
     )
 
 
-def _safe_ratio(t: Tables) -> DataFrame:
+def _safe_ratio(t: StarSample) -> DataFrame:
     """Freight is 0 for untaxed items, so some denominators are."""
     return t.order_items.select(
         "order_id", "order_item_id", ratio("price", "freight_value").alias("price_per_freight")
@@ -192,7 +192,7 @@ def _safe_ratio(t: Tables) -> DataFrame:
 # Cleaning and loading ------------------------------------------------------------------------
 
 
-def _text_dates(t: Tables) -> DataFrame:
+def _text_dates(t: StarSample) -> DataFrame:
     """Orders as a text file would hold them: blank dates, and one column that cannot parse."""
     bought = F.col("order_purchase_timestamp").cast("string")
     return t.orders.select(
@@ -223,7 +223,7 @@ def _ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_clean(spark, path, None, infer=True)
 
 
-def _dedupe(t: Tables) -> DataFrame:
+def _dedupe(t: StarSample) -> DataFrame:
     items = t.order_items.select(
         "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"
     )
@@ -233,7 +233,7 @@ def _dedupe(t: Tables) -> DataFrame:
     )
 
 
-def _validation_rules(t: Tables) -> DataFrame:
+def _validation_rules(t: StarSample) -> DataFrame:
     items = quality.validate(
         t.order_items,
         {
@@ -268,7 +268,7 @@ def _stream_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{folder}/facts",
         f"{folder}/checkpoint",
     )
-    return growth_report(monthly_totals(facts))
+    return growth_report(monthly_totals(fold_to_orders(facts)))
 
 
 def _stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,20 +282,17 @@ def _stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.select("day", F.col("revenue").cast("double").alias("revenue"), "items")
 
 
-def _seller_describe(t: Tables) -> DataFrame:
-    stored = checkpointed(_sellers(t))
-    return _rounded(describe(stored, METRICS, rows_at_most=t.sellers.count()), 4, *METRICS)
+def _seller_describe(t: StarSample) -> DataFrame:
+    return _rounded(describe(_sellers(t), METRICS, rows_at_most=t.sellers_at_most), 4, *METRICS)
 
 
-def _rating_box(t: Tables) -> DataFrame:
-    stored = checkpointed(_sellers(t))
-    box = plots.rating_box(stored, rows_at_most=t.sellers.count())
+def _rating_box(t: StarSample) -> DataFrame:
+    box = plots.rating_box(_sellers(t), rows_at_most=t.sellers_at_most)
     return _rounded(box, 6, "q1", "median", "q3", "whisker_low", "whisker_high")
 
 
-def _rating_outliers(t: Tables) -> DataFrame:
-    stored = checkpointed(_sellers(t))
-    return plots.rating_outliers(stored, rows_at_most=t.sellers.count())
+def _rating_outliers(t: StarSample) -> DataFrame:
+    return plots.rating_outliers(_sellers(t), rows_at_most=t.sellers_at_most)
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -1,7 +1,9 @@
 from mercatura.functions.exact import (
     MICROS_PER_DAY,
     MICROS_PER_HOUR,
+    WHOLE,
     elapsed_micros,
+    epoch_micros,
     exact,
     mean,
     month_of,
@@ -13,7 +15,9 @@ from mercatura.functions.exact import (
 __all__ = [
     "MICROS_PER_DAY",
     "MICROS_PER_HOUR",
+    "WHOLE",
     "elapsed_micros",
+    "epoch_micros",
     "exact",
     "mean",
     "month_of",

@@ -59,3 +59,8 @@ def month_of(column: Column | str) -> Column:
 def elapsed_micros(start: Column | str, end: Column | str) -> Column:
     """Whole microseconds from ``start`` to ``end``; negative if they are the other way round."""
     return F.timestamp_diff("MICROSECOND", _column(start), _column(end))
+
+
+def epoch_micros(column: Column | str) -> Column:
+    """A zoneless timestamp as microseconds since 1970."""
+    return elapsed_micros(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), column)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercatura.operators.quantiles import exact_quantiles
+from mercatura.operators.ranking import fits_one_task
+from mercatura.session import checkpointed
 
 STATISTICS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
 QUARTILES = (0.25, 0.5, 0.75)
@@ -18,50 +20,87 @@ def describe(
 ) -> DataFrame:
     """Statistics as rows (``statistic``), described columns as columns.
 
-    Standard deviation is the sample one; quartiles are exact, interpolated linearly.
+    Standard deviation is the sample one; quartiles are exact, interpolated linearly. Within
+    the one-task bound everything is one aggregation. Beyond it the values are stored once
+    and then read for the moments and for the distributed quartiles.
     """
-    long = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
-                    for c in columns
-                ]
-            )
-        )
-    )
-    bound = None if rows_at_most is None else rows_at_most * len(columns)
-    moments = long.groupBy("metric").agg(
+    values = [
+        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
+        for c in columns
+    ]
+    long = df.select(F.inline(F.array(*values)))
+    moments = [
         F.count("value").cast("double").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(long, "metric", "value", QUARTILES, rows_at_most=bound)
-    per_metric = moments.join(quartiles.drop("n"), "metric", "left").select(
-        "metric",
-        F.array(
-            "count",
-            "mean",
-            "std",
-            "min",
-            F.col("quantiles")[0],
-            F.col("quantiles")[1],
-            F.col("quantiles")[2],
-            "max",
-        ).alias("values"),
-    )
+    ]
+    if fits_one_task(None if rows_at_most is None else rows_at_most * len(columns)):
+        points = F.array(*[F.lit(q) for q in QUARTILES])
+        found = long.groupBy("metric").agg(
+            *moments, F.percentile("value", points).alias("quantiles")
+        )
+    else:
+        long = checkpointed(long)
+        found = (
+            long.groupBy("metric")
+            .agg(*moments)
+            .join(exact_quantiles(long, "metric", "value", QUARTILES), "metric", "left")
+        )
+    cells = [F.col(c) for c in ("count", "mean", "std", "min")]
+    cells += [F.col("quantiles")[i] for i in range(len(QUARTILES))]
+    cells.append(F.col("max"))
     # One row per described column up to here; turn them around.
-    by_statistic = per_metric.select(
+    turned = found.select(
         "metric",
-        F.posexplode(F.arrays_zip(F.array(*[F.lit(s) for s in STATISTICS]).alias("s"), "values")),
-    ).select("metric", F.col("pos"), F.col("col.s").alias("statistic"), F.col("col.values").alias("v"))
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(i).alias("place"), F.lit(s).alias("statistic"), v.alias("value"))
+                    for i, (s, v) in enumerate(zip(STATISTICS, cells))
+                ]
+            )
+        ),
+    )
     return (
-        by_statistic.groupBy("pos", "statistic")
-        .agg(*[F.max(F.when(F.col("metric") == c, F.col("v"))).alias(c) for c in columns])
-        .orderBy("pos")
-        .drop("pos")
+        turned.groupBy("place", "statistic")
+        .agg(*[F.max(F.when(F.col("metric") == c, F.col("value"))).alias(c) for c in columns])
+        .orderBy("place")
+        .drop("place")
+    )
+
+
+def _with_fences(
+    df: DataFrame, group: str, value: str, keep: Sequence[str], rows_at_most: int | None
+) -> DataFrame:
+    """Rows with a value, each with its group's quartiles and the fences 1.5 IQR beyond them."""
+    known = df.where(F.col(value).isNotNull()).select(*keep, group, value)
+    if fits_one_task(rows_at_most):
+        whole = Window.partitionBy(group)
+        points = F.array(*[F.lit(q) for q in QUARTILES])
+        placed = known.withColumns(
+            {
+                "n": F.count(F.lit(1)).over(whole),
+                "quantiles": F.percentile(value, points).over(whole),
+            }
+        )
+    else:
+        known = checkpointed(known)
+        # A handful of groups: the quartiles are that many rows.
+        quartiles = F.broadcast(exact_quantiles(known, group, value, QUARTILES))
+        placed = known.join(quartiles, group)
+    q1, median, q3 = (F.col("quantiles")[i] for i in range(len(QUARTILES)))
+    reach = (q3 - q1) * 1.5
+    return placed.select(
+        *keep,
+        group,
+        value,
+        "n",
+        q1.alias("q1"),
+        median.alias("median"),
+        q3.alias("q3"),
+        F.col(value).between(q1 - reach, q3 + reach).alias("inside"),
     )
 
 
@@ -70,12 +109,10 @@ def box_stats(
 ) -> DataFrame:
     """Quartiles, whiskers (last points inside 1.5 IQR) and outlier count per group.
 
-    NULL values are dropped. ``df`` is read twice: hand in a stored frame if it is costly.
+    NULL values are dropped. The groups must be few, as in a chart.
     """
-    bounds = box_bounds(df, group, value, rows_at_most=rows_at_most)
-    inside = F.col(value).between(F.col("low_fence"), F.col("high_fence"))
-    # A handful of groups: the bounds are that many rows.
-    placed = df.where(F.col(value).isNotNull()).select(group, value).join(F.broadcast(bounds), group)
+    placed = _with_fences(df, group, value, [], rows_at_most)
+    inside = F.col("inside")
     return placed.groupBy(group, "n", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),
         F.max(F.when(inside, F.col(value))).alias("whisker_high"),
@@ -83,29 +120,9 @@ def box_stats(
     )
 
 
-def box_bounds(
-    df: DataFrame, group: str, value: str, *, rows_at_most: int | None = None
-) -> DataFrame:
-    """Quartiles per group and the fences 1.5 IQR beyond them."""
-    quartiles = exact_quantiles(df, group, value, QUARTILES, rows_at_most=rows_at_most)
-    q1, median, q3 = (F.col("quantiles")[i] for i in range(3))
-    reach = (q3 - q1) * 1.5
-    return quartiles.select(
-        group,
-        "n",
-        q1.alias("q1"),
-        median.alias("median"),
-        q3.alias("q3"),
-        (q1 - reach).alias("low_fence"),
-        (q3 + reach).alias("high_fence"),
-    )
-
-
 def box_outliers(
     df: DataFrame, group: str, value: str, key: str, *, rows_at_most: int | None = None
 ) -> DataFrame:
     """The rows a box plot draws as single points."""
-    bounds = box_bounds(df, group, value, rows_at_most=rows_at_most)
-    outside = (F.col(value) < F.col("low_fence")) | (F.col(value) > F.col("high_fence"))
-    rows = df.where(F.col(value).isNotNull()).select(key, group, value)
-    return rows.join(F.broadcast(bounds), group).where(outside).select(key, group, value)
+    placed = _with_fences(df, group, value, [key], rows_at_most)
+    return placed.where(~F.col("inside")).select(key, group, value)

@@ -7,31 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercatura.operators.ranking import fits_one_task, global_rank
+from mercatura.operators.ranking import global_rank
 
 
 def exact_quantiles(
-    df: DataFrame,
-    group: str,
-    value: str,
-    probabilities: Sequence[float],
-    *,
-    rows_at_most: int | None = None,
+    df: DataFrame, group: str, value: str, probabilities: Sequence[float]
 ) -> DataFrame:
     """One row per group: ``group``, ``n`` and ``quantiles``, an array in the order asked for.
 
     NULL values are left out. The built-in exact ``percentile`` keeps every distinct value of
-    a group in one buffer, so it only runs within a proven row bound. Beyond it the values
-    are ranked by (group, value) across all tasks and the two neighbours of each quantile are
-    picked by rank. The number of groups must be small (metrics, tiles).
+    a group in one buffer. Here the values are ranked by (group, value) across all tasks, and
+    the two neighbours of each quantile are picked by rank. The groups must be few.
     """
-    known = df.where(F.col(value).isNotNull()).select(group, F.col(value).cast("double").alias(value))
-    if fits_one_task(rows_at_most):
-        points = F.array(*[F.lit(float(p)) for p in probabilities])
-        return known.groupBy(group).agg(
-            F.count(F.lit(1)).alias("n"), F.percentile(value, points).alias("quantiles")
-        )
-
+    known = df.where(F.col(value).isNotNull()).select(
+        group, F.col(value).cast("double").alias(value)
+    )
     ranked = global_rank(known, [F.col(group).asc(), F.col(value).asc()], "_rank")
     groups = ranked.groupBy(group).agg(
         F.count(F.lit(1)).alias("n"), F.min("_rank").alias("_first")

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercatura.operators.cleaning import parse_dates
 from mercatura.operators.describe import describe
 from mercatura.operators.quality import (
     date_range,
@@ -26,9 +27,9 @@ from mercatura.plans.sales import latest_months, sales_patterns, time_metrics
 from mercatura.plans.sellers import METRICS, seller_performance
 from mercatura.schema import FREE_TEXT_TABLES, SCHEMAS, Tables
 from mercatura.session import tune
-from mercatura.sources.csv_files import load_files
+from mercatura.sources.csv_files import clean_table, load_files
 from mercatura.sources.layout import write_layout
-from mercatura.sources.tables import bundle, replace_folder
+from mercatura.sources.tables import bundle, qualified, replace_folder
 
 log = logging.getLogger(__name__)
 
@@ -103,13 +104,10 @@ def validation(tables: Tables) -> DataFrame:
 
 
 def quality_report(raw: Mapping[str, DataFrame], clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Null profile of the raw and the cleaned table, duplicates of its key, date ranges."""
-    report = {}
+    """NULLs before and after the text fill, NULLs as stored, duplicate keys, date ranges."""
+    report = {f"null_reduction/{name}": null_reduction(df) for name, df in raw.items()}
     for name, df in clean.items():
-        before = raw.get(name, df)
-        report[f"nulls_raw/{name}"] = null_profile(before)
-        report[f"nulls_clean/{name}"] = null_profile(df)
-        report[f"null_reduction/{name}"] = null_reduction(before)
+        report[f"nulls/{name}"] = null_profile(df)
         report[f"incomplete/{name}"] = incomplete_row_profile(df)
         if name in KEYS:
             report[f"duplicates/{name}"] = duplicate_count(df, KEYS[name])
@@ -173,22 +171,25 @@ def run(
 ) -> dict[str, DataFrame]:
     """Run everything and write it under ``out_dir``; returns the written reports.
 
-    Tables are stored once, as parquet folders or (with ``buckets``) bucketed catalog tables,
-    and the reports read the stored form, so no report parses CSV again.
+    Every CSV lands as parquet first. Cleaning, profiles and reports read that, so no file is
+    parsed again. With ``buckets`` the cleaned tables become catalog tables bucketed for the
+    joins; otherwise they are parquet folders.
     """
     tune(spark)
     out = out_dir.rstrip("/")
-    options = {"on_missing": on_missing, "free_text": FREE_TEXT_TABLES}
-    raw = load_files(spark, paths, SCHEMAS, clean=False, **options)
-    loaded = load_files(spark, paths, SCHEMAS, clean=True, **options) if clean else raw
+    read = load_files(spark, paths, SCHEMAS, on_missing=on_missing, free_text=FREE_TEXT_TABLES)
+    raw = {}
+    for name, df in read.items():
+        replace_folder(df, f"{out}/raw/{name}")
+        raw[name] = spark.read.parquet(f"{out}/raw/{name}")
+    loaded = {name: clean_table(df) if clean else parse_dates(df) for name, df in raw.items()}
     if buckets is None:
         for name, df in loaded.items():
             replace_folder(df, f"{out}/tables/{name}")
         stored = {name: spark.read.parquet(f"{out}/tables/{name}") for name in loaded}
     else:
         write_layout(loaded, buckets, database)
-        prefix = "" if database is None else f"{database}."
-        stored = {name: spark.table(f"{prefix}{name}") for name in loaded}
+        stored = {name: spark.table(qualified(name, database)) for name in loaded}
 
     tables = bundle(stored)
     for name, df in quality_report(raw, stored).items():

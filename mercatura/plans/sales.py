@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from mercatura.functions import (
     MICROS_PER_DAY,
+    WHOLE,
     elapsed_micros,
+    epoch_micros,
     exact,
     mean,
     month_of,
@@ -17,6 +19,9 @@ from mercatura.functions import (
     total,
 )
 
+PURCHASED = "order_purchase_timestamp"
+DELIVERED_AT = "order_delivered_customer_date"
+
 
 def ordered_items(
     orders: DataFrame,
@@ -27,9 +32,9 @@ def ordered_items(
 ) -> DataFrame:
     """Items joined to their orders, with the named columns of each side.
 
-    A column in ``dates`` may sit on either table; the order's wins. Neither side is
-    aggregated first: both enter the join straight from a shuffle (or a broadcast, if small
-    enough), which is what lets AQE split a hot ``order_id`` on whichever side it occurs.
+    A column in ``dates`` may sit on either table; the order's wins. Both sides enter the
+    join straight from a shuffle (or a broadcast, if small enough), which is what lets AQE
+    split a hot ``order_id`` on whichever side it occurs.
     """
     on_order = [c for c in dates if c in orders.columns]
     on_item = [c for c in dates if c not in orders.columns]
@@ -47,34 +52,103 @@ def delivered_items(
         items.withColumns(
             {"price": exact(items, "price"), "freight_value": exact(items, "freight_value")}
         ),
-        ["customer_id", "order_purchase_timestamp"],
+        ["customer_id", PURCHASED],
         ["price", "freight_value"],
-        ["order_delivered_customer_date"],
+        [DELIVERED_AT],
     )
 
 
-def monthly_totals(facts: DataFrame) -> DataFrame:
-    """Per month of purchase: distinct orders and customers, exact sums, delivery time.
+def item_sums(items: DataFrame) -> DataFrame:
+    """One row per order: number of items, price and freight, and delivery dates if items have any.
 
-    Behind the join the rows are partitioned by order already, so folding them to one row
-    per order needs no shuffle; only those rows take part in the distinct counts.
+    Runs before the join, so that an order with very many items is one row in it. The shuffle
+    is the one the join needs anyway.
+    """
+    sums = [
+        F.count(F.lit(1)).cast(WHOLE).alias("items"),
+        F.sum(exact(items, "price")).alias("price"),
+        F.sum(exact(items, "freight_value")).alias("freight_value"),
+    ]
+    if DELIVERED_AT in items.columns:
+        sums += [
+            total(epoch_micros(DELIVERED_AT)).alias("delivered_micros"),
+            F.count(DELIVERED_AT).cast(WHOLE).alias("delivered_items"),
+        ]
+    return items.groupBy("order_id").agg(*sums)
+
+
+def order_sales(orders: DataFrame, items: DataFrame, delivered: str = "delivered") -> DataFrame:
+    """Delivered orders that have items, with the sums over them.
+
+    ``micros`` adds up the delivery time once per item, ``timed`` counts the items that have
+    one. Dates on the order hold for each of its items.
     """
-    per_order = (
-        facts.withColumn("month", month_of("order_purchase_timestamp"))
-        .withColumn(
-            "micros", elapsed_micros("order_purchase_timestamp", "order_delivered_customer_date")
+    on_order = DELIVERED_AT in orders.columns
+    bought = orders.where(F.col("order_status") == delivered).select(
+        "order_id", "customer_id", PURCHASED, *([DELIVERED_AT] if on_order else [])
+    )
+    if on_order:
+        taken = elapsed_micros(PURCHASED, DELIVERED_AT).cast(WHOLE)
+        micros = taken * F.col("items")
+        timed = F.when(taken.isNotNull(), F.col("items"))
+    else:
+        start = epoch_micros(PURCHASED).cast(WHOLE)
+        micros = F.col("delivered_micros") - F.col("delivered_items") * start
+        timed = F.when(start.isNotNull(), F.col("delivered_items"))
+    kept = items.drop(DELIVERED_AT) if on_order else items
+    return (
+        item_sums(kept)
+        .join(bought, "order_id")
+        .select(
+            "order_id",
+            "customer_id",
+            month_of(PURCHASED).alias("month"),
+            "price",
+            "freight_value",
+            micros.alias("micros"),
+            timed.alias("timed"),
+        )
+    )
+
+
+def fold_to_orders(facts: DataFrame) -> DataFrame:
+    """The rows of ``order_sales`` from a table of delivered items."""
+    return (
+        facts.withColumns(
+            {"month": month_of(PURCHASED), "micros": elapsed_micros(PURCHASED, DELIVERED_AT)}
         )
-        .groupBy("order_id", "month", "customer_id")
+        .groupBy("order_id", "customer_id", "month")
         .agg(
             F.sum("price").alias("price"),
             F.sum("freight_value").alias("freight_value"),
             total("micros").alias("micros"),
-            F.count("micros").alias("timed"),
+            F.count("micros").cast(WHOLE).alias("timed"),
+        )
+    )
+
+
+def monthly_totals(per_order: DataFrame) -> DataFrame:
+    """Per month of purchase: distinct orders and customers, exact sums, delivery time.
+
+    One row of each order is marked per month, on the partitioning the join left behind.
+    Counting marks replaces a second distinct count: the data is folded once, to one row per
+    month and customer, and never multiplied.
+    """
+    in_month = Window.partitionBy("order_id", "month").orderBy("customer_id")
+    per_customer = (
+        per_order.withColumn("first", F.row_number().over(in_month) == 1)
+        .groupBy("month", "customer_id")
+        .agg(
+            F.count_if("first").alias("orders"),
+            F.sum("price").alias("price"),
+            F.sum("freight_value").alias("freight_value"),
+            F.sum("micros").alias("micros"),
+            F.sum("timed").alias("timed"),
         )
     )
-    return per_order.groupBy("month").agg(
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("customer_id").alias("customers"),
+    return per_customer.groupBy("month").agg(
+        F.sum("orders").alias("orders"),
+        F.count("customer_id").alias("customers"),
         F.sum("price").cast("double").alias("revenue"),
         F.sum("freight_value").cast("double").alias("freight"),
         (mean(F.sum("micros"), F.sum("timed")) / F.lit(MICROS_PER_DAY)).alias("delivery_days"),
@@ -82,7 +156,7 @@ def monthly_totals(facts: DataFrame) -> DataFrame:
 
 
 def monthly_sales(orders: DataFrame, items: DataFrame, delivered: str = "delivered") -> DataFrame:
-    return monthly_totals(delivered_items(orders, items, delivered))
+    return monthly_totals(order_sales(orders, items, delivered))
 
 
 def sales_patterns(orders: DataFrame, items: DataFrame, delivered: str = "delivered") -> DataFrame:

@@ -83,9 +83,14 @@ def read_clean(
     date_formats: Sequence[str] = (),
 ) -> DataFrame:
     """``read_plain``, then text NULLs filled with ``''``, then date columns parsed."""
-    df = read_plain(
+    plain = read_plain(
         spark, path, schema, multi_line=multi_line, na_tokens=na_tokens, infer=infer
     )
+    return clean_table(plain, date_formats)
+
+
+def clean_table(df: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
+    """Fill text NULLs with ``''``, then parse the date columns; blank dates end up NULL."""
     return parse_dates(fill_text(df), formats=date_formats)
 
 
@@ -124,16 +129,14 @@ def load_files(
     files: Mapping[str, str],
     schemas: Mapping[str, T.StructType],
     *,
-    clean: bool = True,
     on_missing: str = "error",
     free_text: frozenset[str] = frozenset(),
 ) -> dict[str, DataFrame]:
-    """Read a map of table name to path. Skipped files are absent from the result."""
-    read = read_clean if clean else read_plain
+    """Read a map of table name to path, uncleaned. Skipped files are absent from the result."""
     loaded = {}
     for name, path in files.items():
         df = read_or_skip(
-            read,
+            read_plain,
             spark,
             path,
             on_missing,

@@ -6,10 +6,12 @@ the ship date and sit on the items; the status keeps its raw value, with "F" for
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.schema import FREIGHT, PRICE, Tables
+from mercatura.schema import FREIGHT, PRICE
 
 DELIVERED = "F"
 
@@ -50,29 +52,71 @@ def _raw_category() -> Column:
     return F.concat_ws(" ", "p_name", "p_brand")
 
 
-def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    part = read(spark, sf_dir, "part")
-    return Tables(
-        customers=read(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("customer_state")),
-        orders=orders(read(spark, sf_dir, "orders")),
-        order_items=order_items(read(spark, sf_dir, "lineitem")),
-        products=part.select(
-            F.col("p_partkey").alias("product_id"),
-            F.when(F.col("p_brand") != UNNAMED_BRAND, _raw_category()).alias(
-                "product_category_name"
-            ),
-        ),
-        sellers=read(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(F.col("s_suppkey").alias("seller_id"), F.col("n_name").alias("seller_state")),
-        order_reviews=read(spark, sf_dir, "events").select(
+class StarSample:
+    """The report inputs, each read when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark = spark
+        self._dir = sf_dir
+
+    def _read(self, name: str) -> DataFrame:
+        return read(self._spark, self._dir, name)
+
+    def _nation(self) -> DataFrame:
+        return self._read("nation").select("n_nationkey", "n_name")
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        in_nation = F.col("c_nationkey") == F.col("n_nationkey")
+        return (
+            self._read("customer")
+            .join(self._nation(), in_nation)
+            .select(
+                F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("customer_state")
+            )
+        )
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return orders(self._read("orders"))
+
+    @cached_property
+    def order_items(self) -> DataFrame:
+        return order_items(self._read("lineitem"))
+
+    @cached_property
+    def products(self) -> DataFrame:
+        named = F.when(F.col("p_brand") != UNNAMED_BRAND, _raw_category())
+        return self._read("part").select(
+            F.col("p_partkey").alias("product_id"), named.alias("product_category_name")
+        )
+
+    @cached_property
+    def sellers(self) -> DataFrame:
+        in_nation = F.col("s_nationkey") == F.col("n_nationkey")
+        return (
+            self._read("supplier")
+            .join(self._nation(), in_nation)
+            .select(F.col("s_suppkey").alias("seller_id"), F.col("n_name").alias("seller_state"))
+        )
+
+    @cached_property
+    def sellers_at_most(self) -> int:
+        """Bound on the sellers: the join to nations adds none. Read from parquet footers."""
+        return self._read("supplier").count()
+
+    @cached_property
+    def order_reviews(self) -> DataFrame:
+        return self._read("events").select(
             F.floor(F.col("event_id") / 2).alias("order_id"),
             (F.col("user_id") % 5 + 1).cast("int").alias("review_score"),
-        ),
-        category_translation=part.where(F.col("p_type").isin(*TRANSLATED_TYPES))
-        .groupBy(_raw_category().alias("product_category_name"))
-        .agg(F.min("p_name").alias("product_category_name_english")),
-    )
+        )
+
+    @cached_property
+    def category_translation(self) -> DataFrame:
+        return (
+            self._read("part")
+            .where(F.col("p_type").isin(*TRANSLATED_TYPES))
+            .groupBy(_raw_category().alias("product_category_name"))
+            .agg(F.min("p_name").alias("product_category_name_english"))
+        )

@@ -12,21 +12,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercatura.functions import elapsed_micros, month_of
+from mercatura.functions import epoch_micros, month_of
 from mercatura.plans.sales import delivered_items
 
 
-def _epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def _instant(column: str) -> Column:
     """A zoneless timestamp read as UTC; watermarks need an instant."""
-    return F.timestamp_micros(elapsed_micros(_epoch(), column))
+    return F.timestamp_micros(epoch_micros(column))
 
 
 def _zoneless(column: Column) -> Column:
-    return F.timestamp_add("MICROSECOND", F.unix_micros(column), _epoch())
+    return F.timestamp_add("MICROSECOND", F.unix_micros(column), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def stream_parquet(

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from mercatura.functions import (
     MICROS_PER_DAY,
     MICROS_PER_HOUR,
-    elapsed_micros,
-    mean,
+    elapsed,
+    micros,
     month_of,
     ratio,
 )
@@ -172,13 +172,13 @@ def _elapsed(t: StarSample) -> DataFrame:
         ["order_item_id", "product_id"],
         ["order_delivered_carrier_date"],
     )
-    micros = elapsed_micros("order_purchase_timestamp", "order_delivered_carrier_date")
+    taken = micros(elapsed("order_purchase_timestamp", "order_delivered_carrier_date")).cast("double")
     return joined.select(
         "order_id",
         "order_item_id",
         "product_id",
-        (micros.cast("double") / F.lit(MICROS_PER_DAY)).alias("days"),
-        (micros.cast("double") / F.lit(MICROS_PER_HOUR)).alias("hours"),
+        (taken / F.lit(MICROS_PER_DAY)).alias("days"),
+        (taken / F.lit(MICROS_PER_HOUR)).alias("hours"),
     )
 
 

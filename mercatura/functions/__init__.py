@@ -2,13 +2,15 @@ from mercatura.functions.exact import (
     MICROS_PER_DAY,
     MICROS_PER_HOUR,
     WHOLE,
-    elapsed_micros,
-    epoch_micros,
+    elapsed,
     exact,
     mean,
+    mean_elapsed,
+    micros,
     month_of,
     percent,
     ratio,
+    since_epoch,
     total,
 )
 
@@ -16,12 +18,14 @@ __all__ = [
     "MICROS_PER_DAY",
     "MICROS_PER_HOUR",
     "WHOLE",
-    "elapsed_micros",
-    "epoch_micros",
+    "elapsed",
     "exact",
     "mean",
+    "mean_elapsed",
+    "micros",
     "month_of",
     "percent",
     "ratio",
+    "since_epoch",
     "total",
 ]

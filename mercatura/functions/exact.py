@@ -16,6 +16,9 @@ MICROS_PER_DAY = 86_400_000_000.0
 # Holds any 64-bit whole number; sums of it widen to 30 digits.
 WHOLE = "decimal(20,0)"
 
+# Seconds to the microsecond, for any two dates of the calendar.
+SECONDS = "decimal(18,6)"
+
 
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -56,11 +59,25 @@ def month_of(column: Column | str) -> Column:
     return F.trunc(column, "month").cast("timestamp_ntz")
 
 
-def elapsed_micros(start: Column | str, end: Column | str) -> Column:
-    """Whole microseconds from ``start`` to ``end``; negative if they are the other way round."""
-    return F.timestamp_diff("MICROSECOND", _column(start), _column(end))
+def elapsed(start: Column | str, end: Column | str) -> Column:
+    """Seconds from ``start`` to ``end`` as decimal, to the microsecond; may be negative.
+
+    Between zoneless timestamps this is a difference of wall clocks in any session zone. The
+    type holds the whole calendar.
+    """
+    return (_column(end) - _column(start)).cast("interval second").cast(SECONDS)
+
+
+def since_epoch(column: Column | str) -> Column:
+    """A zoneless timestamp as seconds since 1970."""
+    return elapsed(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), column)
+
+
+def micros(seconds: Column | str) -> Column:
+    """Decimal seconds as a whole number of microseconds, still decimal."""
+    return _column(seconds) * F.lit(1_000_000)
 
 
-def epoch_micros(column: Column | str) -> Column:
-    """A zoneless timestamp as microseconds since 1970."""
-    return elapsed_micros(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), column)
+def mean_elapsed(summed: Column | str, counted: Column | str, micros_per_unit: float) -> Column:
+    """Average duration in the unit given, from an exact sum of seconds and its count."""
+    return mean(micros(summed), counted) / F.lit(micros_per_unit)

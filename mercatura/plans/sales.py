@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 from mercatura.functions import (
     MICROS_PER_DAY,
     WHOLE,
-    elapsed_micros,
-    epoch_micros,
+    elapsed,
     exact,
-    mean,
+    mean_elapsed,
     month_of,
     ratio,
-    total,
+    since_epoch,
 )
 
 PURCHASED = "order_purchase_timestamp"
@@ -71,7 +70,7 @@ def item_sums(items: DataFrame) -> DataFrame:
     ]
     if DELIVERED_AT in items.columns:
         sums += [
-            total(epoch_micros(DELIVERED_AT)).alias("delivered_micros"),
+            F.sum(since_epoch(DELIVERED_AT)).alias("delivered_seconds"),
             F.count(DELIVERED_AT).cast(WHOLE).alias("delivered_items"),
         ]
     return items.groupBy("order_id").agg(*sums)
@@ -80,7 +79,7 @@ def item_sums(items: DataFrame) -> DataFrame:
 def order_sales(orders: DataFrame, items: DataFrame, delivered: str = "delivered") -> DataFrame:
     """Delivered orders that have items, with the sums over them.
 
-    ``micros`` adds up the delivery time once per item, ``timed`` counts the items that have
+    ``seconds`` adds up the delivery time once per item, ``timed`` counts the items that have
     one. Dates on the order hold for each of its items.
     """
     on_order = DELIVERED_AT in orders.columns
@@ -88,12 +87,12 @@ def order_sales(orders: DataFrame, items: DataFrame, delivered: str = "delivered
         "order_id", "customer_id", PURCHASED, *([DELIVERED_AT] if on_order else [])
     )
     if on_order:
-        taken = elapsed_micros(PURCHASED, DELIVERED_AT).cast(WHOLE)
-        micros = taken * F.col("items")
+        taken = elapsed(PURCHASED, DELIVERED_AT)
+        seconds = taken * F.col("items")
         timed = F.when(taken.isNotNull(), F.col("items"))
     else:
-        start = epoch_micros(PURCHASED).cast(WHOLE)
-        micros = F.col("delivered_micros") - F.col("delivered_items") * start
+        start = since_epoch(PURCHASED)
+        seconds = F.col("delivered_seconds") - F.col("delivered_items") * start
         timed = F.when(start.isNotNull(), F.col("delivered_items"))
     kept = items.drop(DELIVERED_AT) if on_order else items
     return (
@@ -105,7 +104,7 @@ def order_sales(orders: DataFrame, items: DataFrame, delivered: str = "delivered
             month_of(PURCHASED).alias("month"),
             "price",
             "freight_value",
-            micros.alias("micros"),
+            seconds.alias("seconds"),
             timed.alias("timed"),
         )
     )
@@ -115,14 +114,14 @@ def fold_to_orders(facts: DataFrame) -> DataFrame:
     """The rows of ``order_sales`` from a table of delivered items."""
     return (
         facts.withColumns(
-            {"month": month_of(PURCHASED), "micros": elapsed_micros(PURCHASED, DELIVERED_AT)}
+            {"month": month_of(PURCHASED), "seconds": elapsed(PURCHASED, DELIVERED_AT)}
         )
         .groupBy("order_id", "customer_id", "month")
         .agg(
             F.sum("price").alias("price"),
             F.sum("freight_value").alias("freight_value"),
-            total("micros").alias("micros"),
-            F.count("micros").cast(WHOLE).alias("timed"),
+            F.sum("seconds").alias("seconds"),
+            F.count("seconds").cast(WHOLE).alias("timed"),
         )
     )
 
@@ -142,7 +141,7 @@ def monthly_totals(per_order: DataFrame) -> DataFrame:
             F.count_if("first").alias("orders"),
             F.sum("price").alias("price"),
             F.sum("freight_value").alias("freight_value"),
-            F.sum("micros").alias("micros"),
+            F.sum("seconds").alias("seconds"),
             F.sum("timed").alias("timed"),
         )
     )
@@ -151,7 +150,7 @@ def monthly_totals(per_order: DataFrame) -> DataFrame:
         F.count("customer_id").alias("customers"),
         F.sum("price").cast("double").alias("revenue"),
         F.sum("freight_value").cast("double").alias("freight"),
-        (mean(F.sum("micros"), F.sum("timed")) / F.lit(MICROS_PER_DAY)).alias("delivery_days"),
+        mean_elapsed(F.sum("seconds"), F.sum("timed"), MICROS_PER_DAY).alias("delivery_days"),
     )
 
 

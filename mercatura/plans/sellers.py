@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercatura.functions import MICROS_PER_HOUR, elapsed_micros, exact, mean, total
+from mercatura.functions import MICROS_PER_HOUR, elapsed, exact, mean, mean_elapsed
 from mercatura.operators.fanout import COUNT, weighted, weighted_scores, with_review_weight
 from mercatura.operators.ranking import ntile
 from mercatura.plans.sales import PURCHASED, ordered_items
@@ -49,12 +49,12 @@ def seller_metrics(
         [SHIPPED_AT],
     )
     per_order = (
-        facts.withColumn("micros", elapsed_micros(PURCHASED, SHIPPED_AT))
+        facts.withColumn("seconds", elapsed(PURCHASED, SHIPPED_AT))
         .groupBy("order_id", "seller_id")
         .agg(
             F.sum("price").alias("price"),
-            total("micros").alias("micros"),
-            F.count("micros").cast(COUNT).alias("timed"),
+            F.sum("seconds").alias("seconds"),
+            F.count("seconds").cast(COUNT).alias("timed"),
             F.count(F.lit(1)).alias("rows"),
         )
     )
@@ -65,7 +65,7 @@ def seller_metrics(
         weighted("price").alias("price"),
         score_sum.alias("score_sum"),
         scores.alias("scores"),
-        weighted("micros").alias("micros"),
+        weighted("seconds").alias("seconds"),
         weighted("timed").alias("timed"),
     )
     # An inner join, though a semi join would do: AQE can split both of its sides.
@@ -85,7 +85,7 @@ def seller_metrics(
         "unique_products",
         (F.col("price") * F.col("copies")).cast("double").alias("revenue"),
         mean("score_sum", "scores").alias("avg_rating"),
-        (mean("micros", "timed") / F.lit(MICROS_PER_HOUR)).alias("avg_shipping_time"),
+        mean_elapsed("seconds", "timed", MICROS_PER_HOUR).alias("avg_shipping_time"),
     )
 
 

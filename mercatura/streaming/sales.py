@@ -12,13 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercatura.functions import epoch_micros, month_of
+from mercatura.functions import micros, month_of, since_epoch
 from mercatura.plans.sales import delivered_items
 
 
 def _instant(column: str) -> Column:
     """A zoneless timestamp read as UTC; watermarks need an instant."""
-    return F.timestamp_micros(epoch_micros(column))
+    return F.timestamp_micros(micros(since_epoch(column)).cast("long"))
 
 
 def _zoneless(column: Column) -> Column:

@@ -31,24 +31,21 @@ def _category_totals(
 ) -> DataFrame:
     """Per category: products sold, orders, revenue, and sums for the means.
 
-    Repeated product rows are folded to a count before they meet the items, and items to one
-    row per order and category before they meet the reviews, so an order holds no more rows
-    than there are categories. The number of products needs no orders: it comes from the
-    distinct product ids of the items, most of which fold on the map side.
+    Items meet the products straight from a shuffle (or a broadcast), so that AQE can split a
+    hot product. They are folded to one row per order and category before they meet the
+    reviews: an order holds no more rows than there are categories. The number of products
+    needs no orders. It comes from the distinct product ids of the items, most of which fold
+    on the map side.
     """
-    named = (
-        product_categories(products, translation)
-        .groupBy("product_id", "category")
-        .agg(F.count(F.lit(1)).cast(COUNT).alias("copies"))
-    )
+    named = product_categories(products, translation).select("product_id", "category")
     sold = (
         items.select("order_id", "product_id", exact(items, "price").alias("price"))
         .join(named, "product_id")
         .groupBy("order_id", "category")
         .agg(
-            F.sum(F.col("price") * F.col("copies")).alias("price"),
-            F.sum(F.when(F.col("price").isNotNull(), F.col("copies"))).alias("prices"),
-            F.sum("copies").alias("rows"),
+            F.sum("price").alias("price"),
+            F.count("price").cast(COUNT).alias("prices"),
+            F.count(F.lit(1)).alias("rows"),
         )
     )
     reviewed = with_review_weight(sold, reviews, one_review_per_order=one_review_per_order)
@@ -56,16 +53,16 @@ def _category_totals(
     money = reviewed.groupBy("category").agg(
         F.count("order_id").alias("orders"),
         weighted("price").alias("price"),
-        F.coalesce(weighted("prices"), F.lit(0)).alias("prices"),
+        weighted("prices").alias("prices"),
         score_sum.alias("score_sum"),
         scores.alias("scores"),
     )
     on_sale = items.select("product_id").distinct()
     counted = (
-        named.join(on_sale, "product_id", "left_semi")
-        .groupBy("category")
+        named.distinct()
+        .join(on_sale, "product_id", "left_semi")
+        .groupBy(F.col("category").alias("_category"))
         .agg(F.count_distinct("product_id").alias("products"))
-        .withColumnRenamed("category", "_category")
     )
     return money.join(counted, F.col("category").eqNullSafe(F.col("_category"))).drop("_category")
 

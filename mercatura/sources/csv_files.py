@@ -28,11 +28,15 @@ class EmptyCsvError(ValueError):
     """The file holds no header."""
 
 
-def read_text_csv(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
+def read_text_csv(
+    spark: SparkSession, path: str, *, multi_line: bool = False, pad_rows: bool = False
+) -> DataFrame:
     """Read a CSV with a header; every column is text.
 
     Doubled quotes are one quote. A quoted line break needs ``multi_line``, which makes each
-    file one task; leave it off for files without free text so that they split.
+    file one task; leave it off for files without free text so that they split. A row of the
+    wrong length raises when it is read; with ``pad_rows`` short rows are filled with NULL
+    and long ones lose what has no header.
     """
     df = (
         spark.read.option("header", True)
@@ -41,7 +45,7 @@ def read_text_csv(spark: SparkSession, path: str, *, multi_line: bool = False) -
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("encoding", "UTF-8")
-        .option("mode", "FAILFAST")
+        .option("mode", "PERMISSIVE" if pad_rows else "FAILFAST")
         .csv(path)
     )
     if not df.columns:
@@ -57,13 +61,15 @@ def read_plain(
     multi_line: bool = False,
     na_tokens: Sequence[str] = NA_TOKENS,
     infer: bool = False,
+    pad_rows: bool = False,
 ) -> DataFrame:
     """CSV with missing-value tokens as NULL and the schema's columns typed.
 
     Date columns stay text here, whatever the schema says; ``read_clean`` parses them.
     Columns outside the schema stay text unless ``infer`` is set.
     """
-    df = null_tokens(read_text_csv(spark, path, multi_line=multi_line), na_tokens)
+    text = read_text_csv(spark, path, multi_line=multi_line, pad_rows=pad_rows)
+    df = null_tokens(text, na_tokens)
     known = {} if schema is None else {f.name: f.dataType for f in schema.fields}
     dates = set(date_columns(df))
     df = cast_if_clean(df, {c: t for c, t in known.items() if c in df.columns and c not in dates})
@@ -80,11 +86,18 @@ def read_clean(
     multi_line: bool = False,
     na_tokens: Sequence[str] = NA_TOKENS,
     infer: bool = False,
+    pad_rows: bool = False,
     date_formats: Sequence[str] = (),
 ) -> DataFrame:
     """``read_plain``, then text NULLs filled with ``''``, then date columns parsed."""
     plain = read_plain(
-        spark, path, schema, multi_line=multi_line, na_tokens=na_tokens, infer=infer
+        spark,
+        path,
+        schema,
+        multi_line=multi_line,
+        na_tokens=na_tokens,
+        infer=infer,
+        pad_rows=pad_rows,
     )
     return clean_table(plain, date_formats)
 

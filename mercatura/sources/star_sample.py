@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from mercatura.schema import FREIGHT, PRICE
 
@@ -21,8 +22,15 @@ UNNAMED_BRAND = "Brand#13"
 TRANSLATED_TYPES = ("PROMO", "SMALL")
 
 
+# Schema of each path, read from a footer once per process.
+_schemas: dict[str, StructType] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def orders(source: DataFrame) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercatura import session
+from mercatura.functions import elapsed, month_of, since_epoch
 from mercatura.plans import job
+from mercatura.plans.products import category_analysis
 from mercatura.plans.sales import delivered_items, fold_to_orders, monthly_sales, monthly_totals
 from mercatura.schema import SCHEMAS
 from mercatura.sources import layout, tables
@@ -87,6 +89,8 @@ def test_ragged_rows_raise(spark, tmp_path):
     file.write_text("a,b\n1,2\n1,2,3\n")
     with pytest.raises(Exception, match="MALFORMED"):
         read_text_csv(spark, str(file)).collect()
+    file.write_text("a,b\n1,2\n3\n1,2,3\n")
+    assert rows(read_plain(spark, str(file), pad_rows=True)) == [("1", "2"), ("3", None), ("1", "2")]
 
 
 def test_missing_and_empty_files(spark, tmp_path):
@@ -133,6 +137,28 @@ def test_bundle_needs_all_but_the_optional_tables(spark):
         tables.bundle({**frames, "sellers": None})
 
 
+def test_catalog_and_folders_hold_the_tables(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS catalogued")
+    required = SCHEMAS.keys() - tables.OPTIONAL_TABLES
+    for name in required:
+        df = spark.createDataFrame([], SCHEMAS[name])
+        tables.replace_table(df, name, "catalogued")
+        tables.replace_folder(df, f"{tmp_path}/{name}")
+    for found in (tables.catalog_tables(spark, "catalogued"), tables.folder_tables(spark, str(tmp_path))):
+        assert found.items().keys() == required
+        # Without a translation table the category report falls back to the raw names.
+        report = category_analysis(
+            found.products, found.order_items, found.order_reviews, found.category_translation
+        )
+        assert rows(report) == []
+    tables.replace_table(
+        spark.createDataFrame([], SCHEMAS["category_translation"]), "category_translation", "catalogued"
+    )
+    assert tables.catalog_tables(spark, "catalogued").category_translation is not None
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        tables.folder_tables(spark, f"{tmp_path}/nowhere")
+
+
 def sample_orders(spark, n=1000):
     orders = spark.range(n).select(
         F.col("id").cast("string").alias("order_id"),
@@ -316,6 +342,27 @@ def test_job_skips_missing_optional_files(spark, tmp_path):
     assert {r[0] for r in rows(reports["product_performance"])} == {"brinquedos", ""}
 
 
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    from mercatura import __main__ as command
+
+    write_shop(tmp_path / "data")
+    (tmp_path / "data" / "sellers_dataset.csv").rename(tmp_path / "data" / "shops.csv")
+    monkeypatch.setattr(command, "session", lambda: spark)
+    command.main([str(tmp_path / "data"), str(tmp_path / "out"), "--file", "sellers=shops.csv"])
+    assert "toys" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        command.main([str(tmp_path / "data"), str(tmp_path / "out"), "--file", "nonsense"])
+
+
+def test_durations_do_not_depend_on_the_session_zone(spark, conf):
+    # Midnight of 2017-10-15 does not exist on the clocks of São Paulo.
+    days = spark.sql("SELECT timestamp_ntz'2017-10-15 00:30:00' AS a, timestamp_ntz'2017-10-15 02:00:00.000001' AS b")
+    for zone in ("UTC", "America/Sao_Paulo"):
+        conf(spark__sql__session__timeZone=zone)
+        (got,) = rows(days.select(elapsed("a", "b"), since_epoch("a"), month_of("a")))
+        assert got == (Decimal("5400.000001"), Decimal("1508027400.000000"), ts("2017-10-01"))
+
+
 # The driver contract ----------------------------------------------------------------------------------------------
 
 

@@ -55,6 +55,28 @@ def incomplete_row_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def column_profile(df: DataFrame) -> DataFrame:
+    """``null_profile`` and ``incomplete_row_profile`` side by side, in one pass."""
+    complete = reduce(Column.__and__, [_quoted(c).isNotNull() for c in df.columns])
+    counts = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count(F.when(complete, 1)).alias("_complete"),
+        *[F.count(_quoted(c)).alias(f"_{i}") for i, c in enumerate(df.columns)],
+    )
+    rows = F.col("_rows")
+    return _as_rows(
+        counts,
+        [
+            F.struct(
+                F.lit(c).alias("column_name"),
+                percent(rows - F.col(f"_{i}"), rows).alias("null_percentage"),
+                percent(rows - F.col("_complete"), rows).alias("incomplete_row_percentage"),
+            )
+            for i, c in enumerate(df.columns)
+        ],
+    )
+
+
 def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows beyond the first of each key, as the one-row column ``duplicate_count``.
 
@@ -74,6 +96,26 @@ def date_range(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def date_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``date_range`` of several columns of one type, as rows, in one pass."""
+    ends = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.min(_quoted(c)).alias(f"_min_{i}") for i, c in enumerate(columns)],
+        *[F.max(_quoted(c)).alias(f"_max_{i}") for i, c in enumerate(columns)],
+    )
+    return _as_rows(
+        ends,
+        [
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.col(f"_min_{i}").alias("min_date"),
+                F.col(f"_max_{i}").alias("max_date"),
+            )
+            for i, c in enumerate(columns)
+        ],
+    )
+
+
 def null_reduction(df: DataFrame) -> DataFrame:
     """Null percentage of each column before and after filling text columns with ``''``."""
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercatura.operators.ranking import global_rank
+from mercatura.operators.ranking import partition_offsets
+from mercatura.session import checkpointed
 
 
 def exact_quantiles(
@@ -16,37 +17,65 @@ def exact_quantiles(
     """One row per group: ``group``, ``n`` and ``quantiles``, an array in the order asked for.
 
     NULL values are left out. The built-in exact ``percentile`` keeps every distinct value of
-    a group in one buffer. Here the values are ranked by (group, value) across all tasks, and
-    the two neighbours of each quantile are picked by rank. The groups must be few.
+    a group in one buffer. Here equal values are folded to a count, the counts are sorted by
+    (group, value) across all tasks and summed up, and the two neighbours of each quantile
+    are picked by position. The groups must be few; the values may be any number, and any
+    share of them may be equal.
     """
-    known = df.where(F.col(value).isNotNull()).select(
-        group, F.col(value).cast("double").alias(value)
+    counted = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(group, F.col(value).cast("double").alias(value))
+        .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    ranked = global_rank(known, [F.col(group).asc(), F.col(value).asc()], "_rank")
-    groups = ranked.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"), F.min("_rank").alias("_first")
+    placed = checkpointed(
+        counted.orderBy(group, value).withColumn("_part", F.spark_partition_id())
     )
-    # Fractional 0-based position of each quantile inside its group.
+    inside = (
+        Window.partitionBy("_part").orderBy(group, value).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    # One row per partition of the sort.
+    offsets = F.broadcast(partition_offsets(placed, F.sum("_rows")))
+    summed = placed.withColumn("_inside", F.coalesce(F.sum("_rows").over(inside), F.lit(0))).join(
+        offsets, "_part"
+    )
+    positions = summed.select(
+        group, value, "_rows", (F.col("_offset") + F.col("_inside")).alias("_before")
+    )
+
+    points = F.array(*[F.lit(float(p)) for p in probabilities])
+    groups = positions.groupBy(group).agg(
+        F.sum("_rows").alias("n"), F.min("_before").alias("_first")
+    )
+    # For each quantile its fractional position in the group, and the rows next to it.
     wanted = groups.select(
         group,
         "n",
-        "_first",
-        F.posexplode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("_no", "_p"),
-    ).withColumn("_position", F.col("_p") * (F.col("n") - 1))
-    below = F.floor("_position")
-    neighbours = wanted.select(
+        F.transform(
+            points,
+            lambda p, i: F.struct(
+                i.alias("no"),
+                (p * (F.col("n") - 1)).alias("position"),
+                (F.col("_first") + F.floor(p * (F.col("n") - 1))).alias("low"),
+                (F.col("_first") + F.ceil(p * (F.col("n") - 1))).alias("high"),
+            ),
+        ).alias("_wanted"),
+    )
+
+    def holds(rank):
+        return (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_rows"))
+
+    # One row per group.
+    near = positions.join(F.broadcast(wanted), group).select(
         group,
         "n",
-        "_no",
-        (F.col("_position") - below).alias("_fraction"),
-        F.explode(F.array(below, F.ceil("_position"))).alias("_offset"),
-        (F.col("_first") + F.col("_offset")).alias("_rank"),
-    )
-    # Two rows per group and quantile, whatever the size of the data.
-    found = ranked.select("_rank", value).join(F.broadcast(neighbours), "_rank")
-    points = found.groupBy(group, "n", "_no", "_fraction").agg(
+        value,
+        F.explode(F.filter("_wanted", lambda w: holds(w["low"]) | holds(w["high"]))).alias("_w"),
+    )
+    fraction = F.col("_w.position") - F.floor("_w.position")
+    found = near.groupBy(group, "n", F.col("_w.no").alias("_no"), fraction.alias("_fraction")).agg(
         F.min(value).alias("_low"), F.max(value).alias("_high")
     )
     quantile = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_fraction")
+    # As many entries per group as quantiles were asked for.
     listed = F.sort_array(F.collect_list(F.struct("_no", quantile.alias("q"))))
-    return points.groupBy(group, "n").agg(F.transform(listed, lambda s: s["q"]).alias("quantiles"))
+    return found.groupBy(group, "n").agg(F.transform(listed, lambda s: s["q"]).alias("quantiles"))

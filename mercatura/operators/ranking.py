@@ -22,6 +22,20 @@ def fits_one_task(rows_at_most: int | None) -> bool:
     return rows_at_most is not None and rows_at_most <= SINGLE_TASK_ROWS
 
 
+def partition_offsets(placed: DataFrame, size: Column) -> DataFrame:
+    """Per sort partition (``_part``): ``_offset``, the size of all before it, and ``_all``."""
+    sizes = placed.groupBy("_part").agg(size.alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    return sizes.select(
+        "_part",
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
+        F.sum("_size").over(everything).alias("_all"),
+    )
+
+
 def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
     """Add the 0-based position in the total order, and the number of rows as ``rank_total``.
 
@@ -38,16 +52,7 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> D
             "_row": F.col("_at").bitwiseAND(F.lit(_ID_MASK)),
         }
     )
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_part").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    offsets = sizes.select(
-        "_part",
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_size").over(everything).alias("_all"),
-    )
+    offsets = partition_offsets(placed, F.count(F.lit(1)))
     # One row per partition of the sort: never more than the shuffle has partitions.
     return placed.join(F.broadcast(offsets), "_part").select(
         *[F.col(c) for c in df.columns],

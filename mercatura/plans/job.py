@@ -8,14 +8,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercatura.operators.cleaning import parse_dates
 from mercatura.operators.describe import describe
 from mercatura.operators.quality import (
-    date_range,
+    column_profile,
+    date_ranges,
     duplicate_count,
-    incomplete_row_profile,
-    null_profile,
     null_reduction,
     validate,
     validate_reference,
@@ -103,17 +103,18 @@ def validation(tables: Tables) -> DataFrame:
     return joined.select("table_name", "rule", "checked_rows", "passed_rows", "pass_rate")
 
 
-def quality_report(raw: Mapping[str, DataFrame], clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def quality_report(
+    raw: Mapping[str, DataFrame], clean: Mapping[str, DataFrame]
+) -> dict[str, DataFrame]:
     """NULLs before and after the text fill, NULLs as stored, duplicate keys, date ranges."""
     report = {f"null_reduction/{name}": null_reduction(df) for name, df in raw.items()}
     for name, df in clean.items():
-        report[f"nulls/{name}"] = null_profile(df)
-        report[f"incomplete/{name}"] = incomplete_row_profile(df)
+        report[f"columns/{name}"] = column_profile(df)
         if name in KEYS:
             report[f"duplicates/{name}"] = duplicate_count(df, KEYS[name])
-        for f in df.schema.fields:
-            if f.dataType.typeName().startswith("timestamp"):
-                report[f"date_range/{name}.{f.name}"] = date_range(df, f.name)
+        dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+        if dates:
+            report[f"date_ranges/{name}"] = date_ranges(df, dates)
     return report
 
 

@@ -102,6 +102,17 @@ def test_exact_quantiles_are_those_of_pandas(spark, values):
         assert r["quantiles"] == pytest.approx(expected)
 
 
+def test_quantiles_of_equal_values_are_not_gathered(spark):
+    # A third of the rows are equal; they are folded before the sort.
+    df = spark.range(30000).select(
+        F.lit("g").alias("g"), F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("v")
+    )
+    points = [0.0, 0.2, 1 / 3, 0.5, 1.0]
+    (got,) = exact_quantiles(df, "g", "v", points).collect()
+    expected = df.agg(F.percentile("v", F.array(*[F.lit(p) for p in points]))).first()[0]
+    assert got["n"] == 30000 and got["quantiles"] == pytest.approx(expected)
+
+
 @pytest.mark.parametrize("bound", [100, None])
 def test_describe_is_that_of_pandas(spark, bound):
     frame = pd.DataFrame({"k": list("abcdef"), "x": [1, 2, 3, 10, None, 4], "y": [5, 5, 5, 5, 5, 7]})
@@ -154,6 +165,12 @@ def test_incomplete_rows_repeat_for_each_column(profiled):
     assert rows(quality.incomplete_row_profile(profiled.limit(0))) == []
 
 
+def test_column_profile_is_both(profiled):
+    both = {r[0]: r[1:] for r in rows(quality.column_profile(profiled))}
+    assert both == {"k": (0.0, 75.0), "s": (25.0, 75.0), "x": (50.0, 75.0)}
+    assert rows(quality.column_profile(profiled.limit(0))) == []
+
+
 @slow
 @given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.text(max_size=2))), min_size=1, max_size=20))
 def test_null_profile_is_that_of_pandas(spark, values):
@@ -190,6 +207,10 @@ def test_date_range(spark):
     df = spark.createDataFrame([(ts("2017-02-01"),), (None,), (ts("2016-12-31"),)], "d timestamp_ntz")
     assert rows(quality.date_range(df, "d")) == [(ts("2016-12-31"), ts("2017-02-01"))]
     assert rows(quality.date_range(df.limit(0), "d")) == [(None, None)]
+    two = df.withColumn("e", F.lit(None).cast("timestamp_ntz"))
+    assert rows(quality.date_ranges(two, ["d", "e"])) == [
+        ("d", ts("2016-12-31"), ts("2017-02-01")), ("e", None, None),
+    ]
 
 
 def test_null_reduction(profiled):

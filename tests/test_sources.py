@@ -322,8 +322,11 @@ def test_job(spark, tmp_path, buckets, capsys):
     assert rows(read(f"{out}/quality/duplicates/orders")) == [(0,)]
     reduction = {r[0]: r[1:] for r in rows(read(f"{out}/quality/null_reduction/products"))}
     assert reduction["product_category_name"] == (pytest.approx(200 / 7), 0.0)
-    nulls = dict(rows(read(f"{out}/quality/nulls/orders")))
-    assert nulls["order_delivered_customer_date"] == 10.0 and nulls["order_status"] == 0.0
+    nulls = {r[0]: r[1:] for r in rows(read(f"{out}/quality/columns/orders"))}
+    assert nulls["order_delivered_customer_date"] == (10.0, 10.0)
+    assert nulls["order_status"] == (0.0, 10.0)
+    dates = {r[0]: r[1:] for r in rows(read(f"{out}/quality/date_ranges/orders"))}
+    assert dates["order_purchase_timestamp"] == (ts("2018-01-05T10:00:00"), ts("2018-06-05T10:00:00"))
     rates = {r[1]: r[4] for r in rows(read(f"{out}/quality/validation"))}
     assert rates["order_id is in orders"] == 100.0
     assert rates["product has a category"] == pytest.approx(500 / 7)

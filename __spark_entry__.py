@@ -254,9 +254,9 @@ def _validation_rules(t: StarSample) -> DataFrame:
 
 def _item_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = star_sample.read(spark, sf_dir, "lineitem").schema
-    return star_sample.order_items(
-        stream_parquet(spark, sf_dir, schema, name_glob="lineitem*.parquet")
-    )
+    # As a pattern, the path may be a single file as well as a folder of part files.
+    folder, name = star_sample.path_of(sf_dir, "lineitem").rsplit("/", 1)
+    return star_sample.order_items(stream_parquet(spark, f"{folder}/{{{name}}}", schema))
 
 
 def _stream_sales(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,8 +26,12 @@ TRANSLATED_TYPES = ("PROMO", "SMALL")
 _schemas: dict[str, StructType] = {}
 
 
+def path_of(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    path = path_of(sf_dir, name)
     if path not in _schemas:
         _schemas[path] = spark.read.parquet(path).schema
     return spark.read.schema(_schemas[path]).parquet(path)

@@ -27,17 +27,16 @@ def _zoneless(column: Column) -> Column:
 
 def stream_parquet(
     spark: SparkSession,
-    folder: str,
+    path: str,
     schema: T.StructType,
     *,
-    name_glob: str = "*.parquet",
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Stream the parquet files of a folder whose names match ``name_glob``."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", name_glob)
+    """Stream the parquet files of a folder, or of what a path pattern matches."""
+    reader = spark.readStream.schema(schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    return reader.parquet(path)
 
 
 def append_available(stream: DataFrame, folder: str, checkpoint: str) -> DataFrame:

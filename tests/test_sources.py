@@ -375,3 +375,16 @@ def test_contract(spark):
     assert set(contract.oracle_sql()) == set(contract.queries())
     result = contract.entry(spark)
     assert result.columns[0] == "month" and result.count() > 0
+
+
+def test_streamed_tables_may_be_files_or_folders(spark, tmp_path):
+    import __spark_entry__ as contract
+
+    sample = Path(contract.SMOKE_DIR)
+    for name in ("lineitem", "orders"):
+        parts = spark.read.parquet(f"{sample}/{name}.parquet").repartition(3)
+        parts.write.parquet(f"{tmp_path}/{name}.parquet")
+    for query in ("stream_sales", "stream_daily_sales"):
+        run = contract.queries()[query]
+        from_file, from_folder = rows(run(spark, str(sample))), rows(run(spark, str(tmp_path)))
+        assert from_file and sorted(from_file) == sorted(from_folder)

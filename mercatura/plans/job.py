@@ -73,13 +73,13 @@ def standard_rules(tables: Tables) -> dict[str, dict[str, Column]]:
         "order_reviews": {"score is 1 to 5": F.col("review_score").between(1, 5)},
         "products": {"product has a category": F.coalesce("product_category_name", F.lit("")) != ""},
     }
-    present = tables.items()
+    present = tables.present()
     return {name: checks for name, checks in rules.items() if name in present}
 
 
 def validation(tables: Tables) -> DataFrame:
     """Pass rate of the standard rules and of the references between tables."""
-    present = tables.items()
+    present = tables.present()
     parts = [
         validate(present[name], checks).withColumn("table_name", F.lit(name))
         for name, checks in standard_rules(tables).items()

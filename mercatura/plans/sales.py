@@ -80,9 +80,10 @@ def order_sales(orders: DataFrame, items: DataFrame, delivered: str = "delivered
     """Delivered orders that have items, with the sums over them.
 
     ``seconds`` adds up the delivery time once per item, ``timed`` counts the items that have
-    one. Dates on the order hold for each of its items.
+    one. Dates on the order hold for each of its items; without any dates both are empty.
     """
     on_order = DELIVERED_AT in orders.columns
+    on_item = not on_order and DELIVERED_AT in items.columns
     bought = orders.where(F.col("order_status") == delivered).select(
         "order_id", "customer_id", PURCHASED, *([DELIVERED_AT] if on_order else [])
     )
@@ -90,10 +91,12 @@ def order_sales(orders: DataFrame, items: DataFrame, delivered: str = "delivered
         taken = elapsed(PURCHASED, DELIVERED_AT)
         seconds = taken * F.col("items")
         timed = F.when(taken.isNotNull(), F.col("items"))
-    else:
+    elif on_item:
         start = since_epoch(PURCHASED)
         seconds = F.col("delivered_seconds") - F.col("delivered_items") * start
         timed = F.when(start.isNotNull(), F.col("delivered_items"))
+    else:
+        seconds, timed = (F.lit(None).cast(WHOLE) for _ in range(2))
     kept = items.drop(DELIVERED_AT) if on_order else items
     return (
         item_sums(kept)
@@ -203,6 +206,8 @@ def growth_report(monthly: DataFrame) -> DataFrame:
 
 def time_metrics(orders: DataFrame, items: DataFrame, delivered: str = "delivered") -> DataFrame:
     """Monthly orders, customers, revenue, freight, delivery time, order value and growth."""
+    if DELIVERED_AT not in orders.columns and DELIVERED_AT not in items.columns:
+        raise ValueError(f"neither orders nor items have {DELIVERED_AT}")
     return growth_report(monthly_sales(orders, items, delivered))
 
 

@@ -83,6 +83,7 @@ class Tables:
     category_translation: DataFrame | None = None
     order_payments: DataFrame | None = None
 
-    def items(self) -> dict[str, DataFrame]:
+    def present(self) -> dict[str, DataFrame]:
+        """The tables there are, by name."""
         named = {f.name: getattr(self, f.name) for f in fields(self)}
         return {name: df for name, df in named.items() if df is not None}

@@ -248,6 +248,14 @@ def test_one_order_under_two_customers_counts_once(spark):
     assert [r[1:4] for r in report] == [(1, 60.0, 2), (1, 30.0, 1)]
 
 
+def test_sales_need_no_delivery_date(spark):
+    t = small(spark, orders=[order("1", "2017-01-05")], order_items=[item("1", "10")])
+    orders = t["orders"].drop("order_delivered_customer_date", "order_delivered_carrier_date")
+    assert rows(sales_patterns(orders, t["order_items"]))[0][1:4] == (1, 10.0, 1)
+    with pytest.raises(ValueError, match="order_delivered_customer_date"):
+        time_metrics(orders, t["order_items"])
+
+
 def test_delivery_days_are_per_item(spark):
     t = small(
         spark,

@@ -132,7 +132,7 @@ def test_replace_and_look_up_tables(spark):
 def test_bundle_needs_all_but_the_optional_tables(spark):
     frames = {name: spark.createDataFrame([], s) for name, s in SCHEMAS.items()}
     whole = tables.bundle({**frames, "category_translation": None})
-    assert whole.category_translation is None and "orders" in whole.items()
+    assert whole.category_translation is None and "orders" in whole.present()
     with pytest.raises(ValueError, match="sellers"):
         tables.bundle({**frames, "sellers": None})
 
@@ -145,7 +145,7 @@ def test_catalog_and_folders_hold_the_tables(spark, tmp_path):
         tables.replace_table(df, name, "catalogued")
         tables.replace_folder(df, f"{tmp_path}/{name}")
     for found in (tables.catalog_tables(spark, "catalogued"), tables.folder_tables(spark, str(tmp_path))):
-        assert found.items().keys() == required
+        assert found.present().keys() == required
         # Without a translation table the category report falls back to the raw names.
         report = category_analysis(
             found.products, found.order_items, found.order_reviews, found.category_translation

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mercatura.functions import exact, mean, total
 from mercatura.operators.fanout import COUNT
+from mercatura.operators.folding import fold_for_join
 from mercatura.plans.sales import PURCHASED
 
 # An average of averages is taken over values fixed to six places, so that it is exact too.
@@ -15,8 +16,8 @@ _PLACES = 6
 
 def _per_customer(customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
     price = exact(items, "price")
-    paid = items.groupBy("order_id").agg(
-        F.sum(price).alias("_price"), F.count(price).alias("_prices")
+    paid = fold_for_join(
+        items, "order_id", F.sum(price).alias("_price"), F.count(price).alias("_prices")
     )
     bought = orders.select("order_id", "customer_id", PURCHASED)
     # One row per order and customer, on the partitioning of the join.

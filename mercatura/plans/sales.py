@@ -17,6 +17,7 @@ from mercatura.functions import (
     ratio,
     since_epoch,
 )
+from mercatura.operators.folding import fold_for_join
 
 PURCHASED = "order_purchase_timestamp"
 DELIVERED_AT = "order_delivered_customer_date"
@@ -60,8 +61,7 @@ def delivered_items(
 def item_sums(items: DataFrame) -> DataFrame:
     """One row per order: number of items, price and freight, and delivery dates if items have any.
 
-    Runs before the join, so that an order with very many items is one row in it. The shuffle
-    is the one the join needs anyway.
+    Runs before the join, so that an order with very many items is one row in it.
     """
     sums = [
         F.count(F.lit(1)).cast(WHOLE).alias("items"),
@@ -73,7 +73,7 @@ def item_sums(items: DataFrame) -> DataFrame:
             F.sum(since_epoch(DELIVERED_AT)).alias("delivered_seconds"),
             F.count(DELIVERED_AT).cast(WHOLE).alias("delivered_items"),
         ]
-    return items.groupBy("order_id").agg(*sums)
+    return fold_for_join(items, "order_id", *sums)
 
 
 def order_sales(orders: DataFrame, items: DataFrame, delivered: str = "delivered") -> DataFrame:
@@ -132,25 +132,12 @@ def fold_to_orders(facts: DataFrame) -> DataFrame:
 def monthly_totals(per_order: DataFrame) -> DataFrame:
     """Per month of purchase: distinct orders and customers, exact sums, delivery time.
 
-    One row of each order is marked per month, on the partitioning the join left behind.
-    Counting marks replaces a second distinct count: the data is folded once, to one row per
-    month and customer, and never multiplied.
+    Only one row per order takes part, not one per item. Spark folds the distinct ids before
+    it shuffles them, by month and id, so neither a hot order nor a hot customer gathers.
     """
-    in_month = Window.partitionBy("order_id", "month").orderBy("customer_id")
-    per_customer = (
-        per_order.withColumn("first", F.row_number().over(in_month) == 1)
-        .groupBy("month", "customer_id")
-        .agg(
-            F.count_if("first").alias("orders"),
-            F.sum("price").alias("price"),
-            F.sum("freight_value").alias("freight_value"),
-            F.sum("seconds").alias("seconds"),
-            F.sum("timed").alias("timed"),
-        )
-    )
-    return per_customer.groupBy("month").agg(
-        F.sum("orders").alias("orders"),
-        F.count("customer_id").alias("customers"),
+    return per_order.groupBy("month").agg(
+        F.count_distinct("order_id").alias("orders"),
+        F.count_distinct("customer_id").alias("customers"),
         F.sum("price").cast("double").alias("revenue"),
         F.sum("freight_value").cast("double").alias("freight"),
         mean_elapsed(F.sum("seconds"), F.sum("timed"), MICROS_PER_DAY).alias("delivery_days"),

@@ -376,11 +376,40 @@ def test_status_filter_and_columns_reach_the_scan(stored):
     assert "order_delivered" not in text
 
 
-def test_months_shuffle_items_and_orders_once(stored, conf):
+def test_months_fold_items_before_the_join(stored, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     text = plan(monthly_sales(stored["orders"], stored["order_items"]))
-    assert text.count("Exchange hashpartitioning(order_id") == 2
-    assert "Expand" not in text and "CartesianProduct" not in text
+    # The items once as rows, folded on the map side, then once more as orders; the orders once.
+    assert text.count("Exchange hashpartitioning(order_id") == 3
+    assert text.count("SortMergeJoin") == 1 and "Window" not in text
+
+
+@pytest.mark.parametrize("report", [monthly_sales, None], ids=["months", "customers"])
+def test_hot_order_is_split(spark, stored, joins, conf, report):
+    """A third of the orders table under one id, while items hold that id very often too."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    copies = spark.range(20000).select(
+        F.when(F.col("id") % 3 == 0, "o0").otherwise(F.concat(F.lit("x"), F.col("id"))).alias("order_id"),
+        F.concat(F.lit("c"), F.col("id") % 40).alias("customer_id"),
+        F.lit("delivered").alias("order_status"),
+        F.lit("2017-01-01").cast("timestamp_ntz").alias("order_purchase_timestamp"),
+        F.lit(None).cast("timestamp_ntz").alias("order_delivered_customer_date"),
+    )
+    items = copies.select("order_id").unionByName(stored["order_items"].select("order_id")).withColumns(
+        {"price": F.lit(1).cast("decimal(12,2)"), "freight_value": F.lit(1).cast("decimal(14,4)")}
+    )
+    if report is None:
+        result = customer_metrics(stored["customers"], copies, items)
+    else:
+        result = report(copies, items)
+    text = final_plan(result)
+    assert "skew=true" in text
+    hot = items.where("order_id = 'o0'").count()
+    if report is not None:
+        (month,) = rows(result)
+        assert month[1] == 13334 and month[2] == 40
+        # 6667 rows of the hot order, each with all its items, and one item for each other order.
+        assert month[3] == 6667 * hot + 13333
 
 
 def test_sellers_fold_on_the_partitioning_of_the_join(stored, conf):

@@ -52,6 +52,13 @@ from mercatura.sources.csv_files import read_clean, read_plain, write_csv
 from mercatura.sources.star_sample import DELIVERED, StarSample
 from mercatura.streaming import append_available, daily_sales, stream_parquet
 
+# The corpus subpackage is optional; everything else works without it.
+try:
+    import corpus_pipeline
+    from mercatura.llm import queries as corpus
+except ImportError:
+    corpus = corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Orders a seller needs in the second form of the seller report; splits the sample's sellers.
@@ -300,6 +307,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return _sales(_tables(spark, SMOKE_DIR))
 
 
+def _corpus_queries() -> dict[str, Query]:
+    if corpus is None:
+        return {}
+    return {**corpus.queries(), "pipeline": corpus_pipeline.run}
+
+
+def _corpus_sql() -> dict[str, str]:
+    if corpus is None:
+        return {}
+    whole = corpus_pipeline.ORACLE_SQL
+    return {**corpus.oracle_sql(), **({"pipeline": whole} if whole else {})}
+
+
 def queries() -> dict[str, Query]:
     return {
         # Reports
@@ -384,6 +404,7 @@ def queries() -> dict[str, Query]:
         # Streaming
         "stream_sales": _stream_sales,
         "stream_daily_sales": _stream_daily,
+        **_corpus_queries(),
     }
 
 
@@ -806,4 +827,5 @@ FROM (SELECT CAST(date_trunc('day', o.order_purchase_timestamp) AS TIMESTAMP) AS
 WHERE day + INTERVAL 1 DAY <= newest - INTERVAL 30 DAY
 GROUP BY day"""
         ),
+        **_corpus_sql(),
     }

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, urls
+from mercatura.llm import bpe, decontaminate, quality, urls
+from mercatura.llm import words as W
 from mercatura.session import tune
 
 VOCABULARY = "word_bpe_49k.json"
@@ -23,6 +24,64 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learnt from the labels of two thirds of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("least")).where("least = 1")
+    return quality.classify(docs, trusted).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def held_out() -> Column:
+    """Labels of these documents are for testing only."""
+    third = F.crc32(F.col("doc_id").cast("string")) % 3
+    return F.coalesce(third == 1, F.lit(False))
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+_OP2_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{W.UPPER}', '{W.UPPER.lower()}'), '{W.PATTERN}')"
+
+OP2_SQL = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {_OP2_WORDS} AS w FROM documents),
+item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_OP2_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(len(w), 13) AS n,
+         array_to_string(w[s:s + least(len(w), 13) - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM item WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+place AS (
+  SELECT r, n, s, array_to_string(w[s:s + n - 1], ' ') AS gram
+  FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS s FROM doc, sizes WHERE len(w) >= n)),
+hit AS (SELECT DISTINCT r, s, p.n, item FROM place p JOIN win USING (n, gram)),
+covered AS (SELECT r, count(DISTINCT x) AS n_hit
+            FROM (SELECT r, unnest(range(s, s + n)) AS x FROM hit) GROUP BY r),
+held AS (SELECT r, count(DISTINCT item) AS n_items,
+                array_to_string(list_sort(list(DISTINCT item)), ',') AS items FROM hit GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN covered USING (r) LEFT JOIN held USING (r)
+"""
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,10 +130,12 @@ FROM named
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
+        "op2_decontaminate": op2_decontaminate,
         "op4_bpe": op4_bpe,
         "op8_url_filter": op8_url_filter,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_filter": OP8_SQL}
+    return {"op2_decontaminate": OP2_SQL, "op8_url_filter": OP8_SQL}

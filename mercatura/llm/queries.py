@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, decontaminate, quality, urls
+from mercatura.llm import bpe, decontaminate, mincut, quality, urls
 from mercatura.llm import words as W
 from mercatura.session import tune
 
@@ -102,6 +102,14 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return mincut.extract(pages).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
+
+
 _OP8_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urls.RULES)
 
 OP8_SQL = f"""
@@ -134,6 +142,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontaminate": op2_decontaminate,
         "op4_bpe": op4_bpe,
         "op8_url_filter": op8_url_filter,
+        "op10_main_text": op10_main_text,
     }
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, decontaminate, mincut, quality, urls
+from mercatura.llm import bpe, decontaminate, langid, mincut, quality, urls
 from mercatura.llm import words as W
 from mercatura.session import tune
 
@@ -82,6 +82,17 @@ FROM doc LEFT JOIN covered USING (r) LEFT JOIN held USING (r)
 """
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page, with text models from all labelled documents."""
+    model = langid.train(table(spark, sf_dir, "documents"))
+    host = urls.host_of(F.col("url"))
+    host = F.when(host != "", host)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return langid.identify(
+        pages, model, "html", markup=True, host=host, suffix=langid.suffix_of(host)
+    ).withColumn("confidence", F.round("confidence", 6))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -140,6 +151,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op2_decontaminate": op2_decontaminate,
+        "op3_language": op3_language,
         "op4_bpe": op4_bpe,
         "op8_url_filter": op8_url_filter,
         "op10_main_text": op10_main_text,

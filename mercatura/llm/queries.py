@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, decontaminate, langid, mincut, quality, urls
+from mercatura.llm import bpe, decontaminate, langid, mincut, pii, quality, urls
 from mercatura.llm import words as W
 from mercatura.session import tune
 
@@ -106,6 +106,21 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The query's own key; a user brings one from a key store.
+PII_KEY = b"pseudonyms of the sample documents"
+
+
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal values replaced, and how many there were."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.protect(docs, PII_KEY).select(
+        "doc_id",
+        "text",
+        F.size("pseudonyms").cast("long").alias("n_values"),
+        F.concat_ws(",", F.array_sort(F.array_distinct("pseudonyms.kind"))).alias("kinds"),
+    )
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on the URL of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -153,6 +168,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontaminate": op2_decontaminate,
         "op3_language": op3_language,
         "op4_bpe": op4_bpe,
+        "op5_pseudonyms": op5_pseudonyms,
         "op8_url_filter": op8_url_filter,
         "op10_main_text": op10_main_text,
     }

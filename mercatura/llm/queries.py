@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, decontaminate, langid, mincut, pii, quality, urls
+from mercatura.llm import bpe, decontaminate, langid, mincut, pii, quality, urls, winnow
 from mercatura.llm import words as W
 from mercatura.session import tune
 
@@ -121,6 +121,22 @@ def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    both = winnow.with_next(docs, "doc_id", "text", lambda rows: winnow.entries(rows, "text", "entries"))
+    done = winnow.edited_entries(both, "text", "next_text", "entries", "edited_entries", "edited")
+    return done.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnow.text_of("entries").alias("fingerprint"),
+        winnow.text_of("edited_entries").alias("edited_fingerprint"),
+        winnow.likeness(F.col("entries"), F.col("edited_entries")).alias("near_edited"),
+        winnow.likeness(F.col("entries"), F.col("next_entries")).alias("near_next"),
+    )
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on the URL of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -169,6 +185,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_language": op3_language,
         "op4_bpe": op4_bpe,
         "op5_pseudonyms": op5_pseudonyms,
+        "op7_fingerprints": op7_fingerprints,
         "op8_url_filter": op8_url_filter,
         "op10_main_text": op10_main_text,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, decontaminate, langid, mincut, pii, quality, urls, winnow
+from mercatura.llm import bpe, decontaminate, jaccard, langid, mincut, pii, quality, urls, winnow
 from mercatura.llm import words as W
 from mercatura.session import tune
 
@@ -121,6 +121,28 @@ def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-copy class of every document and the number of documents it is linked to."""
+    return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP6_SQL = f"""
+WITH RECURSIVE doc AS (SELECT doc_id, {_OP2_WORDS} AS w FROM documents),
+gram AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s:s + least(len(w), 5) - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM doc WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+         FROM gram a JOIN gram b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT x, y FROM pair JOIN size p ON x = p.doc_id JOIN size q ON y = q.doc_id
+         WHERE 5 * pair.n >= 4 * (p.n + q.n - pair.n)),
+reach(x, y) AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x)
+SELECT doc_id, least(doc_id, coalesce(min(y), doc_id)) AS class_id,
+       (SELECT count(*) FROM link WHERE link.x = doc.doc_id) AS n_links
+FROM doc LEFT JOIN reach ON x = doc_id GROUP BY doc_id
+"""
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how alike they are."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -185,6 +207,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_language": op3_language,
         "op4_bpe": op4_bpe,
         "op5_pseudonyms": op5_pseudonyms,
+        "op6_jaccard": op6_jaccard,
         "op7_fingerprints": op7_fingerprints,
         "op8_url_filter": op8_url_filter,
         "op10_main_text": op10_main_text,
@@ -192,4 +215,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": OP2_SQL, "op8_url_filter": OP8_SQL}
+    return {"op2_decontaminate": OP2_SQL, "op6_jaccard": OP6_SQL, "op8_url_filter": OP8_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, decontaminate, jaccard, langid, mincut, pii, quality, urls, winnow
+from mercatura.llm import bpe, decontaminate, jaccard, langid, lines, mincut, pii, quality, urls, winnow
 from mercatura.llm import words as W
 from mercatura.session import tune
 
@@ -166,6 +166,14 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document once each group of like lines is kept in one place."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedupe_lines(docs).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -210,6 +218,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_jaccard": op6_jaccard,
         "op7_fingerprints": op7_fingerprints,
         "op8_url_filter": op8_url_filter,
+        "op9_line_dedup": op9_line_dedup,
         "op10_main_text": op10_main_text,
     }
 

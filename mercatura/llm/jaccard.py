@@ -327,16 +327,19 @@ def join(
     tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """``docs`` without its text, with ``class_id``, the least key of the row's group of linked
-    rows, and ``n_links``, the number of other rows it is linked to."""
-    named = docs.drop("class_id", "n_links", "_row", "_digest", "_bands")
+    rows, ``n_links``, the number of other rows it is linked to, and ``stands``, true for one row
+    of each group: one with the least key."""
+    named = docs.drop("class_id", "n_links", "stands", "_row", "_digest", "_bands")
     rows = checkpointed(_scan(named, text, n))
+    # NULL keys come last.
+    place = F.struct(F.col(key).isNull().alias("unknown"), F.col(key).alias("key"), F.col("_row").alias("row"))
     folded = (
         rows.where("_digest IS NOT NULL")
         .groupBy("_digest")
         .agg(
             F.min("_row").alias("node"),
             F.count(F.lit(1)).alias("copies"),
-            F.min(key).alias("_least"),
+            F.min(place).alias("_least"),
             F.first("_bands").alias("_bands"),
         )
     )
@@ -379,14 +382,15 @@ def join(
         .join(least, "_class", "left")
         .select(
             "_digest",
-            F.when(F.col("_class").isNull(), F.col("_least")).otherwise(F.col("_class_least")).alias("_class_id"),
+            F.when(F.col("_class").isNull(), F.col("_least")).otherwise(F.col("_class_least")).alias("_stands"),
             (F.coalesce("_links", F.lit(0)) + F.col("copies") - 1).alias("_n"),
         )
     )
     return (
-        rows.drop("_row", "_bands")
+        rows.drop("_bands")
         .join(told, "_digest", "left")
-        .withColumn("class_id", F.when(F.col("_digest").isNull(), F.col(key)).otherwise(F.col("_class_id")))
+        .withColumn("class_id", F.when(F.col("_digest").isNull(), F.col(key)).otherwise(F.col("_stands.key")))
         .withColumn("n_links", F.coalesce("_n", F.lit(0)))
-        .drop("_digest", "_class_id", "_n")
+        .withColumn("stands", F.col("_digest").isNull() | (F.col("_stands.row") == F.col("_row")))
+        .drop("_row", "_digest", "_stands", "_n")
     )

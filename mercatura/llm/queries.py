@@ -96,9 +96,12 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = bpe.encode(docs, "text", vocabulary_path())
+    return token_digests(bpe.encode(docs, "text", vocabulary_path()))
+
+
+def token_digests(encoded: DataFrame) -> DataFrame:
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
-    return done.select(
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(ids, 256).alias("ids_sha256"),
@@ -123,7 +126,7 @@ def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-copy class of every document and the number of documents it is linked to."""
-    return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("stands")
 
 
 OP6_SQL = f"""

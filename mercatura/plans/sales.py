@@ -129,6 +129,13 @@ def fold_to_orders(facts: DataFrame) -> DataFrame:
     )
 
 
+def refold_orders(parts: DataFrame) -> DataFrame:
+    """Add up rows of ``fold_to_orders`` that were made from parts of the items."""
+    return parts.groupBy("order_id", "customer_id", "month").agg(
+        *[F.sum(c).alias(c) for c in ("price", "freight_value", "seconds", "timed")]
+    )
+
+
 def monthly_totals(per_order: DataFrame) -> DataFrame:
     """Per month of purchase: distinct orders and customers, exact sums, delivery time.
 
@@ -150,9 +157,13 @@ def monthly_sales(orders: DataFrame, items: DataFrame, delivered: str = "deliver
 
 def sales_patterns(orders: DataFrame, items: DataFrame, delivered: str = "delivered") -> DataFrame:
     """Orders, revenue and customers per month, with value per order and per customer."""
+    return sales_report(monthly_sales(orders, items, delivered))
+
+
+def sales_report(monthly: DataFrame) -> DataFrame:
+    """Shape monthly totals into the sales report."""
     return (
-        monthly_sales(orders, items, delivered)
-        .select(
+        monthly.select(
             "month",
             F.col("orders").alias("order_count"),
             "revenue",
@@ -191,10 +202,14 @@ def growth_report(monthly: DataFrame) -> DataFrame:
     return with_growth(named).orderBy(F.col("month").asc_nulls_last())
 
 
-def time_metrics(orders: DataFrame, items: DataFrame, delivered: str = "delivered") -> DataFrame:
-    """Monthly orders, customers, revenue, freight, delivery time, order value and growth."""
+def check_delivery_dates(orders: DataFrame, items: DataFrame) -> None:
     if DELIVERED_AT not in orders.columns and DELIVERED_AT not in items.columns:
         raise ValueError(f"neither orders nor items have {DELIVERED_AT}")
+
+
+def time_metrics(orders: DataFrame, items: DataFrame, delivered: str = "delivered") -> DataFrame:
+    """Monthly orders, customers, revenue, freight, delivery time, order value and growth."""
+    check_delivery_dates(orders, items)
     return growth_report(monthly_sales(orders, items, delivered))
 
 

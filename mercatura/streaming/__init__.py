@@ -1,8 +1,17 @@
 from mercatura.streaming.sales import (
     append_available,
     daily_sales,
+    fold_batches,
     months_from_days,
+    order_sales_stream,
     stream_parquet,
 )
 
-__all__ = ["append_available", "daily_sales", "months_from_days", "stream_parquet"]
+__all__ = [
+    "append_available",
+    "daily_sales",
+    "fold_batches",
+    "months_from_days",
+    "order_sales_stream",
+    "stream_parquet",
+]

@@ -1,28 +1,22 @@
 """Sales from a stream of order items.
 
-Two forms. The stateless one appends the items of delivered orders to a table as they come
-(``plans.sales.delivered_items`` on a stream, then ``append_available``); the monthly reports
-over that table are exact, distinct counts included, and nothing is ever late. The stateful
-one keeps running totals per day and emits a day once the watermark has passed it.
+Every micro-batch is folded before it is written, to a folder of its own that a repeated batch
+replaces, and the folds are added up when they are read. Sums and counts do not depend on how the
+items were cut into batches, nothing is ever late, and what is kept grows with the orders or the
+days, not with the items.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercatura.functions import micros, month_of, since_epoch
-from mercatura.plans.sales import delivered_items
-
-
-def _instant(column: str) -> Column:
-    """A zoneless timestamp read as UTC; watermarks need an instant."""
-    return F.timestamp_micros(micros(since_epoch(column)).cast("long"))
-
-
-def _zoneless(column: Column) -> Column:
-    return F.timestamp_add("MICROSECOND", F.unix_micros(column), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+from mercatura.functions import month_of
+from mercatura.plans.sales import PURCHASED, delivered_items, fold_to_orders, refold_orders
 
 
 def stream_parquet(
@@ -57,35 +51,77 @@ def append_available(stream: DataFrame, folder: str, checkpoint: str) -> DataFra
     return stream.sparkSession.read.schema(stream.schema).parquet(folder)
 
 
+def fold_batches(
+    stream: DataFrame, fold: Callable[[DataFrame], DataFrame], folder: str, checkpoint: str
+) -> DataFrame:
+    """Fold everything there is, batch by batch, and return the folds of all batches.
+
+    Run again with the same folders to take in what has come since. A batch that is repeated
+    after a failure overwrites its own folder, so it counts once.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        fold(batch).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    query = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    spark = stream.sparkSession
+    empty = spark.createDataFrame([], stream.schema)
+    schema = fold(empty).schema
+    try:
+        return spark.read.schema(schema).parquet(folder).select(*schema.names)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _day_sums(facts: DataFrame) -> DataFrame:
+    day = F.col(PURCHASED).cast("date").cast("timestamp_ntz")
+    return facts.groupBy(day.alias("day")).agg(
+        F.sum("price").alias("revenue"),
+        F.sum("freight_value").alias("freight_cost"),
+        F.count(F.lit(1)).alias("items"),
+    )
+
+
 def daily_sales(
     item_stream: DataFrame,
     orders: DataFrame,
+    folder: str,
+    checkpoint: str,
     delivered: str = "delivered",
-    lateness: str = "30 days",
 ) -> DataFrame:
-    """Running totals per day of purchase, emitted when the day is closed.
-
-    State is one row per open day and shuffle partition's share of days; items are summed
-    before they are shuffled. Items later than ``lateness`` are dropped by the watermark:
-    use the stateless form where that must not happen.
-    """
+    """Totals per day of purchase over all items that have come, complete at any time."""
     facts = delivered_items(orders, item_stream, delivered)
-    timed = facts.withColumn("_at", _instant("order_purchase_timestamp")).withWatermark(
-        "_at", lateness
-    )
     return (
-        timed.groupBy(F.window("_at", "1 day").alias("_day"))
+        fold_batches(facts, _day_sums, folder, checkpoint)
+        .groupBy("day")
         .agg(
-            F.sum("price").alias("revenue"),
-            F.sum("freight_value").alias("freight_cost"),
-            F.count(F.lit(1)).alias("items"),
-        )
-        .select(
-            _zoneless(F.col("_day.start")).alias("day"), "revenue", "freight_cost", "items"
+            F.sum("revenue").alias("revenue"),
+            F.sum("freight_cost").alias("freight_cost"),
+            F.sum("items").alias("items"),
         )
     )
 
 
+def order_sales_stream(
+    item_stream: DataFrame,
+    orders: DataFrame,
+    folder: str,
+    checkpoint: str,
+    delivered: str = "delivered",
+) -> DataFrame:
+    """One row per order over all items that have come, as the monthly reports take them."""
+    facts = delivered_items(orders, item_stream, delivered)
+    return refold_orders(fold_batches(facts, fold_to_orders, folder, checkpoint))
+
+
 def months_from_days(days: DataFrame) -> DataFrame:
     """Roll closed days up to months."""
     return days.groupBy(month_of("day").alias("month")).agg(

@@ -4,25 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercatura.operators.quantiles import exact_quantiles
-from mercatura.operators.ranking import fits_one_task
 from mercatura.session import checkpointed
 
 STATISTICS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def describe(
-    df: DataFrame, columns: Sequence[str], *, rows_at_most: int | None = None
-) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Statistics as rows (``statistic``), described columns as columns.
 
-    Standard deviation is the sample one; quartiles are exact, interpolated linearly. Within
-    the one-task bound everything is one aggregation. Beyond it the values are stored once
-    and then read for the moments and for the distributed quartiles.
+    Standard deviation is the sample one; quartiles are exact, interpolated linearly. The values
+    are stored once and then read for the moments and for the distributed quartiles.
     """
     values = [
         F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
@@ -36,18 +32,12 @@ def describe(
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     ]
-    if fits_one_task(None if rows_at_most is None else rows_at_most * len(columns)):
-        points = F.array(*[F.lit(q) for q in QUARTILES])
-        found = long.groupBy("metric").agg(
-            *moments, F.percentile("value", points).alias("quantiles")
-        )
-    else:
-        long = checkpointed(long)
-        found = (
-            long.groupBy("metric")
-            .agg(*moments)
-            .join(exact_quantiles(long, "metric", "value", QUARTILES), "metric", "left")
-        )
+    long = checkpointed(long)
+    found = (
+        long.groupBy("metric")
+        .agg(*moments)
+        .join(exact_quantiles(long, "metric", "value", QUARTILES), "metric", "left")
+    )
     cells = [F.col(c) for c in ("count", "mean", "std", "min")]
     cells += [F.col("quantiles")[i] for i in range(len(QUARTILES))]
     cells.append(F.col("max"))
@@ -71,25 +61,10 @@ def describe(
     )
 
 
-def _with_fences(
-    df: DataFrame, group: str, value: str, keep: Sequence[str], rows_at_most: int | None
-) -> DataFrame:
+def _with_fences(df: DataFrame, group: str, value: str, keep: Sequence[str]) -> DataFrame:
     """Rows with a value, each with its group's quartiles and the fences 1.5 IQR beyond them."""
-    known = df.where(F.col(value).isNotNull()).select(*keep, group, value)
-    if fits_one_task(rows_at_most):
-        whole = Window.partitionBy(group)
-        points = F.array(*[F.lit(q) for q in QUARTILES])
-        placed = known.withColumns(
-            {
-                "n": F.count(F.lit(1)).over(whole),
-                "quantiles": F.percentile(value, points).over(whole),
-            }
-        )
-    else:
-        known = checkpointed(known)
-        # A handful of groups: the quartiles are that many rows.
-        quartiles = F.broadcast(exact_quantiles(known, group, value, QUARTILES))
-        placed = known.join(quartiles, group)
+    known = checkpointed(df.where(F.col(value).isNotNull()).select(*keep, group, value))
+    placed = known.join(exact_quantiles(known, group, value, QUARTILES), group)
     q1, median, q3 = (F.col("quantiles")[i] for i in range(len(QUARTILES)))
     reach = (q3 - q1) * 1.5
     return placed.select(
@@ -104,14 +79,12 @@ def _with_fences(
     )
 
 
-def box_stats(
-    df: DataFrame, group: str, value: str, *, rows_at_most: int | None = None
-) -> DataFrame:
+def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles, whiskers (last points inside 1.5 IQR) and outlier count per group.
 
     NULL values are dropped. The groups must be few, as in a chart.
     """
-    placed = _with_fences(df, group, value, [], rows_at_most)
+    placed = _with_fences(df, group, value, [])
     inside = F.col("inside")
     return placed.groupBy(group, "n", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),
@@ -120,9 +93,7 @@ def box_stats(
     )
 
 
-def box_outliers(
-    df: DataFrame, group: str, value: str, key: str, *, rows_at_most: int | None = None
-) -> DataFrame:
+def box_outliers(df: DataFrame, group: str, value: str, key: str) -> DataFrame:
     """The rows a box plot draws as single points."""
-    placed = _with_fences(df, group, value, [key], rows_at_most)
+    placed = _with_fences(df, group, value, [key])
     return placed.where(~F.col("inside")).select(key, group, value)

@@ -64,8 +64,8 @@ def exact_quantiles(
     def holds(rank):
         return (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_rows"))
 
-    # One row per group.
-    near = positions.join(F.broadcast(wanted), group).select(
+    # One row per group on the right: Spark broadcasts it if it is small.
+    near = positions.join(wanted, group).select(
         group,
         "n",
         value,

@@ -9,19 +9,11 @@ from pyspark.sql import functions as F
 
 from mercatura.session import checkpointed
 
-# Up to this many rows, an unpartitioned window (one task) is the cheaper plan.
-SINGLE_TASK_ROWS = 1_000_000
-
 # monotonically_increasing_id() is the partition number, shifted left, plus the row number.
 _ID_SHIFT = 33
 _ID_MASK = (1 << _ID_SHIFT) - 1
 
 
-def fits_one_task(rows_at_most: int | None) -> bool:
-    """True if a proven upper bound on the row count allows a one-task operator."""
-    return rows_at_most is not None and rows_at_most <= SINGLE_TASK_ROWS
-
-
 def partition_offsets(placed: DataFrame, size: Column) -> DataFrame:
     """Per sort partition (``_part``): ``_offset``, the size of all before it, and ``_all``."""
     sizes = placed.groupBy("_part").agg(size.alias("_size"))
@@ -73,21 +65,8 @@ def tile_of(rank: Column, rows: Column, tiles: int) -> Column:
     )
 
 
-def ntile(
-    df: DataFrame,
-    tiles: int,
-    order: Sequence[Column],
-    name: str,
-    *,
-    rows_at_most: int | None = None,
-) -> DataFrame:
-    """NTILE over the whole frame.
-
-    ``rows_at_most`` is a proven bound on the rows of ``df``. Within ``SINGLE_TASK_ROWS`` the
-    built-in window runs; otherwise, and without a bound, the distributed rank.
-    """
-    if fits_one_task(rows_at_most):
-        return df.withColumn(name, F.ntile(tiles).over(Window.orderBy(*order)))
+def ntile(df: DataFrame, tiles: int, order: Sequence[Column], name: str) -> DataFrame:
+    """NTILE over the whole frame, by the distributed rank whatever the number of rows."""
     ranked = global_rank(df, order, "_rank")
     return ranked.select(
         *[F.col(c) for c in df.columns],

@@ -31,16 +31,14 @@ def category_scatter(categories: DataFrame, n: int = 20) -> DataFrame:
     )
 
 
-def rating_box(sellers: DataFrame, *, rows_at_most: int | None = None) -> DataFrame:
+def rating_box(sellers: DataFrame) -> DataFrame:
     """Boxes: seller rating per revenue quintile."""
-    return box_stats(sellers, "revenue_quintile", "avg_rating", rows_at_most=rows_at_most)
+    return box_stats(sellers, "revenue_quintile", "avg_rating")
 
 
-def rating_outliers(sellers: DataFrame, *, rows_at_most: int | None = None) -> DataFrame:
+def rating_outliers(sellers: DataFrame) -> DataFrame:
     """Single points beyond the whiskers of ``rating_box``."""
-    return box_outliers(
-        sellers, "revenue_quintile", "avg_rating", "seller_id", rows_at_most=rows_at_most
-    )
+    return box_outliers(sellers, "revenue_quintile", "avg_rating", "seller_id")
 
 
 def write_plot_data(plots: Mapping[str, DataFrame], folder: str, fmt: str = "parquet") -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercatura.functions import MICROS_PER_HOUR, elapsed, exact, mean, mean_elapsed
@@ -33,24 +33,27 @@ def seller_metrics(
     reviews: DataFrame,
     *,
     one_review_per_order: bool = False,
+    products: bool = True,
 ) -> DataFrame:
     """Per seller: orders, products, revenue, mean rating, mean shipping time in hours.
 
-    The money side shuffles the items once, by order, and folds them to one row per order and
-    seller on that partitioning, before and after which it meets the orders and the reviews.
-    Distinct products are counted apart, from three narrow columns: together with the order
-    count they would need every row twice more. Sellers join at the end, one row per seller.
+    The items are read and shuffled once, by order, and folded to one row per order, seller and
+    product on that partitioning, before and after which they meet the orders and the reviews.
+    One row of each order and seller is marked there, so that the distinct counts become a sum of
+    marks and a count of product rows. Without ``products`` the fold is to orders and sellers
+    alone. Sellers join at the end, one row per seller.
     """
+    listed = ["product_id"] if products else []
     facts = ordered_items(
         orders,
         items.withColumn("price", exact(items, "price")),
         [PURCHASED],
-        ["seller_id", "price"],
+        ["seller_id", *listed, "price"],
         [SHIPPED_AT],
     )
     per_order = (
         facts.withColumn("seconds", elapsed(PURCHASED, SHIPPED_AT))
-        .groupBy("order_id", "seller_id")
+        .groupBy("order_id", "seller_id", *listed)
         .agg(
             F.sum("price").alias("price"),
             F.sum("seconds").alias("seconds"),
@@ -60,29 +63,39 @@ def seller_metrics(
     )
     reviewed = with_review_weight(per_order, reviews, one_review_per_order=one_review_per_order)
     score_sum, scores = weighted_scores("rows")
-    sold = reviewed.groupBy("seller_id").agg(
-        F.count("order_id").alias("total_orders"),
-        weighted("price").alias("price"),
-        score_sum.alias("score_sum"),
-        scores.alias("scores"),
-        weighted("seconds").alias("seconds"),
-        weighted("timed").alias("timed"),
-    )
-    # An inner join, though a semi join would do: AQE can split both of its sides.
-    listed = (
-        ordered_items(orders, items, [], ["seller_id", "product_id"])
-        .groupBy("seller_id")
-        .agg(F.count_distinct("product_id").alias("unique_products"))
-    )
+    sums = {
+        "price": weighted("price"),
+        "score_sum": score_sum,
+        "scores": scores,
+        "seconds": weighted("seconds"),
+        "timed": weighted("timed"),
+    }
+    if products:
+        first = F.row_number().over(Window.partitionBy("order_id", "seller_id").orderBy("product_id"))
+        sold = (
+            reviewed.withColumn("first", (first == 1).cast("long"))
+            .groupBy("seller_id", "product_id")
+            .agg(F.sum("first").alias("orders"), *[v.alias(k) for k, v in sums.items()])
+            .groupBy("seller_id")
+            .agg(
+                F.sum("orders").alias("total_orders"),
+                F.count("product_id").alias("unique_products"),
+                *[F.sum(k).alias(k) for k in sums],
+            )
+        )
+    else:
+        sold = reviewed.groupBy("seller_id").agg(
+            F.count("order_id").alias("total_orders"), *[v.alias(k) for k, v in sums.items()]
+        )
     # Repeated seller rows multiply the revenue; means and distinct counts are unaffected.
     shops = sellers.groupBy("seller_id", "seller_state").agg(
         F.count(F.lit(1)).cast(COUNT).alias("copies")
     )
-    return shops.join(sold, "seller_id").join(listed, "seller_id").select(
+    return shops.join(sold, "seller_id").select(
         "seller_id",
         "seller_state",
         "total_orders",
-        "unique_products",
+        *(["unique_products"] if products else []),
         (F.col("price") * F.col("copies")).cast("double").alias("revenue"),
         mean("score_sum", "scores").alias("avg_rating"),
         mean_elapsed("seconds", "timed", MICROS_PER_HOUR).alias("avg_shipping_time"),
@@ -97,12 +110,11 @@ def seller_performance(
     *,
     orders_at_least: int = 10,
     one_review_per_order: bool = False,
-    rows_at_most: int | None = None,
 ) -> DataFrame:
     """Seller metrics with revenue and rating quintiles over the sellers with enough orders.
 
     Quintile 1 holds the highest values; a missing value counts as highest, and the seller
-    id breaks ties. ``rows_at_most`` bounds the number of sellers (see ``ntile``).
+    id breaks ties.
     """
     metrics = seller_metrics(
         sellers, items, orders, reviews, one_review_per_order=one_review_per_order
@@ -110,11 +122,5 @@ def seller_performance(
     tie = [F.col("seller_id").asc_nulls_last(), F.col("seller_state").asc_nulls_last()]
     ranked = metrics.where(F.col("total_orders") >= orders_at_least)
     for value, name in (("revenue", "revenue_quintile"), ("avg_rating", "rating_quintile")):
-        ranked = ntile(
-            ranked,
-            QUINTILES,
-            [F.col(value).desc_nulls_first(), *tie],
-            name,
-            rows_at_most=rows_at_most,
-        )
+        ranked = ntile(ranked, QUINTILES, [F.col(value).desc_nulls_first(), *tie], name)
     return ranked

@@ -24,14 +24,27 @@ def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+# What amounts that are no decimals may hold: so many places, and twelve digits before them.
+PLACES = 6
+AMOUNT = f"decimal(18,{PLACES})"
+
+
 def exact(df: DataFrame, name: str) -> Column:
-    """The column as a decimal: decimals as they are, whole numbers widened, others to 4 places."""
+    """The column as a decimal: decimals as they are, whole numbers widened.
+
+    A floating-point value must be one that ``AMOUNT`` can hold; any other raises when it is
+    read, so no digit is lost unseen. Cast such a column to a decimal of choice instead.
+    """
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.DecimalType):
         return F.col(name)
     if isinstance(dtype, T.IntegralType):
         return F.col(name).cast(WHOLE)
-    return F.col(name).cast("decimal(18,4)")
+    held = F.col(name).try_cast(AMOUNT)
+    lost = F.concat(F.lit(f"{name} does not fit {AMOUNT}: "), F.col(name).cast("string"))
+    return F.when(F.col(name).isNull() | (held.cast(dtype) == F.col(name)), held).otherwise(
+        F.raise_error(lost).cast(AMOUNT)
+    )
 
 
 def total(column: Column | str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mercatura.functions.exact import PLACES
 from mercatura.schema import NA_TOKENS
 
 log = logging.getLogger(__name__)
@@ -42,7 +43,25 @@ def date_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if any(part in c.lower() for part in DATE_NAME_PARTS)]
 
 
+def _places(name: str) -> Column:
+    """Digits after the point that are not trailing zeros."""
+    return F.length(F.regexp_extract(_quoted(name), r"^\s*[+-]?\d*\.(\d*?)0*\s*$", 1))
+
+
+def _with_places(dtype: T.DecimalType, places: int) -> T.DecimalType:
+    more = max(places - dtype.scale, 0)
+    return T.DecimalType(dtype.precision + more, dtype.scale + more)
+
+
+def _widest(dtype: T.DataType) -> T.DataType:
+    return _with_places(dtype, PLACES) if isinstance(dtype, T.DecimalType) else dtype
+
+
 def _parsed(name: str, dtype: T.DataType, formats: Sequence[str]) -> Column:
+    if isinstance(dtype, T.DecimalType):
+        # The cast would round: more places than there are make a value that does not parse.
+        plain = _quoted(name).rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$")
+        return F.when(plain & (_places(name) <= dtype.scale), _quoted(name).try_cast(dtype))
     tries = [_quoted(name).try_cast(dtype)]
     if isinstance(dtype, T.TimestampNTZType):
         tries += [F.try_to_timestamp(_quoted(name), F.lit(f)).cast(dtype) for f in formats]
@@ -59,7 +78,9 @@ def cast_if_clean(
     """Cast text columns, each one wholly or not at all.
 
     Blank text becomes NULL. One pass counts the values that do not parse, for all columns
-    together; a column with any is kept as text (``on_bad="keep"``) or raises ("error").
+    together; a column with any is kept as text (``on_bad="keep"``) or raises ("error"). A
+    decimal column whose values have more places than its type gets as many as they need, up to
+    ``PLACES``; a value with even more does not parse.
     """
     if on_bad not in ("keep", "error"):
         raise ValueError("on_bad must be 'keep' or 'error'")
@@ -67,14 +88,19 @@ def cast_if_clean(
     todo = {c: t for c, t in targets.items() if c in text and not isinstance(t, T.StringType)}
     if not todo:
         return df
-    parsed = {c: _parsed(c, t, formats) for c, t in todo.items()}
-    bad = df.agg(
+    parsed = {c: _parsed(c, _widest(t), formats) for c, t in todo.items()}
+    decimals = [c for c, t in todo.items() if isinstance(t, T.DecimalType)]
+    found = df.agg(
         *[
-            F.count_if((F.trim(_quoted(c)) != "") & p.isNull()).alias(f"_{i}")
+            F.count_if((F.trim(_quoted(c)) != "") & p.isNull()).alias(f"bad_{i}")
             for i, (c, p) in enumerate(parsed.items())
-        ]
+        ],
+        *[F.max(_places(c)).alias(f"places_{i}") for i, c in enumerate(decimals)],
     ).first()
-    failed = {c: n for c, n in zip(parsed, bad) if n}
+    failed = {c: found[f"bad_{i}"] for i, c in enumerate(parsed) if found[f"bad_{i}"]}
+    for i, c in enumerate(decimals):
+        if c not in failed:
+            parsed[c] = parsed[c].cast(_with_places(todo[c], found[f"places_{i}"] or 0))
     if failed and on_bad == "error":
         raise ValueError(f"values that do not parse, per column: {failed}")
     for column, count in failed.items():

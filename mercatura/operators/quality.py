@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from mercatura.functions import percent
 
@@ -116,25 +115,13 @@ def date_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def null_reduction(df: DataFrame) -> DataFrame:
-    """Null percentage of each column before and after filling text columns with ``''``."""
-    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count(_quoted(c)).alias(f"_{i}") for i, c in enumerate(df.columns)],
-    )
-    rows = []
-    for i, c in enumerate(df.columns):
-        missing = F.col("_rows") - F.col(f"_{i}")
-        left = F.lit(0) if c in text else missing
-        rows.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                percent(missing, F.col("_rows")).alias("null_percentage_before"),
-                percent(left, F.col("_rows")).alias("null_percentage_after"),
-            )
-        )
-    return _as_rows(counts, rows)
+def null_reduction(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Null percentage of each column of ``before`` there and in ``after``, the table that
+    cleaning made of it. A column that is gone has NULL after. One pass over each table."""
+    then = null_profile(after).withColumnRenamed("null_percentage", "null_percentage_after")
+    now = null_profile(before).withColumnRenamed("null_percentage", "null_percentage_before")
+    # One row per column on both sides.
+    return now.join(then, "column_name", "left")
 
 
 def _rates(counts: DataFrame, names: Sequence[str]) -> DataFrame:

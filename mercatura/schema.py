@@ -65,10 +65,6 @@ SCHEMAS: dict[str, T.StructType] = {
     ),
 }
 
-# Free text can hold quoted line breaks. Such a file cannot be split between tasks, so only
-# the tables that carry free text are read that way.
-FREE_TEXT_TABLES = frozenset({"order_reviews"})
-
 
 @dataclass(frozen=True)
 class Tables:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -28,15 +28,12 @@ class EmptyCsvError(ValueError):
     """The file holds no header."""
 
 
-def read_text_csv(
-    spark: SparkSession, path: str, *, multi_line: bool = False, pad_rows: bool = False
-) -> DataFrame:
+def read_text_csv(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
     """Read a CSV with a header; every column is text.
 
     Doubled quotes are one quote. A quoted line break needs ``multi_line``, which makes each
     file one task; leave it off for files without free text so that they split. A row of the
-    wrong length raises when it is read; with ``pad_rows`` short rows are filled with NULL
-    and long ones lose what has no header.
+    wrong length raises when it is read, and so does a file of a folder whose header differs.
     """
     df = (
         spark.read.option("header", True)
@@ -45,7 +42,8 @@ def read_text_csv(
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("encoding", "UTF-8")
-        .option("mode", "PERMISSIVE" if pad_rows else "FAILFAST")
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
         .csv(path)
     )
     if not df.columns:
@@ -61,15 +59,30 @@ def read_plain(
     multi_line: bool = False,
     na_tokens: Sequence[str] = NA_TOKENS,
     infer: bool = False,
-    pad_rows: bool = False,
 ) -> DataFrame:
     """CSV with missing-value tokens as NULL and the schema's columns typed.
 
     Date columns stay text here, whatever the schema says; ``read_clean`` parses them.
     Columns outside the schema stay text unless ``infer`` is set.
     """
-    text = read_text_csv(spark, path, multi_line=multi_line, pad_rows=pad_rows)
-    df = null_tokens(text, na_tokens)
+    text = read_text(spark, path, multi_line=multi_line, na_tokens=na_tokens)
+    return typed(text, schema, infer=infer)
+
+
+def read_text(
+    spark: SparkSession,
+    path: str,
+    *,
+    multi_line: bool = False,
+    na_tokens: Sequence[str] = NA_TOKENS,
+) -> DataFrame:
+    """CSV with missing-value tokens as NULL, all columns text."""
+    return null_tokens(read_text_csv(spark, path, multi_line=multi_line), na_tokens)
+
+
+def typed(text: DataFrame, schema: T.StructType | None = None, *, infer: bool = False) -> DataFrame:
+    """Text columns typed as ``read_plain`` says. Reads the table once to see what parses."""
+    df = text
     known = {} if schema is None else {f.name: f.dataType for f in schema.fields}
     dates = set(date_columns(df))
     df = cast_if_clean(df, {c: t for c, t in known.items() if c in df.columns and c not in dates})
@@ -86,7 +99,6 @@ def read_clean(
     multi_line: bool = False,
     na_tokens: Sequence[str] = NA_TOKENS,
     infer: bool = False,
-    pad_rows: bool = False,
     date_formats: Sequence[str] = (),
 ) -> DataFrame:
     """``read_plain``, then text NULLs filled with ``''``, then date columns parsed."""
@@ -97,7 +109,6 @@ def read_clean(
         multi_line=multi_line,
         na_tokens=na_tokens,
         infer=infer,
-        pad_rows=pad_rows,
     )
     return clean_table(plain, date_formats)
 
@@ -140,22 +151,17 @@ def write_csv(df: DataFrame, path: str) -> None:
 def load_files(
     spark: SparkSession,
     files: Mapping[str, str],
-    schemas: Mapping[str, T.StructType],
     *,
     on_missing: str = "error",
-    free_text: frozenset[str] = frozenset(),
+    multi_line: Collection[str] = (),
 ) -> dict[str, DataFrame]:
-    """Read a map of table name to path, uncleaned. Skipped files are absent from the result."""
+    """Read a map of table name to path as text. Skipped files are absent from the result.
+
+    Only the tables named in ``multi_line`` may hold quoted line breaks.
+    """
     loaded = {}
     for name, path in files.items():
-        df = read_or_skip(
-            read_plain,
-            spark,
-            path,
-            on_missing,
-            schema=schemas.get(name),
-            multi_line=name in free_text,
-        )
+        df = read_or_skip(read_text, spark, path, on_missing, multi_line=name in multi_line)
         if df is not None:
             loaded[name] = df
     return loaded

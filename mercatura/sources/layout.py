@@ -1,12 +1,11 @@
 """Physical layout that does the work indexes do elsewhere.
 
 Orders, items and reviews meet on ``order_id``: bucketing them on it lets those joins run
-without a shuffle. Sorting orders by purchase time inside a file lets parquet skip row groups.
+without a shuffle.
 """
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -14,8 +13,6 @@ from pyspark.sql import functions as F
 
 from mercatura.sources.tables import qualified
 
-log = logging.getLogger(__name__)
-
 BUCKET_KEY = "order_id"
 BUCKETED = ("orders", "order_items", "order_reviews")
 
@@ -40,22 +37,20 @@ def write_layout(
 ) -> dict[str, bool]:
     """Write every table; say for each whether it was bucketed.
 
-    The tables that join on ``order_id`` are bucketed together or not at all: if one of them
-    is too skewed, all stay plain, and their joins shuffle and are split at run time.
+    The tables that join on ``order_id`` are bucketed. If one of them is too skewed for that,
+    nothing is written and the call raises: write it plainly (``replace_table``), so that its
+    joins shuffle and are split at run time, or allow a larger ``max_skew``.
     """
     candidates = {name: df for name, df in tables.items() if name in BUCKETED}
     skews = {name: bucket_skew(df, BUCKET_KEY, buckets) for name, df in candidates.items()}
-    even = all(skew <= max_skew for skew in skews.values())
-    if not even:
-        log.warning("not bucketed, largest bucket over mean: %s", skews)
+    if any(skew > max_skew for skew in skews.values()):
+        raise ValueError(f"too skewed for buckets, largest bucket over mean: {skews}")
     done = {}
     for name, df in tables.items():
         target = qualified(name, database)
-        bucketed = even and name in candidates
+        bucketed = name in candidates
         # Without this, every task would write a file for every bucket.
         placed = df.repartition(buckets, BUCKET_KEY) if bucketed else df
-        if name == "orders" and not bucketed:
-            placed = placed.sortWithinPartitions("order_purchase_timestamp")
         writer = placed.write.mode("overwrite").format("parquet")
         if bucketed:
             writer = writer.bucketBy(buckets, BUCKET_KEY).sortBy(BUCKET_KEY)

@@ -7,6 +7,7 @@ two sides share no method.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +22,10 @@ from mercatura.functions import (
     ratio,
 )
 from mercatura.operators import cleaning, quality
-from mercatura.operators.describe import describe
+from mercatura.operators.describe import box_outliers, describe
 from mercatura.operators.fanout import weighted, weighted_scores, with_review_weight
 from mercatura.operators.ranking import ntile
-from mercatura.plans import plots
+from mercatura.plans import job, plots
 from mercatura.plans.customers import customer_behavior, customer_metrics
 from mercatura.plans.job import top_products, top_states
 from mercatura.plans.products import (
@@ -34,8 +35,6 @@ from mercatura.plans.products import (
     top_categories,
 )
 from mercatura.plans.sales import (
-    delivered_items,
-    fold_to_orders,
     growth_report,
     latest_months,
     monthly_sales,
@@ -46,11 +45,14 @@ from mercatura.plans.sales import (
     with_growth,
 )
 from mercatura.plans.sellers import METRICS, seller_metrics, seller_performance
+from mercatura.schema import SCHEMAS
 from mercatura.session import scratch_path, tune
 from mercatura.sources import star_sample
-from mercatura.sources.csv_files import read_clean, read_plain, write_csv
+from mercatura.sources.csv_files import clean_table, read_clean, read_plain, write_csv
+from mercatura.sources.layout import write_layout
 from mercatura.sources.star_sample import DELIVERED, StarSample
-from mercatura.streaming import append_available, daily_sales, stream_parquet
+from mercatura.sources.tables import replace_table, table_or_none
+from mercatura.streaming import daily_sales, order_sales_stream, stream_parquet
 
 # The corpus subpackage is optional; everything else works without it.
 try:
@@ -107,19 +109,11 @@ def _categories(t: StarSample, **options) -> DataFrame:
 
 
 def _sellers(t: StarSample, **options) -> DataFrame:
-    # The size of the sellers table decides how the quintiles are ranked.
-    return seller_performance(
-        t.sellers,
-        t.order_items,
-        t.orders,
-        t.order_reviews,
-        rows_at_most=t.sellers_at_most,
-        **options,
-    )
+    return seller_performance(t.sellers, t.order_items, t.orders, t.order_reviews, **options)
 
 
 def _seller_revenue(t: StarSample) -> DataFrame:
-    return seller_metrics(t.sellers, t.order_items, t.orders, t.order_reviews)
+    return seller_metrics(t.sellers, t.order_items, t.orders, t.order_reviews, products=False)
 
 
 # Joins, aggregates, windows, scalars ---------------------------------------------------------
@@ -161,12 +155,11 @@ def _window_lag(t: StarSample) -> DataFrame:
     return with_growth(monthly).select("month", "revenue", "prev_month_revenue")
 
 
-def _window_ntile(value: str, name: str, distributed: bool) -> Query:
+def _window_ntile(value: str, name: str) -> Query:
     def build(t: StarSample) -> DataFrame:
         rows = _seller_revenue(t).select("seller_id", value)
         order = [F.col(value).desc_nulls_first(), F.col("seller_id").asc_nulls_last()]
-        bound = None if distributed else t.sellers_at_most
-        return ntile(rows, 5, order, name, rows_at_most=bound)
+        return ntile(rows, 5, order, name)
 
     return _on_tables(build)
 
@@ -223,6 +216,18 @@ def _round_trip(read) -> Query:
     return run
 
 
+def _ingest_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items as a CSV with amounts of up to six places, loaded with their schema."""
+    t = _tables(spark, sf_dir)
+    path = scratch_path(spark, "items-csv")
+    finer = F.col("freight_value").cast("decimal(16,6)") + (F.col("order_item_id") / 1_000_000).cast("decimal(16,6)")
+    write_csv(t.order_items.withColumn("freight_value", finer), path)
+    loaded = read_plain(spark, path, SCHEMAS["order_items"])
+    return loaded.select(
+        "order_id", "order_item_id", "product_id", "seller_id", "price", F.col("freight_value").cast("double")
+    ).withColumn("price", F.col("price").cast("double"))
+
+
 def _ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
     path = scratch_path(spark, "orders-csv")
@@ -230,6 +235,12 @@ def _ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_clean(spark, path, None, infer=True)
 
 
+def _null_reduction_dates(t: StarSample) -> DataFrame:
+    """Blank dates are NULL again once they are dates."""
+    text = cleaning.null_tokens(_text_dates(t))
+    return quality.null_reduction(text, clean_table(text))
+
+
 def _dedupe(t: StarSample) -> DataFrame:
     items = t.order_items.select(
         "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"
@@ -267,39 +278,89 @@ def _item_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The time report over a table that a stream of items has filled."""
+    """The time report over orders that a stream of items has added up."""
     t = _tables(spark, sf_dir)
     folder = scratch_path(spark, "stream-sales")
-    facts = append_available(
-        delivered_items(t.orders, _item_stream(spark, sf_dir), DELIVERED),
-        f"{folder}/facts",
-        f"{folder}/checkpoint",
+    per_order = order_sales_stream(
+        _item_stream(spark, sf_dir), t.orders, f"{folder}/orders", f"{folder}/checkpoint", DELIVERED
     )
-    return growth_report(monthly_totals(fold_to_orders(facts)))
+    return growth_report(monthly_totals(per_order))
 
 
 def _stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
     folder = scratch_path(spark, "stream-days")
-    days = append_available(
-        daily_sales(_item_stream(spark, sf_dir), t.orders, DELIVERED, "30 days"),
-        f"{folder}/days",
-        f"{folder}/checkpoint",
+    days = daily_sales(
+        _item_stream(spark, sf_dir), t.orders, f"{folder}/days", f"{folder}/checkpoint", DELIVERED
     )
     return days.select("day", F.col("revenue").cast("double").alias("revenue"), "items")
 
 
+# Tables and the job ------------------------------------------------------------------------------
+
+
+def _database(spark: SparkSession) -> str:
+    """A database of its own for each run, in the session's warehouse."""
+    name = f"mercatura_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    return name
+
+
+def _catalog_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables are written, replaced and read back; one that is not there decides the branch."""
+    t = _tables(spark, sf_dir)
+    database = _database(spark)
+    replace_table(t.products.limit(1), "products", database)
+    for name in ("products", "order_items", "order_reviews"):
+        replace_table(getattr(t, name), name, database)
+    stored = {n: table_or_none(spark, n, database) for n in ("products", "order_items", "order_reviews")}
+    translation = table_or_none(spark, "category_translation", database)
+    return category_analysis(
+        stored["products"], stored["order_items"], stored["order_reviews"], translation
+    )
+
+
+def _bucketed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales report over tables bucketed on the order."""
+    t = _tables(spark, sf_dir)
+    database = _database(spark)
+    write_layout({"orders": t.orders, "order_items": t.order_items}, 8, database)
+    orders, items = (spark.table(f"{database}.{n}") for n in ("orders", "order_items"))
+    return sales_patterns(orders, items, DELIVERED)
+
+
+def _job(report: str) -> Query:
+    """The whole run over CSV files made of the tables; one of its reports."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = _tables(spark, sf_dir)
+        folder = scratch_path(spark, "job")
+        tables = ("customers", "orders", "order_items", "products", "sellers", "order_reviews",
+                  "category_translation")
+        paths = {name: f"{folder}/csv/{name}" for name in tables}
+        for name, path in paths.items():
+            write_csv(getattr(t, name), path)
+        return job.run(spark, paths, f"{folder}/out", delivered=DELIVERED)[report]
+
+    return run
+
+
 def _seller_describe(t: StarSample) -> DataFrame:
-    return _rounded(describe(_sellers(t), METRICS, rows_at_most=t.sellers_at_most), 4, *METRICS)
+    return _rounded(describe(_sellers(t), METRICS), 4, *METRICS)
 
 
 def _rating_box(t: StarSample) -> DataFrame:
-    box = plots.rating_box(_sellers(t), rows_at_most=t.sellers_at_most)
+    box = plots.rating_box(_sellers(t))
     return _rounded(box, 6, "q1", "median", "q3", "whisker_low", "whisker_high")
 
 
 def _rating_outliers(t: StarSample) -> DataFrame:
-    return plots.rating_outliers(_sellers(t), rows_at_most=t.sellers_at_most)
+    return plots.rating_outliers(_sellers(t))
+
+
+def _spend_outliers(t: StarSample) -> DataFrame:
+    spend = customer_metrics(t.customers, t.orders, t.order_items)
+    return box_outliers(spend, "customer_state", "total_spend", "customer_id")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -350,10 +411,10 @@ def queries() -> dict[str, Query]:
         # Aggregates and windows
         "agg_count_distinct": _on_tables(_count_distinct),
         "window_lag": _on_tables(_window_lag),
-        "window_ntile_revenue": _window_ntile("revenue", "revenue_quintile", False),
-        "window_ntile_rating": _window_ntile("avg_rating", "rating_quintile", False),
-        "window_ntile_revenue_distributed": _window_ntile("revenue", "revenue_quintile", True),
-        "window_ntile_rating_distributed": _window_ntile("avg_rating", "rating_quintile", True),
+        "window_ntile_revenue": _window_ntile("revenue", "revenue_quintile"),
+        "window_ntile_rating": _window_ntile("avg_rating", "rating_quintile"),
+        "window_ntile_revenue_distributed": _window_ntile("revenue", "revenue_quintile"),
+        "window_ntile_rating_distributed": _window_ntile("avg_rating", "rating_quintile"),
         # Scalars
         "scalar_date_trunc": _on_tables(
             lambda t: t.orders.select(
@@ -387,8 +448,12 @@ def queries() -> dict[str, Query]:
         "ingest_plain": _round_trip(read_plain),
         "ingest_clean": _round_trip(read_clean),
         "ingest_clean_dates": _ingest_orders,
+        "ingest_items": _ingest_items,
         "dedupe": _on_tables(_dedupe),
-        "null_reduction": _on_tables(lambda t: quality.null_reduction(t.products)),
+        "null_reduction": _on_tables(
+            lambda t: quality.null_reduction(t.products, cleaning.fill_text(t.products))
+        ),
+        "null_reduction_dates": _on_tables(_null_reduction_dates),
         "validation_rules": _on_tables(_validation_rules),
         # Heads, tails, summaries, plot rows
         "top_states": _on_tables(lambda t: top_states(_behavior(t))),
@@ -401,9 +466,14 @@ def queries() -> dict[str, Query]:
         "plot_category_scatter": _on_tables(lambda t: plots.category_scatter(_categories(t))),
         "plot_rating_box": _on_tables(_rating_box),
         "plot_rating_outliers": _on_tables(_rating_outliers),
+        "plot_spend_outliers": _on_tables(_spend_outliers),
         # Streaming
         "stream_sales": _stream_sales,
         "stream_daily_sales": _stream_daily,
+        # Tables and the job
+        "catalog_category_analysis": _catalog_categories,
+        "layout_sales_patterns": _bucketed_sales,
+        "job_time_metrics": _job("time_metrics"),
         **_corpus_queries(),
     }
 
@@ -478,7 +548,7 @@ behavior AS (
   SELECT customer_state, count(*) AS customer_count,
          CAST(sum(order_count) AS DOUBLE) / count(*) AS avg_orders_per_customer,
          CAST(sum(spend) AS DOUBLE) / count(spend) AS avg_customer_value,
-         CAST(sum(CAST(round(avg_order_value, 6) AS DECIMAL(18,6))) AS DOUBLE)
+         CAST(sum(CAST(round(avg_order_value, 9) AS DECIMAL(24,9))) AS DOUBLE)
            / count(avg_order_value) AS avg_order_value
   FROM per_customer GROUP BY customer_state)"""
 
@@ -630,15 +700,16 @@ FROM seller_metrics""",
 FROM seller_metrics""",
         _sellers_sql(),
     )
-    label = """'say "hi", twice' AS label"""
-    return {
-        "sales_patterns": _sql(
-            """SELECT month, orders AS order_count, revenue, customers AS customer_count,
+    sales = _sql(
+        """SELECT month, orders AS order_count, revenue, customers AS customer_count,
        revenue / nullif(orders, 0) AS avg_order_value,
        revenue / nullif(customers, 0) AS revenue_per_customer
 FROM monthly""",
-            _MONTHLY,
-        ),
+        _MONTHLY,
+    )
+    label = """'say "hi", twice' AS label"""
+    return {
+        "sales_patterns": sales,
         "time_metrics": time_report,
         "customer_metrics": _sql(
             """SELECT customer_id, customer_state, order_count, CAST(spend AS DOUBLE) AS total_spend,
@@ -741,6 +812,41 @@ FROM f_orders"""
             ELSE strftime(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S') END AS approval_timestamp
 FROM f_orders"""
         ),
+        "ingest_items": _sql(
+            """SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(order_item_id AS VARCHAR) AS order_item_id,
+       CAST(product_id AS VARCHAR) AS product_id, CAST(seller_id AS VARCHAR) AS seller_id,
+       CAST(price AS DOUBLE) AS price,
+       CAST(CAST(freight_value AS DECIMAL(16,6)) + CAST(order_item_id / 1000000.0 AS DECIMAL(16,6))
+            AS DOUBLE) AS freight_value
+FROM f_items"""
+        ),
+        "null_reduction_dates": _sql(
+            """SELECT 'order_id' AS column_name, 0.0 AS null_percentage_before, 0.0 AS null_percentage_after
+UNION ALL
+SELECT 'Order_Date', CAST(count(CASE WHEN order_status = 'P' THEN 1 END) AS DOUBLE) * 100.0 / count(*),
+       CAST(count(CASE WHEN order_status = 'P' THEN 1 END) AS DOUBLE) * 100.0 / count(*)
+FROM f_orders
+UNION ALL
+SELECT 'approval_timestamp', 0.0, 0.0"""
+        ),
+        "plot_spend_outliers": _sql(
+            """SELECT customer_id, customer_state, total_spend
+FROM (SELECT p.customer_id, p.customer_state, CAST(p.spend AS DOUBLE) AS total_spend, q1, q3
+      FROM per_customer p JOIN fences f ON p.customer_state = f.customer_state
+      WHERE p.spend IS NOT NULL) AS placed
+WHERE NOT total_spend BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)""",
+            _CUSTOMERS,
+            """
+fences AS (
+  SELECT customer_state, quantile_cont(CAST(spend AS DOUBLE), 0.25) AS q1,
+         quantile_cont(CAST(spend AS DOUBLE), 0.75) AS q3
+  FROM per_customer WHERE spend IS NOT NULL GROUP BY customer_state)""",
+        ),
+        "catalog_category_analysis": _sql(
+            "SELECT * FROM categories", _categories_sql("p.product_category_name")
+        ),
+        "layout_sales_patterns": sales,
+        "job_time_metrics": time_report,
         "dedupe": _sql(
             """SELECT order_id, order_item_id, product_id, seller_id,
        CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value
@@ -820,11 +926,9 @@ FROM points GROUP BY revenue_quintile, n, q1, median, q3""",
         "stream_sales": time_report,
         "stream_daily_sales": _sql(
             """SELECT day, CAST(sum(price) AS DOUBLE) AS revenue, count(*) AS items
-FROM (SELECT CAST(date_trunc('day', o.order_purchase_timestamp) AS TIMESTAMP) AS day, i.price,
-             max(o.order_purchase_timestamp) OVER () AS newest
+FROM (SELECT CAST(date_trunc('day', o.order_purchase_timestamp) AS TIMESTAMP) AS day, i.price
       FROM f_items i JOIN f_orders o ON i.order_id = o.order_id
       WHERE o.order_status = 'F') AS sold
-WHERE day + INTERVAL 1 DAY <= newest - INTERVAL 30 DAY
 GROUP BY day"""
         ),
         **_corpus_sql(),

@@ -32,6 +32,14 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--no-clean", action="store_true", help="leave text NULLs as they are")
     parser.add_argument("--buckets", type=int, help="store the tables bucketed on order_id")
     parser.add_argument("--database", help="database of the bucketed tables")
+    parser.add_argument(
+        "--multi-line",
+        action="append",
+        default=[],
+        metavar="TABLE",
+        choices=list(job.DATA_FILES),
+        help="table whose text holds line breaks; each of its files is then one task",
+    )
     return parser
 
 
@@ -54,6 +62,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         clean=not args.no_clean,
         buckets=args.buckets,
         database=args.database,
+        multi_line=args.multi_line,
     )
     job.show_summaries(reports)
 

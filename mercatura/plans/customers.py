@@ -10,8 +10,8 @@ from mercatura.operators.fanout import COUNT
 from mercatura.operators.folding import fold_for_join
 from mercatura.plans.sales import PURCHASED
 
-# An average of averages is taken over values fixed to six places, so that it is exact too.
-_PLACES = 6
+# An average of averages is taken over values fixed to nine places, so that it is exact too.
+_PLACES = 9
 
 
 def _per_customer(customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -68,7 +68,7 @@ def customer_metrics(customers: DataFrame, orders: DataFrame, items: DataFrame)
 
 def customer_behavior(customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
     """Per state: customers with orders, and unweighted means over them."""
-    value = F.round("avg_order_value", _PLACES).cast(f"decimal(18,{_PLACES})")
+    value = F.round("avg_order_value", _PLACES).cast(f"decimal(24,{_PLACES})")
     return (
         _per_customer(customers, orders, items)
         .withColumn("_value", value)

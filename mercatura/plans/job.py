@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,12 +22,23 @@ from mercatura.operators.quality import (
 )
 from mercatura.plans import plots
 from mercatura.plans.customers import customer_behavior
-from mercatura.plans.products import category_analysis, product_performance, top_categories
-from mercatura.plans.sales import latest_months, sales_patterns, time_metrics
+from mercatura.plans.products import (
+    category_report,
+    category_totals,
+    product_report,
+    top_categories,
+)
+from mercatura.plans.sales import (
+    check_delivery_dates,
+    growth_report,
+    latest_months,
+    monthly_sales,
+    sales_report,
+)
 from mercatura.plans.sellers import METRICS, seller_performance
-from mercatura.schema import FREE_TEXT_TABLES, SCHEMAS, Tables
-from mercatura.session import tune
-from mercatura.sources.csv_files import clean_table, load_files
+from mercatura.schema import SCHEMAS, Tables
+from mercatura.session import checkpointed, tune
+from mercatura.sources.csv_files import clean_table, load_files, typed
 from mercatura.sources.layout import write_layout
 from mercatura.sources.tables import bundle, qualified, replace_folder
 
@@ -106,8 +117,10 @@ def validation(tables: Tables) -> DataFrame:
 def quality_report(
     raw: Mapping[str, DataFrame], clean: Mapping[str, DataFrame]
 ) -> dict[str, DataFrame]:
-    """NULLs before and after the text fill, NULLs as stored, duplicate keys, date ranges."""
-    report = {f"null_reduction/{name}": null_reduction(df) for name, df in raw.items()}
+    """NULLs as read and as stored, incomplete rows, duplicate keys, date ranges."""
+    report = {
+        f"null_reduction/{name}": null_reduction(df, clean[name]) for name, df in raw.items()
+    }
     for name, df in clean.items():
         report[f"columns/{name}"] = column_profile(df)
         if name in KEYS:
@@ -139,23 +152,26 @@ class Reports:
 
 
 def build_reports(
-    tables: Tables, *, delivered: str = "delivered", rows_at_most: int | None = None
+    tables: Tables,
+    *,
+    delivered: str = "delivered",
+    share: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Reports:
-    """All reports, lazily. ``rows_at_most`` bounds the number of sellers, if known."""
+    """All reports. ``share`` is applied to the monthly and the category totals, which two
+    reports each are made of: pass ``checkpointed`` to compute them once."""
     t = tables
+    check_delivery_dates(t.orders, t.order_items)
+    monthly = share(monthly_sales(t.orders, t.order_items, delivered))
+    by_category = share(
+        category_totals(t.products, t.order_items, t.order_reviews, t.category_translation)
+    )
     return Reports(
-        sales=sales_patterns(t.orders, t.order_items, delivered),
-        time=time_metrics(t.orders, t.order_items, delivered),
+        sales=sales_report(monthly),
+        time=growth_report(monthly),
         customers=customer_behavior(t.customers, t.orders, t.order_items),
-        products=product_performance(
-            t.products, t.order_items, t.order_reviews, t.category_translation
-        ),
-        categories=category_analysis(
-            t.products, t.order_items, t.order_reviews, t.category_translation
-        ),
-        sellers=seller_performance(
-            t.sellers, t.order_items, t.orders, t.order_reviews, rows_at_most=rows_at_most
-        ),
+        products=product_report(by_category),
+        categories=category_report(by_category),
+        sellers=seller_performance(t.sellers, t.order_items, t.orders, t.order_reviews),
     )
 
 
@@ -169,21 +185,23 @@ def run(
     clean: bool = True,
     buckets: int | None = None,
     database: str | None = None,
+    multi_line: Collection[str] = (),
 ) -> dict[str, DataFrame]:
     """Run everything and write it under ``out_dir``; returns the written reports.
 
-    Every CSV lands as parquet first. Cleaning, profiles and reports read that, so no file is
-    parsed again. With ``buckets`` the cleaned tables become catalog tables bucketed for the
-    joins; otherwise they are parquet folders.
+    Every CSV is parsed once and lands as parquet of text. Typing, cleaning and profiles read
+    that, the reports what typing and cleaning made of it. With ``buckets`` the cleaned tables
+    become catalog tables bucketed for the joins; otherwise they are parquet folders. A table in
+    ``multi_line`` may hold quoted line breaks, at the price of one task per file.
     """
     tune(spark)
     out = out_dir.rstrip("/")
-    read = load_files(spark, paths, SCHEMAS, on_missing=on_missing, free_text=FREE_TEXT_TABLES)
     raw = {}
-    for name, df in read.items():
+    for name, df in load_files(spark, paths, on_missing=on_missing, multi_line=multi_line).items():
         replace_folder(df, f"{out}/raw/{name}")
         raw[name] = spark.read.parquet(f"{out}/raw/{name}")
-    loaded = {name: clean_table(df) if clean else parse_dates(df) for name, df in raw.items()}
+    types = {name: typed(df, SCHEMAS.get(name)) for name, df in raw.items()}
+    loaded = {name: clean_table(df) if clean else parse_dates(df) for name, df in types.items()}
     if buckets is None:
         for name, df in loaded.items():
             replace_folder(df, f"{out}/tables/{name}")
@@ -197,8 +215,7 @@ def run(
         replace_folder(df, f"{out}/quality/{name}")
     replace_folder(validation(tables), f"{out}/quality/validation")
 
-    rows_at_most = tables.sellers.count()
-    reports = build_reports(tables, delivered=delivered, rows_at_most=rows_at_most)
+    reports = build_reports(tables, delivered=delivered, share=checkpointed)
     written = {}
     for name, df in reports.named().items():
         replace_folder(df, f"{out}/reports/{name}")
@@ -210,12 +227,12 @@ def run(
             "revenue_trend": plots.revenue_trend(written["time_metrics"]),
             "customers_by_state": plots.customers_by_state(written["customer_behavior"]),
             "category_scatter": plots.category_scatter(written["category_analysis"]),
-            "rating_box": plots.rating_box(sellers, rows_at_most=rows_at_most),
-            "rating_outliers": plots.rating_outliers(sellers, rows_at_most=rows_at_most),
+            "rating_box": plots.rating_box(sellers),
+            "rating_outliers": plots.rating_outliers(sellers),
         },
         f"{out}/plots",
     )
-    summary = describe(sellers, METRICS, rows_at_most=rows_at_most)
+    summary = describe(sellers, METRICS)
     replace_folder(summary, f"{out}/reports/seller_summary")
     written["seller_summary"] = spark.read.schema(summary.schema).parquet(
         f"{out}/reports/seller_summary"

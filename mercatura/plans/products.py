@@ -15,19 +15,23 @@ def product_categories(products: DataFrame, translation: DataFrame | None) -> Da
     if translation is None:
         return products.select("product_id", "product_category_name", raw.alias("category"))
     names = translation.select("product_category_name", "product_category_name_english")
-    return products.join(names, "product_category_name", "left").select(
+    # A product without a category has no translation: taken round the join, which would
+    # gather all of them in one task.
+    named = products.where(raw.isNotNull()).join(names, "product_category_name", "left")
+    nameless = products.where(raw.isNull())
+    return named.select(
         "product_id",
         "product_category_name",
         F.coalesce("product_category_name_english", raw).alias("category"),
-    )
+    ).unionByName(nameless.select("product_id", "product_category_name", raw.alias("category")))
 
 
-def _category_totals(
+def category_totals(
     products: DataFrame,
     items: DataFrame,
     reviews: DataFrame,
     translation: DataFrame | None,
-    one_review_per_order: bool,
+    one_review_per_order: bool = False,
 ) -> DataFrame:
     """Per category: products sold, orders, revenue, and sums for the means.
 
@@ -77,7 +81,12 @@ def product_performance(
     one_review_per_order: bool = False,
 ) -> DataFrame:
     """Per category: products, orders, revenue, mean price, mean rating."""
-    totals = _category_totals(products, items, reviews, translation, one_review_per_order)
+    totals = category_totals(products, items, reviews, translation, one_review_per_order)
+    return product_report(totals, more_orders_than)
+
+
+def product_report(totals: DataFrame, more_orders_than: int = 10) -> DataFrame:
+    """Shape category totals into the product report."""
     return (
         totals.where(F.col("orders") > more_orders_than)
         .select(
@@ -105,7 +114,12 @@ def category_analysis(
 
     Without a translation table the raw category name is used.
     """
-    totals = _category_totals(products, items, reviews, translation, one_review_per_order)
+    totals = category_totals(products, items, reviews, translation, one_review_per_order)
+    return category_report(totals, more_orders_than)
+
+
+def category_report(totals: DataFrame, more_orders_than: int = 100) -> DataFrame:
+    """Shape category totals into the category report."""
     return (
         totals.where(F.col("orders") > more_orders_than)
         .select(

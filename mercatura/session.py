@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -19,7 +20,10 @@ RUNTIME_CONF = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Set the run-time options the plans rely on. All of them can change in a live session."""
+    """Set the run-time options the plans rely on. All of them can change in a live session.
+
+    They stay set: the plans are lazy, so nobody here knows when the last of them has run.
+    """
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
@@ -30,6 +34,17 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+@cache
+def _local_scratch() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="mercatura-")
+
+
+def _means_local_disk(spark: SparkSession, path: str) -> bool:
+    """A path without a scheme, where the default file system is the local one."""
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    return "://" not in path and not path.startswith("file:") and default.startswith("file:")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir``, or a scratch one in local mode."""
     sc = spark.sparkContext
@@ -37,17 +52,32 @@ def shared_dir(spark: SparkSession) -> str:
     if base is None:
         if not _is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="mercatura-")
+        # Goes when the interpreter ends.
+        base = _local_scratch().name
+    elif not _is_local(spark) and _means_local_disk(spark, base):
+        raise ValueError(
+            f"{base} is on a machine's own disk; a folder that is shared all the same, such as a"
+            " mount, is named with file://"
+        )
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
+    """A fresh path under the shared folder. What is written there stays until ``drop_scratch``."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a path that ``scratch_path`` gave, once nothing reads it any more."""
+    if not path.startswith(shared_dir(spark) + "/"):
+        raise ValueError(f"{path} is no scratch path")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def checkpointed(df):
     """Write ``df`` to the shared folder once and go on from the files."""
     shared_dir(df.sparkSession)

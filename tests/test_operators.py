@@ -15,7 +15,7 @@ from mercatura.operators import cleaning, quality
 from mercatura.operators.describe import box_outliers, box_stats, describe
 from mercatura.operators.fanout import review_stats
 from mercatura.operators.quantiles import exact_quantiles
-from mercatura.operators.ranking import SINGLE_TASK_ROWS, global_rank, ntile, tile_of
+from mercatura.operators.ranking import global_rank, ntile, tile_of
 
 slow = settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -31,9 +31,8 @@ def by_value():
 
 def test_ntile_puts_nulls_first(spark):
     df = spark.createDataFrame([(1, 1), (2, 2), (3, None), (4, 4)], "id int, v int")
-    for bound in (4, None):
-        got = {r["v"]: r["t"] for r in ntile(df, 2, by_value(), "t", rows_at_most=bound).collect()}
-        assert got == {None: 1, 4: 1, 2: 2, 1: 2}
+    got = {r["v"]: r["t"] for r in ntile(df, 2, by_value(), "t").collect()}
+    assert got == {None: 1, 4: 1, 2: 2, 1: 2}
 
 
 @pytest.mark.parametrize("n", [0, 1, 3, 5, 7, 1003, 20000])
@@ -71,12 +70,9 @@ def test_ties_are_spread_over_partitions(spark):
     assert spread < 10000
 
 
-def test_bound_chooses_the_plan(spark):
+def test_no_rank_gathers_all_rows(spark):
     df = spark.range(10).select("id", F.col("id").alias("v"))
-    assert "Window" in plan(ntile(df, 5, by_value(), "t", rows_at_most=SINGLE_TASK_ROWS))
-    for bound in (None, SINGLE_TASK_ROWS + 1):
-        large = ntile(df, 5, by_value(), "t", rows_at_most=bound)
-        assert "ntile" not in plan(large)
+    assert "ntile" not in plan(ntile(df, 5, by_value(), "t"))
 
 
 # Quantiles and summaries ---------------------------------------------------------------------------
@@ -113,35 +109,32 @@ def test_quantiles_of_equal_values_are_not_gathered(spark):
     assert got["n"] == 30000 and got["quantiles"] == pytest.approx(expected)
 
 
-@pytest.mark.parametrize("bound", [100, None])
-def test_describe_is_that_of_pandas(spark, bound):
+def test_describe_is_that_of_pandas(spark):
     frame = pd.DataFrame({"k": list("abcdef"), "x": [1, 2, 3, 10, None, 4], "y": [5, 5, 5, 5, 5, 7]})
     df = spark.createDataFrame(
         [(k, None if math.isnan(x) else float(x), int(y)) for k, x, y in frame.itertuples(index=False)],
         "k string, x double, y int",
     )
-    got = describe(df, ["x", "y"], rows_at_most=bound).toPandas().set_index("statistic")
+    got = describe(df, ["x", "y"]).toPandas().set_index("statistic")
     expected = frame.describe()
     assert list(got.index) == list(expected.index)
     for column in ("x", "y"):
         assert got[column].tolist() == pytest.approx(expected[column].tolist())
 
 
-@pytest.mark.parametrize("bound", [100, None])
-def test_describe_of_nothing(spark, bound):
+def test_describe_of_nothing(spark):
     df = spark.createDataFrame([(None, 1.0)], "x double, y double")
-    got = {r["statistic"]: (r["x"], r["y"]) for r in describe(df, ["x", "y"], rows_at_most=bound).collect()}
+    got = {r["statistic"]: (r["x"], r["y"]) for r in describe(df, ["x", "y"]).collect()}
     assert got["count"] == (0.0, 1.0) and got["50%"] == (None, 1.0) and got["std"] == (None, None)
 
 
-@pytest.mark.parametrize("bound", [100, None])
-def test_box(spark, bound):
+def test_box(spark):
     points = [("s%d" % i, 1, float(v)) for i, v in enumerate([1, 2, 3, 4, 5, 6, 7, 30])]
     df = spark.createDataFrame(points + [("n", 1, None), ("z", 2, 4.0)], "id string, q int, v double")
-    box = {r["q"]: r for r in box_stats(df, "q", "v", rows_at_most=bound).collect()}
+    box = {r["q"]: r for r in box_stats(df, "q", "v").collect()}
     assert tuple(box[1]) == (1, 8, 2.75, 4.5, 6.25, 1.0, 7.0, 1)
     assert tuple(box[2]) == (2, 1, 4.0, 4.0, 4.0, 4.0, 4.0, 0)
-    assert rows(box_outliers(df, "q", "v", "id", rows_at_most=bound)) == [("s7", 1, 30.0)]
+    assert rows(box_outliers(df, "q", "v", "id")) == [("s7", 1, 30.0)]
 
 
 # Profiles --------------------------------------------------------------------------------------------
@@ -214,10 +207,21 @@ def test_date_range(spark):
 
 
 def test_null_reduction(profiled):
-    got = {r[0]: r[1:] for r in rows(quality.null_reduction(profiled))}
+    got = {r[0]: r[1:] for r in rows(quality.null_reduction(profiled, cleaning.fill_text(profiled)))}
     assert got == {"k": (0.0, 0.0), "s": (25.0, 0.0), "x": (50.0, 50.0)}
 
 
+def test_null_reduction_is_measured(spark):
+    from mercatura.sources.csv_files import clean_table
+
+    text = spark.createDataFrame([("a", "2017-01-01"), (None, None)], "k string, order_date string")
+    got = {r[0]: r[1:] for r in rows(quality.null_reduction(text, clean_table(text)))}
+    # The blank date is filled, then NULL again.
+    assert got == {"k": (50.0, 0.0), "order_date": (50.0, 50.0)}
+    gone = rows(quality.null_reduction(text, text.drop("k")).where("column_name = 'k'"))
+    assert gone == [("k", 50.0, None)]
+
+
 def test_rules(profiled):
     got = rows(quality.validate(profiled, {"x above 1": F.col("x") > 1, "k": F.col("k") < 4}))
     assert got == [("x above 1", 4, 1, 25.0), ("k", 4, 3, 75.0)]
@@ -286,6 +290,35 @@ def test_bad_values_can_raise(spark):
         cleaning.cast_if_clean(df, {}, on_bad="drop")
 
 
+def test_decimals_keep_their_digits(spark):
+    from pyspark.sql import types as T
+
+    price = {"price": T.DecimalType(12, 2)}
+    fine = spark.createDataFrame([("12.345",), ("0.004",), ("1.00005",), ("7",), ("1.50",), ("",)], "price string")
+    got = cleaning.cast_if_clean(fine, price)
+    assert got.schema["price"].dataType == T.DecimalType(15, 5)
+    assert [r[0] for r in rows(got)] == [
+        Decimal(x) for x in ("12.34500", "0.00400", "1.00005", "7.00000", "1.50000")
+    ] + [None]
+    plain = spark.createDataFrame([("12.30000",), ("1",)], "price string")
+    assert cleaning.cast_if_clean(plain, price).schema["price"].dataType == T.DecimalType(12, 2)
+    for value in ("0.0000001", "1e-3", "99999999999999"):
+        odd = spark.createDataFrame([(value,), ("1.00",)], "price string")
+        assert cleaning.cast_if_clean(odd, price).schema["price"].dataType == T.StringType()
+
+
+def test_doubles_are_summed_exactly_or_raise(spark):
+    from mercatura.functions import exact
+
+    small = spark.range(1000).select(F.lit(0.00004).alias("v"))
+    assert rows(small.agg(F.sum(exact(small, "v")))) == [(Decimal("0.040000"),)]
+    for value in (0.0000001, 1e13, float("nan")):
+        df = spark.createDataFrame([(value,)], "v double")
+        with pytest.raises(Exception, match="v does not fit"):
+            df.agg(F.sum(exact(df, "v"))).collect()
+    assert rows(spark.createDataFrame([(None,)], "v double").select(exact(spark.createDataFrame([], "v double"), "v"))) == [(None,)]
+
+
 def test_numbers_are_inferred(spark):
     df = spark.createDataFrame(
         [("1", "1", "01409", "1.5", "1e3", "x", None, "1d", "99999999999999999999"),

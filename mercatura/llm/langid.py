@@ -18,6 +18,7 @@ Edge cases: a NULL text counts as empty and says nothing; missing declarations,
 say nothing; a text without letters is ``und`` whatever else is known; ties go to the language
 first in the alphabet; equal rows get equal results; other columns pass through, and columns with
 the names of results are replaced. Without labelled text, everything is ``und``.
+Columns with names that are used inside, which begin with an underscore, are dropped.
 """
 
 from __future__ import annotations
@@ -46,6 +47,9 @@ GRAM_SMOOTHING = 0.1
 PRIOR_ROWS = 5.0
 EVIDENCE_ROWS = 2.0
 
+# Per row: what its text says, and the counts it meets.
+_NUMBERS = ("_text", "_says", "_all", "_by_domain", "_by_host", "_with_suffix", "_with_declared")
+
 RESULTS = ("language", "confidence", "text_language", "letters")
 
 _KEEP = np.zeros(256, bool)
@@ -70,7 +74,7 @@ def grams(text: str) -> tuple[np.ndarray, int]:
 
 @dataclass(frozen=True)
 class Model:
-    """Log probabilities of the trigram buckets by language; ``und`` comes last."""
+    """Log probabilities, a row for each trigram bucket, by language; ``und`` comes last."""
 
     languages: tuple[str, ...]
     logs: np.ndarray
@@ -79,7 +83,7 @@ class Model:
         at, letters = grams(text)
         if not letters:
             return [0.0] * len(self.languages), 0
-        total = self.logs[:, at].sum(axis=1) * min(1.0, TEXT_WEIGHT / len(at))
+        total = self.logs[at].sum(axis=0) * min(1.0, TEXT_WEIGHT / len(at))
         return total.tolist(), letters
 
 
@@ -95,7 +99,7 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang") -> Model
                     if len(counts) >= MAX_LANGUAGES:
                         raise ValueError(f"more than {MAX_LANGUAGES} languages")
                     counts[language] = np.zeros(BUCKETS, np.int64)
-                counts[language] += np.bincount(at, minlength=BUCKETS)
+                np.add.at(counts[language], at, 1)
         if counts:
             yield pa.RecordBatch.from_pydict(
                 {"label": pa.array(list(counts), pa.string()),
@@ -114,14 +118,53 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang") -> Model
     found = sorted((r["label"], np.array(r["counts"], float)) for r in rows if r["label"] != UNKNOWN)
     logs = [np.log((c + GRAM_SMOOTHING) / (c.sum() + GRAM_SMOOTHING * BUCKETS)) for _, c in found]
     logs.append(np.full(BUCKETS, -np.log(BUCKETS)))
-    return Model((*(name for name, _ in found), UNKNOWN), np.array(logs))
+    return Model((*(name for name, _ in found), UNKNOWN), np.ascontiguousarray(np.array(logs).T))
+
+
+def _softmax(logs: np.ndarray) -> np.ndarray:
+    raised = np.exp(logs - logs.max(axis=-1, keepdims=True))
+    return raised / raised.sum(axis=-1, keepdims=True)
+
+
+def _smoothed(counts: np.ndarray, above: np.ndarray, rows: float) -> np.ndarray:
+    """Shares by language, as if ``rows`` more rows had the shares of the level above."""
+    counts = np.maximum(counts, 0)
+    return (counts + rows * above) / (counts.sum(axis=1, keepdims=True) + rows)
+
+
+def _posterior(rows: pd.DataFrame, size: int) -> np.ndarray:
+    """Of each row, from its likelihoods and the counts it meets, its own share taken out."""
+
+    def matrix(name: str) -> tuple[np.ndarray, np.ndarray]:
+        known = rows[name].notna().to_numpy()
+        out = np.zeros((len(rows), size))
+        if known.any():
+            out[known] = np.stack(rows.loc[known, name].to_numpy())
+        return out, known[:, None]
+
+    says, _ = matrix("_says")
+    overall = _smoothed(matrix("_all")[0] - says, np.full((len(rows), size), 1 / size), 1.0)
+    prior = overall
+    for level in ("_by_domain", "_by_host"):
+        counts, known = matrix(level)
+        prior = np.where(known, _smoothed(counts - says, prior, PRIOR_ROWS), prior)
+    logs = matrix("_text")[0] + np.log(prior)
+    for evidence in ("_with_suffix", "_with_declared"):
+        # P(value | language) is in proportion to P(language | value) / P(language).
+        counts, known = matrix(evidence)
+        logs += np.where(known, np.log(_smoothed(counts - says, overall, EVIDENCE_ROWS) / overall), 0.0)
+    return _softmax(logs)
 
 
 def _with_likelihoods(df: DataFrame, model: Model, column: str, markup: bool) -> DataFrame:
-    """``_text`` (log likelihoods) and ``letters`` in place of ``column``; from a page's main text
-    if it is markup, and then ``_declared`` too."""
+    """``_text`` (log likelihoods), ``_says`` and ``letters`` in place of ``column``; from a page's
+    main text if it is markup, and then ``_declared`` too.
+
+    ``_says`` is what text alone says: one row's worth, spread over the languages, and nothing
+    without letters."""
     kept = [c for c in df.columns if c != column]
-    more = [T.StructField("_text", T.ArrayType(T.DoubleType())), T.StructField("letters", T.LongType())]
+    numbers = T.ArrayType(T.DoubleType())
+    more = [T.StructField("_text", numbers), T.StructField("_says", numbers), T.StructField("letters", T.LongType())]
     more += [T.StructField("_declared", T.StringType())] * markup
     schema = T.StructType([*(f for f in df.schema.fields if f.name in kept), *more])
 
@@ -133,6 +176,7 @@ def _with_likelihoods(df: DataFrame, model: Model, column: str, markup: bool) ->
             arrays = [
                 *(batch.column(c) for c in kept),
                 pa.array([d[0] for d in done], pa.list_(pa.float64())),
+                pa.array([_softmax(np.array(d[0])) * (d[1] > 0) for d in done], pa.list_(pa.float64())),
                 pa.array([d[1] for d in done], pa.int64()),
             ]
             if markup:
@@ -143,33 +187,8 @@ def _with_likelihoods(df: DataFrame, model: Model, column: str, markup: bool) ->
     return df.select(*kept, column).mapInArrow(run, schema)
 
 
-def _softmax(logs: Column) -> Column:
-    top = F.array_max(logs)
-    raised = F.transform(logs, lambda x: F.exp(x - top))
-    total = F.aggregate(raised, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(raised, lambda x: x / total)
-
-
-def _plus(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: x + y)
-
-
-def _less(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: F.greatest(x - y, F.lit(0.0)))
-
-
-def _total(a: Column) -> Column:
-    return F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-
-
-def _smoothed(counts: Column, above: Column, rows: float) -> Column:
-    """Shares by language, as if ``rows`` more rows had the shares of the level above."""
-    n = _total(counts) + F.lit(rows)
-    return F.zip_with(counts, above, lambda c, a: (c + F.lit(rows) * a) / n)
-
-
 def _sums(df: DataFrame, keys: Sequence[str], name: str, size: int) -> DataFrame:
-    sums = [F.sum(F.col("_says")[i]) for i in range(size)]
+    sums = [F.sum(F.get("_says", F.lit(i))) for i in range(size)]
     return df.groupBy(*keys).agg(F.array(*sums).alias(name))
 
 
@@ -205,11 +224,7 @@ def identify(
     if not markup:
         given["_declared"] = nothing if declared is None else F.lower(declared.cast("string"))
     scored = _with_likelihoods(named.withColumns(given), model, column, markup)
-    # What text alone says: one row's worth, spread over the languages; nothing without letters.
-    says = F.when(F.col("letters") > 0, _softmax(F.col("_text"))).otherwise(
-        F.array_repeat(F.lit(0.0), size)
-    )
-    rows = checkpointed(scored.withColumn("_says", says).withColumn("_domain", domain_of(F.col("_host"))))
+    rows = checkpointed(scored.withColumn("_domain", domain_of(F.col("_host"))))
 
     everything = _sums(rows, [], "_all", size).select(F.col("_all")).scalar()
     hosts = _sums(rows.where("_host IS NOT NULL"), ["_domain", "_host"], "_by_host", size)
@@ -223,45 +238,34 @@ def identify(
         .join(by_declared, "_declared", "left")
         .withColumn("_all", F.coalesce(everything, F.array_repeat(F.lit(0.0), size)))
     )
-    own = F.col("_says")
-    even = F.array_repeat(F.lit(1.0 / size), size)
-    overall = _smoothed(_less(F.col("_all"), own), even, 1.0)
-    of_domain = F.when(
-        F.col("_by_domain").isNull(), F.col("_overall")
-    ).otherwise(_smoothed(_less(F.col("_by_domain"), own), F.col("_overall"), PRIOR_ROWS))
-    of_host = F.when(
-        F.col("_by_host").isNull(), F.col("_of_domain")
-    ).otherwise(_smoothed(_less(F.col("_by_host"), own), F.col("_of_domain"), PRIOR_ROWS))
-
-    def likelihood(counts: Column) -> Column:
-        # P(value | language) is in proportion to P(language | value) / P(language).
-        share = F.zip_with(
-            _smoothed(_less(counts, own), F.col("_overall"), EVIDENCE_ROWS),
-            F.col("_overall"),
-            lambda x, y: F.log(x / y),
-        )
-        return F.when(counts.isNull(), F.array_repeat(F.lit(0.0), size)).otherwise(share)
-
-    names = F.array(*[F.lit(x) for x in model.languages])
-    fused = _plus(
-        _plus(F.col("_text"), F.transform(F.col("_prior"), lambda x: F.log(x))),
-        _plus(likelihood(F.col("_with_suffix")), likelihood(F.col("_with_declared"))),
-    )
-    unknown = F.col("letters") == 0
-
-    def first_best(shares: Column) -> Column:
-        return F.element_at(names, F.array_position(shares, F.array_max(shares)).cast("int"))
-
-    return (
-        joined.withColumn("_overall", overall)
-        .withColumn("_of_domain", of_domain)
-        .withColumn("_prior", of_host)
-        .withColumn("_posterior", _softmax(fused))
-        .select(
-            *named.drop(column).columns,
-            F.when(unknown, F.lit(UNKNOWN)).otherwise(first_best(F.col("_posterior"))).alias("language"),
-            F.when(unknown, F.lit(0.0)).otherwise(F.array_max("_posterior")).alias("confidence"),
-            F.when(unknown, F.lit(UNKNOWN)).otherwise(first_best(own)).alias("text_language"),
-            "letters",
-        )
+    kept = [c for c in named.columns if c != column]
+    schema = T.StructType(
+        [
+            *(f for f in named.schema.fields if f.name in kept),
+            T.StructField("language", T.StringType()),
+            T.StructField("confidence", T.DoubleType()),
+            T.StructField("text_language", T.StringType()),
+            T.StructField("letters", T.LongType()),
+        ]
     )
+    names = np.array(model.languages, object)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Only the numbers become pandas; what passes through stays as it is.
+            frame = pa.Table.from_batches([batch]).select([*_NUMBERS, "letters"]).to_pandas()
+            letters = frame["letters"].to_numpy() > 0
+            shares = _posterior(frame, size)
+            says = np.stack(frame["_says"].to_numpy()) if len(frame) else np.zeros((0, size))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c) for c in kept),
+                    pa.array(np.where(letters, names[shares.argmax(axis=1)], UNKNOWN), pa.string()),
+                    pa.array(np.where(letters, shares.max(axis=1), 0.0), pa.float64()),
+                    pa.array(np.where(letters, names[says.argmax(axis=1)], UNKNOWN), pa.string()),
+                    batch.column("letters"),
+                ],
+                [*kept, "language", "confidence", "text_language", "letters"],
+            )
+
+    return joined.select(*kept, *_NUMBERS, "letters").mapInArrow(run, schema)

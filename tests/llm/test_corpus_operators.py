@@ -1,0 +1,448 @@
+"""Decontamination, the Jaccard join, fingerprints, line dedup, components and the pipeline."""
+
+import hashlib
+import random
+import re
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+from conftest import rows
+from corpus_fixtures import store, table  # noqa: F401
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from mercatura.llm import decontaminate, jaccard, lines, winnow
+from mercatura.llm import queries as Q
+from mercatura.llm import words as W
+from mercatura.llm.components import components
+
+quick = settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+WORD = re.compile(W.PATTERN)
+
+
+def plain_words(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return WORD.findall(lower)
+
+
+def values(df):
+    return sorted(map(repr, (tuple(r) for r in df.collect())))
+
+
+# Words -------------------------------------------------------------------------------------------------
+
+
+@quick
+@given(st.lists(st.one_of(st.none(), st.text(st.sampled_from("aB9 _-.é日😀\x7f\x80\n"), max_size=25)), max_size=8))
+def test_words_and_shingles(texts):
+    found = W.words(pa.array(texts, pa.string()))
+    expected = [plain_words(t) for t in texts]
+    assert np.diff(found.first).tolist() == [len(w) for w in expected]
+    for t, own in enumerate(expected):
+        assert found.text(found.first[t], found.first[t + 1]) == " ".join(own)
+    flat = [w for own in expected for w in own]
+    by_word = {}
+    for word, value in zip(flat, found.hashes.tolist()):
+        assert by_word.setdefault(word, value) == value
+    assert len(set(by_word.values())) == len(by_word)
+    shingles, at = found.shingles(2)
+    assert at.tolist() == [f + i for f, own in zip(found.first, expected) for i in range(len(own) - 1)]
+    by_pair = {}
+    for value, i in zip(shingles.tolist(), at):
+        assert by_pair.setdefault((flat[i], flat[i + 1]), value) == value
+
+
+# Decontamination -----------------------------------------------------------------------------------------
+
+
+def plain_hits(docs, items):
+    windows = {}
+    for key, text in items:
+        w = plain_words(text)
+        n = min(13, len(w))
+        for s in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[s : s + n]), set()).add(key)
+    out = []
+    for key, text in docs:
+        w, hit, found = plain_words(text), set(), set()
+        for n in {len(x) for x in windows}:
+            for s in range(len(w) - n + 1):
+                if tuple(w[s : s + n]) in windows:
+                    hit |= set(range(s, s + n))
+                    found |= windows[tuple(w[s : s + n])]
+        ids = sorted(str(f) for f in found if f is not None)
+        out.append((key, len(w), len(hit), ids, bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(map(repr, out))
+
+
+def test_passages_are_found(spark, table):
+    rng = random.Random(11)
+    pool = ["a", "b", "c", "d"]
+    items = [(i, " ".join(rng.choice(pool) for _ in range(n))) for i, n in
+             enumerate([0, 1, 2, 4, 5, 6, 12, 13, 14, 20, 30])] + [(99, "!?"), (None, "x y z"), (7, None), (5, "q Q,q")]
+    docs = [(i, " ".join(rng.choice(pool + ["e"]) for _ in range(rng.choice([0, 3, 20, 200])))) for i in range(40)]
+    for i, (_, text) in enumerate(items[6:11]):
+        docs.append((100 + i, f"e e {text.upper()} e " + "f " * (10 * i)))
+    docs += [(None, "x-Y_z"), (3, None), (3, ""), (4, "q q q"), (4, "q q q"), (5, "e " * 3000 + items[10][1])]
+    got = decontaminate.find(
+        table([(*d, 1) for d in docs], "doc_id long, text string, items int"), table(items, "item_id long, text string"),
+        filter_bits=16,
+    ).select("doc_id", "n_words", "n_hit", "items", "contaminated")
+    assert values(got) == plain_hits(docs, items)
+
+
+def test_no_items_and_no_documents(spark, table):
+    docs = table([(1, "a b c")], "doc_id long, text string")
+    items = table([(1, "a b")], "item_id long, text string")
+    (row,) = decontaminate.find(docs, items.limit(0)).collect()
+    assert (row["n_hit"], row["items"], row["contaminated"]) == (0, [], False)
+    assert rows(decontaminate.find(docs.limit(0), items)) == []
+
+
+# Components ------------------------------------------------------------------------------------------------
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=30))
+def test_components(spark, edges):
+    parent = {x: x for e in edges for x in e if e[0] != e[1]}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    got = components(spark.createDataFrame(edges, "a long, b long"), "a", "b")
+    assert dict(rows(got)) == {x: root(x) for x in parent} and got.count() == len(parent)
+
+
+def test_a_long_chain_is_one_component(spark):
+    got = components(spark.range(300).select("id", (F.col("id") + 1).alias("next")), "id", "next")
+    assert got.agg(F.count("node"), F.max("root")).first() == (301, 0)
+
+
+# Jaccard join ------------------------------------------------------------------------------------------------
+
+
+def plain_classes(docs, n=5, threshold=0.8):
+    sets = []
+    for _, text in docs:
+        w = plain_words(text)
+        sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} or ({tuple(w)} if w else set()))
+    links = [set() for _ in docs]
+    for i in range(len(docs)):
+        for j in range(i):
+            if sets[i] and sets[j] and len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j]) - 1e-9:
+                links[i].add(j)
+                links[j].add(i)
+    out = []
+    for i, (key, _) in enumerate(docs):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in links[todo.pop()] - seen:
+                seen.add(j)
+                todo.append(j)
+        known = [docs[j][0] for j in seen if docs[j][0] is not None]
+        out.append((key, min(known, default=None), len(links[i])))
+    return sorted(map(repr, out))
+
+
+def near_documents(seed=5):
+    rng = random.Random(seed)
+    pool = [f"w{i}" for i in range(300)]
+    docs = [(None, "no id but words here now"), (900, None), (901, ""), (902, "..."), (903, "one two"), (904, "Two one"),
+            (905, "ONE, two!"), (906, "one two three four five"), (906, "one two three four five")]
+    for base in range(12):
+        text = [rng.choice(pool) for _ in range(rng.choice([6, 40, 120, 400]))]
+        for copy in range(rng.choice([1, 3, 9])):
+            new = [w if rng.random() > rng.choice([0, 0.01, 0.02, 0.05]) else rng.choice(pool) for w in text]
+            docs.append((base * 20 + copy, " ".join(new)))
+    rng.shuffle(docs)
+    return docs
+
+
+@pytest.mark.parametrize("block", [1024, 3])
+def test_near_copies_are_linked(spark, table, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK_NODES", block)
+    docs = near_documents()
+    got = jaccard.join(table([(*d, 0) for d in docs], "doc_id long, text string, n_links int"))
+    assert got.columns == ["doc_id", "class_id", "n_links", "stands"]
+    assert values(got.drop("stands")) == plain_classes(docs)
+    # One row stands for each group, and each text without words for itself.
+    standing = [r for r in got.collect() if r["stands"]]
+    groups = {r["class_id"] for r in got.collect()}
+    assert len(standing) == len(groups) and all(r["doc_id"] == r["class_id"] for r in standing)
+
+
+def test_many_pairs_are_verified_like_few(monkeypatch):
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 2**60, 80, dtype=np.uint64)
+    sets = [np.unique(np.where(rng.random(80) < 0.1, rng.integers(0, 2**60, 80, dtype=np.uint64), base)) for _ in range(60)]
+    i, j = map(np.ravel, np.meshgrid(np.arange(60), np.arange(60)))
+    many = jaccard._shared_counts(sets, sets, i, j)
+    assert many.tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)]
+
+
+def test_pruning_bounds():
+    least = jaccard.least_matches(0.8, 1e-6)
+    assert len(least) == jaccard.HASHES // jaccard.STEP and list(least) == sorted(least)
+    # The chance that a pair at the threshold falls below a bound is small.
+    rng = np.random.default_rng(1)
+    equal = (rng.random((200_000, jaccard.HASHES)) < 0.8).cumsum(axis=1)
+    lost = np.zeros(200_000, bool)
+    for step, bound in enumerate(least):
+        lost |= equal[:, (step + 1) * jaccard.STEP - 1] < bound
+    assert lost.mean() < 1e-4
+
+
+def test_no_rows_to_join(spark, table):
+    assert rows(jaccard.join(table([], "doc_id long, text string"))) == []
+    (row,) = jaccard.join(table([(4, "a b c")], "doc_id long, text string")).collect()
+    assert tuple(row) == (4, 4, 0, True)
+
+
+@pytest.mark.parametrize("name", ["op2_decontaminate", "op6_jaccard", "op8_url_filter"])
+def test_sql_says_the_same(spark, name):
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
+    got = Q.queries()[name](spark, folder).toPandas()
+    expected = con.sql(Q.oracle_sql()[name]).df()[list(got.columns)]
+
+    def plain(df):
+        return sorted(map(repr, df.astype(object).where(df.notna(), None).itertuples(index=False, name=None)))
+
+    assert plain(got) == plain(expected)
+
+
+# Fingerprints -------------------------------------------------------------------------------------------------
+
+
+def test_fingerprints(spark, store):
+    rng = random.Random(5)
+    sizes = [0, 1, 5, 11, 12, 13, 26, 27, 28, 40, 60, 100, 300]
+    texts = ["".join(rng.choice("ab c😀é") for _ in range(rng.choice(sizes))) for _ in range(90)]
+    texts += [None, "", "x" * 500, "a" * 30]
+    docs = [(i * 7 if i != 50 else None, t) for i, t in enumerate(texts)]
+    folder = store(documents=spark.createDataFrame(docs, "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in Q.op7_fingerprints(spark, folder).collect()}
+
+    whole = {key: text or "" for key, text in docs}
+    order = sorted(whole, key=lambda k: (k is None, -(k or 0)))
+    following = dict(zip(order, order[1:] + order[:1]))
+    edited = {k: t[: len(t) - len(t) // 2] + whole[following[k]][: len(t) // 2] for k, t in whole.items()}
+
+    def grams(text, k=winnow.K):
+        return [text[i : i + k] for i in range(len(text) - k + 1)] if len(text) >= k else [text] * bool(text)
+
+    needed = {g for t in [*whole.values(), *edited.values()] for g in grams(t)}
+    hashed = spark.createDataFrame([(g,) for g in needed], "g string").selectExpr("g", "shiftrightunsigned(xxhash64(g), 33)")
+    value = dict(rows(hashed))
+
+    def chosen(text):
+        hashes = [value[g] for g in grams(text)]
+        out = []
+        for s in range(max(1, len(hashes) - winnow.WINDOW + 1) if hashes else 0):
+            window = hashes[s : s + winnow.WINDOW]
+            at = s + max(i for i, h in enumerate(window) if h == min(window))
+            if (at, hashes[at]) not in out:
+                out.append((at, hashes[at]))
+        return out
+
+    def read(text):
+        numbers = [int(x, 16) for x in text.split(" ")] if text else []
+        return [((1 << 31) - 1 - (n & ((1 << 31) - 1)), n >> 31) for n in numbers]
+
+    def alike(a, b):
+        a, b = {h for _, h in a}, {h for _, h in b}
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    for key, text in whole.items():
+        r = got[key]
+        assert r["n_chars"] == len(text)
+        assert r["edited_sha256"] == hashlib.sha256(edited[key].encode()).hexdigest()
+        assert read(r["fingerprint"]) == chosen(text)
+        assert read(r["edited_fingerprint"]) == chosen(edited[key])
+        assert r["near_edited"] == pytest.approx(alike(chosen(text), chosen(edited[key])))
+        assert r["near_next"] == pytest.approx(alike(chosen(text), chosen(whole[following[key]])))
+
+
+def test_shared_passages_share_an_entry(spark, table):
+    passage = "the guarantee is one window and a k-gram"[: winnow.K + winnow.WINDOW - 1]
+    assert len(passage) == winnow.K + winnow.WINDOW - 1
+    df = table([(1, "q" * 40 + passage + "z" * 9), (2, passage)], "id int, text string")
+    a, b = [{e["hash"]: e["position"] for e in r["fingerprint"]} for r in winnow.winnow(df).orderBy("id").collect()]
+    shared = a.keys() & b.keys()
+    assert shared and all(a[h] - b[h] == 40 for h in shared)
+
+
+def test_fingerprint_edge_cases(spark, table, store):
+    df = table([(None, None, 1), (2, "", 1), (2, "", 1), (3, "w " * 20_000, 1)], "doc_id long, text string, fingerprint int")
+    sizes = [len(r["fingerprint"]) for r in winnow.winnow(df).collect()]
+    assert sizes[:3] == [0, 0, 0] and sizes[3] > 100
+    one = store(documents=table([(7, "alone in the table")], "doc_id long, text string"))
+    (row,) = Q.op7_fingerprints(spark, one).collect()
+    assert row["near_next"] == 1.0
+    assert rows(Q.op7_fingerprints(spark, store(documents=table([], "doc_id long, text string")))) == []
+
+
+# Lines ---------------------------------------------------------------------------------------------------------
+
+
+def plain_norm(line):
+    return re.sub(r"[ \t\n\x0b\f\r\x85\xa0]+", " ", line).strip(" ").lower()
+
+
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def plain_line_dedup(spark, docs):
+    lines_of = {(k, t): t.split("\n") for k, t in docs if t is not None}
+    different = sorted({plain_norm(x) for own in lines_of.values() for x in own} - {""})
+    words = {w for x in different for w in x.split(" ")}
+    value = {w: h & (2**64 - 1) for w, h in rows(
+        spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", "xxhash64(w)"))}
+    text_hash = dict(rows(spark.createDataFrame([(t,) for _, t in lines_of], "t string").selectExpr("t", "xxhash64(t)")))
+
+    def sim(line):
+        own = set(line.split(" "))
+        return sum(1 << b for b in range(64) if 2 * sum(value[w] >> b & 1 for w in own) > len(own))
+
+    sims = {x: sim(x) for x in different}
+    parent = {x: x for x in different}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    links = 0
+    for i, a in enumerate(different):
+        for b in different[i + 1 :]:
+            longer = max(len(a), len(b))
+            allowed = int(longer * (1 - lines.SIMILARITY) + 1e-9)
+            if (sims[a] ^ sims[b]).bit_count() <= lines.DISTANCE and longer - min(len(a), len(b)) <= allowed \
+                    and levenshtein(a, b) <= allowed:
+                parent[root(a)] = root(b)
+                links += 1
+
+    def place(key, text, i):
+        return (key is not None, key or 0, text_hash[text], i)
+
+    first = {}
+    for (k, t), own in lines_of.items():
+        for i, x in enumerate(own):
+            if plain_norm(x):
+                r = root(plain_norm(x))
+                first[r] = min(first.get(r, (2,)), place(k, t, i))
+    out, seen = [], set()
+    for k, t in docs:
+        if t is None:
+            out.append((k, None, 0, 0))
+            continue
+        again = (k, t) in seen
+        seen.add((k, t))
+        kept = [x for i, x in enumerate(lines_of[k, t]) if not plain_norm(x)
+                or (not again and first[root(plain_norm(x))] == place(k, t, i))]
+        out.append((k, "\n".join(kept), len(lines_of[k, t]), len(lines_of[k, t]) - len(kept)))
+    return sorted(map(repr, out)), links
+
+
+def test_lines_are_deduped(spark, table, monkeypatch):
+    rng = random.Random(7)
+    pool = "alpha beta gamma delta eps zeta eta theta iota kappa lam mu nu xi omi pi rho".split()
+    base = [" ".join(rng.choice(pool) + str(rng.randint(0, 99)) for _ in range(rng.choice([1, 3, 30, 80])))
+            for _ in range(40)]
+
+    def mutated(line):
+        w = line.split()
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            i = rng.randrange(len(w))
+            w[i : i + 1] = rng.choice([[w[i][:-1] + "x"], [w[i], "new"], []]) if len(w) > 1 else w[i : i + 1]
+        return rng.choice([" ".join(w), "  ".join(w).upper(), " " + " ".join(w) + "\t"])
+
+    texts = ["\n".join(mutated(rng.choice(base)) if rng.random() < 0.8 else "" for _ in range(rng.randint(0, 8)))
+             for _ in range(100)] + [None, "", " \n\t", "x\r\ny"]
+    docs = [(i if i != 20 else None, t) for i, t in enumerate(texts)]
+    docs += [(3, texts[3]), (None, texts[20])]
+    expected, links = plain_line_dedup(spark, docs)
+    assert links > 20
+    df = table([(*d, 1) for d in docs], "doc_id long, text string, n_lines int")
+    got = lines.dedupe_lines(df)
+    assert got.columns == ["doc_id", "text", "n_lines", "n_removed"]
+    assert values(got) == expected
+    # Lines of very many words take other lanes, to the same hashes.
+    monkeypatch.setattr(lines, "_NARROW_WORDS", 5)
+    assert values(lines.dedupe_lines(df)) == expected
+
+
+def test_no_lines(spark, table):
+    empty = table([], "doc_id long, text string")
+    assert rows(lines.dedupe_lines(empty)) == []
+    blank = table([(1, None), (None, " "), (2, "")], "doc_id long, text string")
+    assert values(lines.dedupe_lines(blank).select("text", "n_removed")) == sorted(map(repr, [(None, 0), (" ", 0), ("", 0)]))
+
+
+# The pipeline ---------------------------------------------------------------------------------------------------
+
+
+def test_stages_do_what_their_operators_say(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = Q.table(spark, folder, "documents")
+    columns = docs.columns
+    bench = rows(Q.table(spark, folder, "benchmark").select("item_id", "text"))
+    for name, stage in corpus_pipeline.STAGES:
+        before = rows(docs.select("doc_id", "text"))
+        docs = spark.createDataFrame(stage(spark, docs, folder).collect(), stage(spark, docs, folder).schema)
+        if name == "encoding":
+            assert docs.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            assert sorted(r[0] for r in before) == sorted(r[0] for r in rows(docs))
+            continue
+        assert docs.columns == columns
+        after = rows(docs.select("doc_id", "text"))
+        assert 0 < len(after) <= len(before)
+        if name == "language_id":
+            assert len(after) == len([t for _, t in before if t and any(c.isalpha() for c in t)])
+        elif name == "line_dedup":
+            kept, _ = plain_line_dedup(spark, before)
+            texts = sorted(x for x in kept)
+            got = {repr(r) for r in after}
+            assert got == {repr((k, t)) for k, t, _, _ in map(eval, texts) if t is not None and plain_norm(t.replace("\n", " "))}
+        elif name == "near_copies":
+            classes = [eval(x) for x in plain_classes(before)]
+            assert sorted(k for k, _ in after) == sorted({c for _, c, _ in classes})
+        else:
+            hit = {eval(x)[0] for x in plain_hits(before, bench) if eval(x)[4]}
+            assert sorted(k for k, _ in after) == sorted(k for k, _ in before if k not in hit)
+
+
+def test_stages_take_odd_tables(spark, table):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _key string"
+    odd = table([(None, None, None, None, None, "k"), (1, "", "en", "s", 0, None), (2, "the words of a text here", "en", "s", 24, "k"),
+                 (2, "the words of a text here", "en", "s", 24, "k"), (None, "other words in a text there", None, None, 5, "k")], schema)
+    for docs in (odd, odd.limit(0)):
+        for _, stage in corpus_pipeline.STAGES:
+            done = stage(spark, docs, "/root/testdata/sf0.001")
+            assert done.count() <= docs.count()
+
+
+def test_whole_run(spark):
+    got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert 0 < got.count() <= 200 and got.where("n_tokens = 0").count() == 0

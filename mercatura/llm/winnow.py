@@ -12,6 +12,7 @@ over 2n k-grams is the lesser of two minima over n.
 Edge cases: a NULL or empty text has no entries; a shorter text than k is one k-gram; a text with
 fewer k-grams than a window is one window; texts are taken whole; equal texts have equal
 fingerprints; other columns pass through and a column named like the result is replaced.
+Columns with names that are used inside, which begin with an underscore, are dropped.
 """
 
 from __future__ import annotations
@@ -107,11 +108,12 @@ def with_next(df: DataFrame, key: str, text: str, derive) -> DataFrame:
         lambda low, step: F.when(F.element_at(cuts, low + step) <= F.col(key), low + step).otherwise(low),
     )
     placed = df.withColumn("_range", F.when(F.col(key).isNull(), F.lit(-1)).otherwise(place))
-    first_keys = placed.groupBy("_range").agg(F.max(key).alias("_key"))
+    # One row a range, so that broadcasting them is bounded and the texts need not move.
+    first_keys = placed.groupBy(F.col("_range").alias("_at")).agg(F.max(key).alias("_key"))
     same = (F.col("_at") == F.col("_range")) & F.col("_key").eqNullSafe(F.col(key))
-    # One row a range: the first by key and text.
+    # The first row of each range by key and text.
     heads = (
-        placed.join(first_keys.withColumnRenamed("_range", "_at"), same)
+        placed.join(F.broadcast(first_keys), same)
         .groupBy("_range")
         .agg(F.first("_key").alias(key), F.min(F.coalesce(F.col(text), F.lit(""))).alias(text))
     )

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows that reach Python at once: whole texts are among them.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 # Words of up to so many bytes are merged side by side, longer ones one by one.
 ROW_WIDTHS = (8, 16, 32)
-# Words kept by a worker: two generations of this many.
+# Words kept by a task: two generations of this many.
 CACHED_WORDS = 150_000
 ENCODED_ROWS_PER_BATCH = 1_000
 
@@ -310,12 +310,6 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
-def _worker_encoder(path: str) -> Encoder:
-    """Kept from task to task by a reused worker."""
-    return Encoder(path)
-
-
 def encode(
     df: DataFrame,
     text: str,
@@ -341,7 +335,8 @@ def encode(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _worker_encoder(vocabulary_path)
+        # Of the task alone: a reused worker would hold the cache for as long as it lives.
+        encoder = Encoder(vocabulary_path)
         for whole in batches:
             for start in range(0, whole.num_rows, ENCODED_ROWS_PER_BATCH):
                 batch = whole.slice(start, ENCODED_ROWS_PER_BATCH)

@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 # Words of up to so many bytes are merged side by side, longer ones one by one.
 ROW_WIDTHS = (8, 16, 32)
 # Words kept by a task: two generations of this many.
-CACHED_WORDS = 150_000
-ENCODED_ROWS_PER_BATCH = 1_000
+CACHED_WORDS = 60_000
+ENCODED_ROWS_PER_BATCH = 250
 
 # What the tokenizer file's white space pattern covers, and what str.split() cuts besides.
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")

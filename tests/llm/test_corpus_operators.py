@@ -446,3 +446,27 @@ def test_stages_take_odd_tables(spark, table):
 def test_whole_run(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert 0 < got.count() <= 200 and got.where("n_tokens = 0").count() == 0
+
+
+def test_likeness_alone_links_lines(spark, table):
+    """Against edit similarity alone: words changed in lines of 10 to 60, letters in short ones."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
+    pairs = []
+    for n in (10, 20, 50):
+        for _ in range(40):
+            x = [word() for _ in range(n)]
+            y = list(x)
+            for i in rng.sample(range(n), n // 10):
+                y[i] = word()
+            pairs.append((" ".join(x), " ".join(y)))
+    for _ in range(40):
+        x = f"{word()} {word()} {word()} {word()}{word()}"
+        i = rng.randrange(len(x))
+        pairs.append((x, x[:i] + "q" + x[i + 1 :]))
+    alike = [(x, y) for x, y in pairs if levenshtein(x, y) <= int(max(len(x), len(y)) * 0.2 + 1e-9) and x != y]
+    assert len(alike) > 120
+    docs = [(2 * i + j, line) for i, pair in enumerate(alike) for j, line in enumerate(pair)]
+    got = {r["doc_id"]: r["n_removed"] for r in lines.dedupe_lines(table(docs, "doc_id long, text string")).collect()}
+    assert sum(got[2 * i + 1] for i in range(len(alike))) >= 0.97 * len(alike)
+    assert not any(got[2 * i] for i in range(len(alike)))

@@ -470,3 +470,10 @@ def test_likeness_alone_links_lines(spark, table):
     got = {r["doc_id"]: r["n_removed"] for r in lines.dedupe_lines(table(docs, "doc_id long, text string")).collect()}
     assert sum(got[2 * i + 1] for i in range(len(alike))) >= 0.97 * len(alike)
     assert not any(got[2 * i] for i in range(len(alike)))
+
+
+def test_rows_repeated_many_times_keep_their_links(spark, table):
+    line = " ".join(f"word{i}" for i in range(50))
+    docs = [(None, line)] * 700 + [(2, line.replace("word7 ", "other ")), (3, "alone")]
+    got = lines.dedupe_lines(table(docs, "doc_id long, text string")).collect()
+    assert sorted(r["text"] for r in got if r["text"]) == ["alone", line]

@@ -89,7 +89,8 @@ _MARKUP = re.compile(
     re.DOTALL,
 )
 _RAW_TEXT = frozenset("script style textarea title noscript iframe xmp".split())
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+# One attribute after the other, values with them, so that no word of a value is taken for a name.
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 _NAME = re.compile(r"[a-z]+")
 
 # What holds for an element and all in it.
@@ -104,6 +105,14 @@ class _Element:
         self.depth = parent.depth + 1 if parent else 0
 
 
+def _attributes(text: str) -> dict[str, str]:
+    """By whole names; of repeated ones the first counts, as in browsers."""
+    out: dict[str, str] = {}
+    for key, value in _ATTRIBUTE.findall(text):
+        out.setdefault(key.lower(), value.strip("\"'").lower())
+    return out
+
+
 def _kind(name: str, attributes: str, above: int) -> int:
     if above in (_ASIDE, _HIDDEN):
         return above
@@ -113,21 +122,20 @@ def _kind(name: str, attributes: str, above: int) -> int:
         return _ASIDE
     kind = _ARTICLE if name in ARTICLE_ELEMENTS else above
     if attributes and not attributes.isspace():
-        for key, value in _ATTRIBUTE.findall(attributes):
-            key, value = key.lower(), value.strip("\"'").lower()
-            if key == "hidden" or (key == "aria-hidden" and value == "true"):
-                return _HIDDEN
-            if key == "role":
-                if value in ASIDE_ROLES:
-                    return _ASIDE
-                if value in ("main", "article"):
-                    kind = _ARTICLE
-            elif key in ("class", "id") and name not in ("html", "body", *ARTICLE_ELEMENTS):
-                names = set(_NAME.findall(value))
-                if names & ASIDE_NAMES:
-                    return _ASIDE
-                if kind == _NEUTRAL and names & ARTICLE_NAMES:
-                    kind = _NAMED
+        found = _attributes(attributes)
+        if "hidden" in found or found.get("aria-hidden") == "true":
+            return _HIDDEN
+        role = found.get("role", "")
+        if role in ASIDE_ROLES:
+            return _ASIDE
+        if role in ("main", "article"):
+            kind = _ARTICLE
+        if name not in ("html", "body", *ARTICLE_ELEMENTS):
+            names = set(_NAME.findall(f"{found.get('class', '')} {found.get('id', '')}"))
+            if names & ASIDE_NAMES:
+                return _ASIDE
+            if kind == _NEUTRAL and names & ARTICLE_NAMES:
+                kind = _NAMED
     return kind
 
 

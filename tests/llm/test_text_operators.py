@@ -388,3 +388,12 @@ def test_main_text_of_rows(spark, table):
     assert rows(mincut.extract(df.limit(0))) == []
     pages = Q.op10_main_text(spark, SAMPLE).collect()
     assert all(r["n_chars"] == len(r["text"]) > 0 for r in pages)
+
+
+@pytest.mark.parametrize("attribute", [
+    "style=\"overflow:hidden\"", "title='hidden gems'", "data-hidden=false", "data-role='banner'", "data-class=sidebar",
+    "data-id=\"nav\"", "title=\"a 'class=ad' b\"", "data-x=/hidden/x", "title='x > hidden'"])
+def test_words_of_values_are_no_attributes(attribute):
+    assert mincut.main_text(f"<div {attribute}><article>{ARTICLE}</article></div>") == TEXT
+    assert mincut.main_text("<article><p>see <a href=/hidden/x>this</a> page</p></article>") == "see this page"
+    assert mincut.main_text(f"<article><p Hidden>no</p><p class=x hidden=''>no</p>{ARTICLE}</article>") == TEXT

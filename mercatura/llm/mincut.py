@@ -2,7 +2,9 @@
 
 A page is cut into blocks of text. A linear classifier on a block's place in the document (its
 elements, their names and roles), its link density and its length gives the log odds of being
-content: they become the capacities from the source (content) or to the sink (boilerplate).
+content: they become the capacities from the source (content) or to the sink (boilerplate). Names
+of boilerplate cost by their share of an element's names, which length and neighbours can outweigh;
+an article or main element inside lifts them, unless they are inside an article themselves.
 Neighbouring blocks, and the next block under the same parent, are tied by edges that weigh more
 the closer the two are in the DOM. The minimum cut is the labelling of least cost; blocks on the
 source's side are the main text, in page order.
@@ -68,6 +70,8 @@ ASIDE_NAMES = frozenset(
 )
 ARTICLE_ELEMENTS = frozenset(["article", "main"])
 ARTICLE_NAMES = frozenset("article post entry story content body main text".split())
+# A name after one of these says what an element has or lacks, not what it is.
+ABOUT_OTHERS = frozenset("has with no without".split())
 
 
 @dataclass(frozen=True)
@@ -76,6 +80,7 @@ class Costs:
 
     base: float = -1.0
     aside: float = -9.0
+    named_aside: float = -6.0
     in_article: float = 5.0
     named_article: float = 2.0
     paragraph: float = 1.0
@@ -94,14 +99,14 @@ _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?
 _NAME = re.compile(r"[a-z]+")
 
 # What holds for an element and all in it.
-_NEUTRAL, _ASIDE, _ARTICLE, _NAMED, _HIDDEN = 0, 1, 2, 3, 4
+_NEUTRAL, _ASIDE, _ARTICLE, _NAMED, _HIDDEN, _ASIDE_IN_ARTICLE = range(6)
 
 
 class _Element:
-    __slots__ = ("depth", "kind", "name", "parent")
+    __slots__ = ("depth", "kind", "name", "parent", "share")
 
-    def __init__(self, name: str, parent: _Element | None, kind: int) -> None:
-        self.name, self.parent, self.kind = name, parent, kind
+    def __init__(self, name: str, parent: _Element | None, kind: int, share: float = 0.0) -> None:
+        self.name, self.parent, self.kind, self.share = name, parent, kind, share
         self.depth = parent.depth + 1 if parent else 0
 
 
@@ -113,30 +118,33 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
-def _kind(name: str, attributes: str, above: int) -> int:
-    if above in (_ASIDE, _HIDDEN):
-        return above
-    if name in SKIPPED:
-        return _HIDDEN
-    if name in ASIDE_ELEMENTS or (name == "header" and above != _ARTICLE):
-        return _ASIDE
-    kind = _ARTICLE if name in ARTICLE_ELEMENTS else above
-    if attributes and not attributes.isspace():
-        found = _attributes(attributes)
-        if "hidden" in found or found.get("aria-hidden") == "true":
-            return _HIDDEN
-        role = found.get("role", "")
-        if role in ASIDE_ROLES:
-            return _ASIDE
-        if role in ("main", "article"):
-            kind = _ARTICLE
-        if name not in ("html", "body", *ARTICLE_ELEMENTS):
-            names = set(_NAME.findall(f"{found.get('class', '')} {found.get('id', '')}"))
-            if names & ASIDE_NAMES:
-                return _ASIDE
-            if kind == _NEUTRAL and names & ARTICLE_NAMES:
-                kind = _NAMED
-    return kind
+def _aside_share(names: list[str]) -> float:
+    own = [n for i, n in enumerate(names) if not i or names[i - 1] not in ABOUT_OTHERS]
+    return sum(n in ASIDE_NAMES for n in own) / len(own) if own else 0.0
+
+
+def _kind(name: str, attributes: str, above: int, share: float) -> tuple[int, float]:
+    """What an element is, and the share of boilerplate in the names of it or of one around it."""
+    if above == _HIDDEN or name in SKIPPED:
+        return _HIDDEN, share
+    found = _attributes(attributes) if attributes and not attributes.isspace() else {}
+    if "hidden" in found or found.get("aria-hidden") == "true":
+        return _HIDDEN, share
+    role = found.get("role", "")
+    if name in ARTICLE_ELEMENTS or role in ("main", "article"):
+        # In an article, a mark is on a part of it, such as its comments, which may be articles too.
+        return (above, share) if above in (_ARTICLE, _ASIDE_IN_ARTICLE) else (_ARTICLE, 0.0)
+    if above in (_ASIDE, _ASIDE_IN_ARTICLE):
+        return above, share
+    if name in ASIDE_ELEMENTS or (name == "header" and above != _ARTICLE) or role in ASIDE_ROLES:
+        return (_ASIDE_IN_ARTICLE if above == _ARTICLE else _ASIDE), share
+    if name in ("html", "body"):
+        return above, share
+    names = [_NAME.findall(found.get(key, "")) for key in ("class", "id")]
+    own = max(map(_aside_share, names))
+    if own == 0 and above == _NEUTRAL and not ARTICLE_NAMES.isdisjoint([*names[0], *names[1]]):
+        return _NAMED, share
+    return above, max(share, own)
 
 
 class Block:
@@ -214,7 +222,7 @@ def blocks(page: str) -> list[Block]:
         attributes = found.group(3)
         if name in VOID or attributes.endswith("/") and not is_block:
             continue
-        here = _Element(name, here, _kind(name, attributes, here.kind))
+        here = _Element(name, here, *_kind(name, attributes, here.kind, here.share))
         if name == "a":
             links = 1
         if name in _RAW_TEXT:
@@ -226,14 +234,13 @@ def blocks(page: str) -> list[Block]:
 
 
 def log_odds(block: Block, costs: Costs) -> float:
-    kind = block.element.kind
+    kind, share = block.element.kind, block.element.share
     total = costs.base
-    if kind == _ASIDE:
+    if kind in (_ASIDE, _ASIDE_IN_ARTICLE):
         total += costs.aside
-    elif kind == _ARTICLE:
-        total += costs.in_article
-    elif kind == _NAMED:
-        total += costs.named_article
+    else:
+        place = {_ARTICLE: costs.in_article, _NAMED: costs.named_article}.get(kind, 0.0)
+        total += (1 - share) * place + share * costs.named_aside
     if block.element.name in ("p", "h1", "blockquote", "pre"):
         total += costs.paragraph
     total += costs.per_log_word * (block.text.count(" ") + 1).bit_length()

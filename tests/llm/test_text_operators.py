@@ -397,3 +397,19 @@ def test_words_of_values_are_no_attributes(attribute):
     assert mincut.main_text(f"<div {attribute}><article>{ARTICLE}</article></div>") == TEXT
     assert mincut.main_text("<article><p>see <a href=/hidden/x>this</a> page</p></article>") == "see this page"
     assert mincut.main_text(f"<article><p Hidden>no</p><p class=x hidden=''>no</p>{ARTICLE}</article>") == TEXT
+
+
+@pytest.mark.parametrize("names", ["page has-sidebar", "layout-with-nav", "no-comments", "story-side", "sidebar"])
+def test_names_of_wrappers_are_outweighed(names):
+    assert mincut.main_text(f"<div class='{names}'><article>{ARTICLE}</article></div>") == TEXT
+    assert mincut.main_text(f"<div id='{names}'><div role=main>{ARTICLE}</div><nav>Home</nav></div>") == TEXT
+    if names != "sidebar":
+        long = " ".join(["word"] * 70)
+        page = f"<div class='{names}'><p>{long}</p><p>{long}</p><div class=sidebar><a href=/>Home</a></div></div>"
+        assert mincut.main_text(page) == f"{long}\n{long}"
+
+
+def test_comments_in_an_article_stay_out():
+    comment = "<article class=comment><p>I like it very much.</p></article>"
+    assert mincut.main_text(f"<article>{ARTICLE}<section id=comments>{comment}</section></article>") == TEXT
+    assert mincut.main_text(f"<main>{ARTICLE}<aside>{comment}</aside></main>") == TEXT

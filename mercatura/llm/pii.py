@@ -103,17 +103,29 @@ def card(f: Feistel, text: str, step: int = 1) -> str | None:
     return _refill(text, [*body, check])
 
 
-# IBAN lengths by country.
+# IBAN lengths by country, as in the registry.
 IBAN_SIZES = dict(
     pair.split("=")
     for pair in (
-        "AD=24 AE=23 AT=20 BE=16 BG=22 CH=21 CY=28 CZ=24 DE=22 DK=18 EE=20 ES=24 FI=18 FR=27"
-        " GB=22 GR=27 HR=21 HU=28 IE=22 IL=23 IS=26 IT=27 LI=21 LT=20 LU=20 LV=21 MC=27 MT=31"
-        " NL=18 NO=15 PL=28 PT=25 RO=24 SA=24 SE=24 SI=19 SK=24 SM=27 TR=26"
+        "AD=24 AE=23 AL=28 AT=20 AZ=28 BA=20 BE=16 BG=22 BH=22 BI=27 BR=29 BY=28 CH=21 CR=22 CY=28 CZ=24"
+        " DE=22 DJ=27 DK=18 DO=28 EE=20 EG=29 ES=24 FI=18 FK=18 FO=18 FR=27 GB=22 GE=22 GI=23 GL=18 GR=27"
+        " GT=28 HN=28 HR=21 HU=28 IE=22 IL=23 IQ=23 IS=26 IT=27 JO=30 KW=30 KZ=20 LB=28 LC=32 LI=21 LT=20"
+        " LU=20 LV=21 LY=25 MC=27 MD=24 ME=22 MK=19 MN=20 MR=27 MT=31 MU=30 NI=28 NL=18 NO=15 OM=23 PK=24"
+        " PL=28 PS=29 PT=25 QA=29 RO=24 RS=22 RU=33 SA=24 SC=31 SD=18 SE=24 SI=19 SK=24 SM=27 SO=23 ST=25"
+        " SV=28 TL=23 TN=24 TR=26 UA=29 VA=22 VG=24 XK=20 YE=30"
     ).split()
 )
 
 
+def _iban_pattern() -> re.Pattern[str]:
+    """Each country's length, spaces not counted, whatever follows."""
+    by_size: dict[int, list[str]] = {}
+    for country, size in IBAN_SIZES.items():
+        by_size.setdefault(int(size), []).append(country)
+    forms = [rf"(?:{'|'.join(c)})\d{{2}}(?: ?[0-9A-Z]){{{size - 4}}}" for size, c in by_size.items()]
+    return re.compile(rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}\d{{2}})(?:{'|'.join(forms)})(?![0-9A-Za-z])", re.ASCII)
+
+
 def _mod97(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text)) % 97
 
@@ -253,9 +265,9 @@ KINDS = (
     Kind("credential", re.compile(
         r"(?:password|passwd|token|secret|api_key|apikey)\s?[=:]\s?[\"']?[0-9A-Za-z+/_\-]{8,}", re.I), credential),
     Kind("access_key", re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])"), access_key),
-    Kind("iban", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{2,4}){3,8}(?![0-9A-Za-z])", re.ASCII), iban),
+    Kind("iban", _iban_pattern(), iban),
     Kind("date", re.compile(
-        r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\w/-]|\.\d)",
+        r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?!(?!T\d)[\w/-]|\.\d)",
         re.ASCII), calendar_date),
     Kind("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", re.ASCII), ssn),
     Kind("ipv4", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", re.ASCII), ipv4),

@@ -413,3 +413,18 @@ def test_comments_in_an_article_stay_out():
     comment = "<article class=comment><p>I like it very much.</p></article>"
     assert mincut.main_text(f"<article>{ARTICLE}<section id=comments>{comment}</section></article>") == TEXT
     assert mincut.main_text(f"<main>{ARTICLE}<aside>{comment}</aside></main>") == TEXT
+
+
+IBANS = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "UA213223130000026007233566001", "RS35260005601001611379",
+         "GE29NB0000000101904917", "KZ86125KZT5004100100", "PK36SCBL0000001123456702", "BR1800360305000010009795493C1"]
+
+
+@pytest.mark.parametrize("value, after", [
+    *((v, after) for v in IBANS for after in (" BIC COBADEFF", " EUR 50", " 2024", " X", ",", "")),
+    ("2024-03-05", "T10:00:00Z"), ("2024-03-05", "T10:00"), ("2024-03-05", " 10:00:00")])
+def test_values_are_found_whatever_follows(value, after):
+    network = pii.Feistel(b"0123456789abcdef")
+    text = f"see {value}{after}"
+    new, found = pii.pseudonymise(text, network)
+    assert len(found) == 1 and value not in new and new.endswith(after)
+    assert pii.pseudonymise(new, network, -1)[0] == text

@@ -18,6 +18,7 @@ Edge cases: a NULL text counts as empty and says nothing; missing declarations,
 say nothing; a text without letters is ``und`` whatever else is known; ties go to the language
 first in the alphabet; equal rows get equal results; other columns pass through, and columns with
 the names of results are replaced. Without labelled text, everything is ``und``.
+More than ``MAX_LANGUAGES`` different labels raise ``ValueError``; nothing is lost silently.
 Columns with names that are used inside, which begin with an underscore, are dropped.
 """
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, decontaminate, jaccard, langid, lines, mincut, pii, quality, urls, winnow
+from mercatura.llm import bpe, decontaminate, jaccard, langid, lines, mincut, packing, pii, quality, urls, winnow
 from mercatura.llm import words as W
 from mercatura.session import tune
 
@@ -185,6 +185,20 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document, and where it lies in which sequence."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, vocabulary_path()).select(
+        "doc_id",
+        "start",
+        "length",
+        F.col("crc").alias("ids_crc32"),
+        F.col("tokens").alias("doc_tokens"),
+        "sequence_id",
+        "offset",
+    )
+
+
 _OP8_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urls.RULES)
 
 OP8_SQL = f"""
@@ -223,6 +237,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": op8_url_filter,
         "op9_line_dedup": op9_line_dedup,
         "op10_main_text": op10_main_text,
+        "op13_packing": op13_packing,
     }
 
 

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mercatura.llm.bpe import byte_symbols
 from mercatura.llm.running import with_running_sums
 from mercatura.session import checkpointed
 
@@ -46,15 +47,19 @@ END = 1
 # Tokens that a window may have to spare before its contents are cut and packed anew.
 ROOM = 16
 # Different pieces of text whose ids a task keeps.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 800_000
 WORDS_AT_ONCE = 1000
 TEXTS_AT_ONCE = 500
 
 # str.split() also cuts at these four, which the tokenizer takes for characters like others.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile(r"[^\S\x1c-\x1f]+")
-# Letters that Unicode has had for long, without the one whose lower case is two characters.
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]?)")
+# Latin letters that Unicode has had for long, without the one whose lower case is two characters.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+_PLAIN = re.compile(f"[{_LETTERS}]+")
+# Marks that end a word, unless they stand side by side with another.
+_MARKS = ".,;:!?"
+_UNUSUAL = re.compile("[^\x00-\x1b\x20-\u012f\u0131-\u024f\u2010-\u2027]|_|[^\\w\\s][^\\w\\s]")
 
 
 # Tokens ----------------------------------------------------------------------------------------------
@@ -73,128 +78,147 @@ def _tokenizer(path: str):
     return out
 
 
+class _Places(dict):
+    """The number of each word, given when it is first asked for."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class Ids:
     """The ids of texts, by the ``tokenizers`` library, which sees each different word once.
 
-    The vocabulary cuts at white space before anything else, so words can be encoded apart. Many are
-    handed over at once: those of plain letters with a space between them, in lower case and without the
-    mark that may follow, others with a special token between them to tell their ids apart.
+    The vocabulary cuts at white space before anything else, so words can be encoded apart. Where it
+    lower-cases and cuts off punctuation, texts of plain letters are lower-cased and cut that way first,
+    which leaves fewer different words. Many words are handed over at once: plain ones with a space
+    between them, as each ends with one symbol that ends a word, others with a special token.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS) -> None:
         self._of, self._cached = _tokenizer(path), cached
+        added = self._of.get_added_tokens_decoder()
         plain = [
-            (number, token.content)
-            for number, token in self._of.get_added_tokens_decoder().items()
-            if token.special and not (token.lstrip or token.rstrip or token.single_word or token.normalized)
+            (number, t.content)
+            for number, t in added.items()
+            if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)
         ]
         self._between = max(plain, default=None)
-        self._special = [t.content for t in self._of.get_added_tokens_decoder().values()]
+        self._special = [t.content for t in added.values()]
         self._ends = self._word_ends()
+        self._bytes, self._symbols = self._of, {}
+        same = self._encoded(["Ab", "ab"])
+        self._marks = [m for m in _MARKS if len({*map(tuple, self._encoded([f"ab{m} 7{m}", f"ab {m} 7 {m}"]))}) == 1]
+        self._simple = self._ends is not None and same[0] == same[1] and bool(self._marks)
+        if self._simple:
+            self._skip_cutting()
         self._forget()
 
     def _word_ends(self) -> np.ndarray | None:
-        """Which ids end a word, if the vocabulary has a mark for that and lower-cases."""
-        spec = json.loads(self._of.to_str())
-        mark = spec["model"].get("end_of_word_suffix")
-        steps = (spec.get("normalizer") or {}).get("normalizers", [spec.get("normalizer") or {}])
-        if not mark or not any(step.get("type") == "Lowercase" for step in steps):
+        """Which ids end a word, if the vocabulary has a mark for that."""
+        model = json.loads(self._of.to_str())["model"]
+        mark = model.get("end_of_word_suffix")
+        if not mark:
             return None
         out = np.zeros(self._of.get_vocab_size(), bool)
-        for symbol, number in spec["model"]["vocab"].items():
+        for symbol, number in model["vocab"].items():
             out[number] = symbol.endswith(mark)
         return out
 
+    def _skip_cutting(self) -> None:
+        """Plain letters, once in lower case, need no more than their bytes' symbols and a cut at spaces."""
+        spec = json.loads(self._of.to_str())
+        cut = {"type": "Split", "pattern": {"String": " "}, "behavior": "Removed", "invert": False}
+        lean = type(self._of).from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": cut}))
+        symbols = {b: c for b, c in enumerate(byte_symbols()) if b > 127}
+        probe = "ab zz \u00e9t\u00e9 \u024f\u00df"
+        if lean.encode(probe.encode().decode("latin-1").translate(symbols)).ids == self._encoded([probe])[0]:
+            self._bytes, self._symbols = lean, symbols
+
+    def _plain_ids(self, words: list[str]) -> list[int]:
+        text = " ".join(words).lower()
+        if self._symbols:
+            text = text.encode().decode("latin-1").translate(self._symbols)
+        return self._bytes.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def _forget(self) -> None:
-        self._places: dict[str, int] = {}
-        self._flat, self._used, self._known = np.zeros(1 << 16, np.uint32), 0, 0
+        self._places = _Places()
+        self._flat, self._used = np.zeros(1 << 16, np.uint32), 0
         self._starts, self._sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
 
     def _encoded(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._of.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _add(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
-        known = self._known
-        for name, need in (("_flat", self._used + len(flat)), ("_starts", known + len(words)), ("_sizes", known + len(words))):
-            have = getattr(self, name)
-            if need > len(have):
-                grown = np.zeros(max(need, 2 * len(have)), have.dtype)
-                grown[: len(have)] = have
-                setattr(self, name, grown)
-        self._flat[self._used : self._used + len(flat)] = flat
-        self._sizes[known : known + len(words)] = sizes
-        self._starts[known : known + len(words)] = self._used + np.cumsum(sizes) - sizes
-        self._used += len(flat)
-        self._known += len(words)
-        self._places.update(zip(words, range(known, known + len(words)), strict=True))
+    def _cut(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        if not self._simple or _UNUSUAL.search(text):
+            return [w for w in _SPACE.split(text) if w] if _NOT_SPACE.search(text) else text.split()
+        text = text.lower()
+        for mark in self._marks:
+            if mark in text:
+                text = text.replace(mark + " ", f" {mark} ").replace(mark + "\n", f" {mark}\n")
+                if text[-1] == mark:
+                    text = f"{text[:-1]} {mark}"
+        return text.split()
+
+    def _put(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        total = self._used + len(flat)
+        if total > len(self._flat):
+            self._flat = np.concatenate([self._flat, np.zeros(total, np.uint32)])
+        self._flat[self._used : total] = flat
+        at = np.array([self._places[w] for w in words], np.int64)
+        self._sizes[at] = sizes
+        self._starts[at] = self._used + np.cumsum(sizes) - sizes
+        self._used = total
 
     def _apart(self, words: list[str]) -> None:
-        """Learn any words, with a special token between them."""
         alone = [w for w in words if not self._between or any(s in w for s in self._special)]
         if alone:
             ids = self._encoded(alone)
-            self._add(alone, np.array(list(chain.from_iterable(ids)), np.uint32), np.array(list(map(len, ids)), np.int64))
-            words = [w for w in words if w not in self._places]
+            self._put(alone, np.array(list(chain.from_iterable(ids)), np.uint32), np.array(list(map(len, ids)), np.int64))
+            words = [w for w in words if w not in {*alone}]
         for at in range(0, len(words), WORDS_AT_ONCE):
             own = words[at : at + WORDS_AT_ONCE]
             number, mark = self._between
             (ids,) = self._encoded([mark.join(own) + mark])
             found = np.array(ids, np.int64)
-            sizes = np.diff(np.flatnonzero(found == number), prepend=-1) - 1
-            self._add(own, found[found != number], sizes)
-
-    def _plain(self, words: list[str]) -> None:
-        """Learn words of lower-case letters: each ends with the one symbol that ends a word."""
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            own = words[at : at + WORDS_AT_ONCE]
-            (ids,) = self._encoded([" ".join(own)])
-            found = np.array(ids, np.int64)
+            self._put(own, found[found != number], np.diff(np.flatnonzero(found == number), prepend=-1) - 1)
+
+    def _learn(self) -> None:
+        new, self._places.new = self._places.new, []
+        known = len(self._places)
+        if known > len(self._sizes):
+            self._starts, self._sizes = (np.resize(x, 2 * known) for x in (self._starts, self._sizes))
+        plain, other = [], []
+        for word in new:
+            (plain if self._simple and _PLAIN.fullmatch(word) else other).append(word)
+        for at in range(0, len(plain), WORDS_AT_ONCE):
+            own = plain[at : at + WORDS_AT_ONCE]
+            found = np.array(self._plain_ids(own), np.int64)
             ends = np.flatnonzero(self._ends[found])
             if len(ends) == len(own) and ends[-1] == len(found) - 1:
-                self._add(own, found, np.diff(ends, prepend=-1))
+                self._put(own, found, np.diff(ends, prepend=-1))
             else:
-                self._apart(own)
-
-    def _learn(self, words: list[str]) -> None:
-        places = self._places
-        if self._ends is None:
-            return self._apart(words)
-        odd, plain, marked = [], [], []
-        for w in words:
-            match = _PLAIN.fullmatch(w)
-            if not match:
-                odd.append(w)
-            elif match[2]:
-                marked.append((w, match[1].lower(), match[2]))
-            else:
-                plain.append((w, w.lower()))
-        cores = dict.fromkeys(chain((c for _, c in plain), (c for _, c, _ in marked)))
-        self._plain([c for c in cores if c not in places])
-        self._apart([m for m in dict.fromkeys(m for *_, m in marked) if m not in places and m not in odd])
-        self._apart([w for w in odd if w not in places])
-        for w, core in plain:
-            places[w] = places[core]
-        if marked:
-            names = [w for w, *_ in marked]
-            at = np.array([(places[c], places[m]) for _, c, m in marked], np.int64)
-            sizes = self._sizes[at].sum(axis=1)
-            flat = self._gathered(at.ravel())
-            self._add(names, flat, sizes)
-
-    def _gathered(self, at: np.ndarray) -> np.ndarray:
-        sizes = self._sizes[at]
-        first = np.cumsum(sizes) - sizes
-        return self._flat[np.arange(int(sizes.sum())) + np.repeat(self._starts[at] - first, sizes)]
+                other += own
+        self._apart(other)
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = [
-            [w for w in _SPACE.split(t) if w] if _NOT_SPACE.search(t) else t.split() for t in (t or "" for t in texts)
-        ]
         if len(self._places) > self._cached:
             self._forget()
-        places = self._places
-        self._learn([w for w in dict.fromkeys(chain.from_iterable(cut)) if w not in places])
-        return [self._gathered(np.array(list(map(places.__getitem__, words)), np.int64)) for words in cut]
+        place = self._places.__getitem__
+        rows = [np.array(list(map(place, self._cut(t))), np.int64) for t in texts]
+        self._learn()
+        out = []
+        for at in rows:
+            sizes = self._sizes[at]
+            first = np.cumsum(sizes) - sizes
+            out.append(self._flat[np.arange(int(sizes.sum())) + np.repeat(self._starts[at] - first, sizes)])
+        return out
 
 
 @lru_cache(maxsize=1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, decontaminate, jaccard, langid, lines, mincut, packing, pii, quality, urls, winnow
+from mercatura.llm import bpe, codes, decontaminate, jaccard, langid, lines, mincut, packing, pii, quality, urls, winnow
 from mercatura.llm import words as W
 from mercatura.session import tune
 
@@ -185,6 +185,58 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every embedding, with codebooks made from all of them."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    books = codes.fit(rows, "vec_id", "embedding")
+    done = codes.encode(rows, "embedding", books).select(
+        "vec_id",
+        "label",
+        F.array_join(F.transform("code", lambda e: F.lower(F.lpad(F.hex(e), 2, "0"))), "").alias("code"),
+        "error",
+    )
+    return codes.with_group_sum(done, "label", "error", "label_error").select(
+        "vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256")
+    )
+
+
+_OP11_ROUND = """
+near{n} AS (
+  SELECT r, p, min({{'d': list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - y[i]) * (x[i] - y[i]))), 'e': e}}) AS m
+  FROM part JOIN book{n} USING (p) GROUP BY r, p),"""
+_OP11_BOOK = """
+total{n} AS (
+  SELECT p, e, i, sum(c) AS s, count(*) AS k
+  FROM (SELECT p, m.e AS e, unnest(x) AS c, unnest(range(1, len(x) + 1)) AS i FROM near{o} JOIN part USING (r, p))
+  GROUP BY p, e, i),
+mean{n} AS (SELECT p, e, list((s - (s % k + k) % k) // k ORDER BY i) AS y FROM total{n} GROUP BY p, e),
+book{n} AS (
+  SELECT p, e, CAST(coalesce(mean{n}.y, book{o}.y) AS BIGINT[]) AS y FROM book{o} LEFT JOIN mean{n} USING (p, e)),"""
+
+OP11_SQL = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r, vec_id, label, v
+  FROM (SELECT vec_id, label,
+               list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {codes.SCALE}) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+part AS (
+  SELECT r, p, v[p * (len(v) // {codes.PARTS}) + 1 : (p + 1) * (len(v) // {codes.PARTS})] AS x
+  FROM kept, range({codes.PARTS}) t(p)),
+book0 AS (SELECT p, r - 1 AS e, x AS y FROM part WHERE r <= {codes.ENTRIES}),
+{_OP11_ROUND.format(n=0)}{_OP11_BOOK.format(n=1, o=0)}{_OP11_ROUND.format(n=1)}{_OP11_BOOK.format(n=2, o=1)}{_OP11_ROUND.format(n=2)}
+done AS (
+  SELECT r, string_agg(format('{{:02x}}', m.e), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error
+  FROM near2 GROUP BY r)
+SELECT vec_id, code, error,
+       CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, i))
+        FROM (SELECT p, e, unnest(y) AS c, unnest(range(len(y))) AS i FROM book2)) AS codebooks_sha256
+FROM kept JOIN done USING (r)
+"""
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document, and where it lies in which sequence."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -237,9 +289,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": op8_url_filter,
         "op9_line_dedup": op9_line_dedup,
         "op10_main_text": op10_main_text,
+        "op11_vector_codes": op11_vector_codes,
         "op13_packing": op13_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": OP2_SQL, "op6_jaccard": OP6_SQL, "op8_url_filter": OP8_SQL}
+    return {"op2_decontaminate": OP2_SQL, "op6_jaccard": OP6_SQL, "op8_url_filter": OP8_SQL, "op11_vector_codes": OP11_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import bpe, codes, decontaminate, jaccard, langid, lines, mincut, packing, pii, quality, urls, winnow
+from mercatura.llm import bpe, codes, decontaminate, jaccard, langid, lines, mincut, packing, pii, quality, trie, urls, winnow
 from mercatura.llm import words as W
 from mercatura.session import tune
 
@@ -237,6 +237,59 @@ FROM kept JOIN done USING (r)
 """
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prefix that rebuilt conversations share."""
+    return trie.trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+# CRC-32 is made of shifts: DuckDB has no function for it.
+OP12_SQL = """
+WITH RECURSIVE crc(i, k, v) AS (
+  SELECT i, 0, i FROM range(256) t(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM crc WHERE k < 8),
+steps AS (SELECT list(v ORDER BY i) AS t FROM crc WHERE k = 8),
+said AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv, role, text, row_number() OVER (
+    PARTITION BY conv ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS pos FROM said),
+heads AS (
+  SELECT conv, conv - conv % 100 AS leader, n, xor(list_reduce(
+      list_transform(range(1, length(CAST(conv AS VARCHAR)) + 1), lambda i: CAST(ascii(CAST(conv AS VARCHAR)[i]) AS BIGINT)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 6 AS h
+  FROM (SELECT conv, count(*) AS n FROM own GROUP BY conv), steps),
+turns AS (
+  SELECT a.conv, o.pos, role, text FROM heads a JOIN own o ON o.conv = a.leader AND o.pos <= a.h
+  UNION ALL
+  SELECT a.conv, o.pos, role, text FROM heads a JOIN own o ON o.conv = a.conv AND o.pos > a.h),
+placed AS (
+  SELECT conv, role, text, row_number() OVER (PARTITION BY conv ORDER BY pos) AS depth FROM turns),
+prefix AS (
+  SELECT conv, CAST(0 AS BIGINT) AS depth, CAST([] AS VARCHAR[]) AS path, CAST(0 AS BIGINT) AS chars FROM heads
+  UNION ALL
+  SELECT p.conv, p.depth, list_append(f.path, p.role || chr(1) || length(p.role) || chr(1) || p.text), length(p.text)
+  FROM prefix f JOIN placed p ON p.conv = f.conv AND p.depth = f.depth + 1),
+ending AS (SELECT conv, max(depth) AS depth FROM prefix GROUP BY conv),
+node AS (
+  SELECT p.path, p.depth, min(p.conv) AS conv, count(*) AS n, min(chars) AS chars,
+         list(p.conv ORDER BY p.conv) FILTER (e.depth = p.depth) AS ends
+  FROM prefix p JOIN ending e USING (conv) GROUP BY p.path, p.depth),
+children AS (SELECT path[:depth - 1] AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+marked AS (
+  SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN children USING (path)),
+subtree AS (
+  SELECT path[:d] AS path, CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+         CAST(sum((n - 1) * chars) AS BIGINT) AS saved
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM marked) GROUP BY 1)
+SELECT m.conv AS conv_id, m.depth, up.conv AS parent_conv_id, m.n AS n_convs, m.n_children, n_leaves,
+       saved AS saved_tokens, sha256(coalesce(array_to_string(m.ends, ','), '')) AS ends_sha256
+FROM marked m JOIN subtree s ON s.path = m.path
+LEFT JOIN node up ON m.depth > 0 AND up.depth = m.depth - 1 AND up.path = m.path[:m.depth - 1]
+"""
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document, and where it lies in which sequence."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -290,9 +343,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_line_dedup": op9_line_dedup,
         "op10_main_text": op10_main_text,
         "op11_vector_codes": op11_vector_codes,
+        "op12_prefix_trie": op12_prefix_trie,
         "op13_packing": op13_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": OP2_SQL, "op6_jaccard": OP6_SQL, "op8_url_filter": OP8_SQL, "op11_vector_codes": OP11_SQL}
+    return {"op2_decontaminate": OP2_SQL, "op6_jaccard": OP6_SQL, "op8_url_filter": OP8_SQL, "op11_vector_codes": OP11_SQL, "op12_prefix_trie": OP12_SQL}

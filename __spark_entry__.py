@@ -7,6 +7,7 @@ two sides share no method.
 
 from __future__ import annotations
 
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -52,14 +53,21 @@ from mercatura.sources.csv_files import clean_table, read_clean, read_plain, wri
 from mercatura.sources.layout import write_layout
 from mercatura.sources.star_sample import DELIVERED, StarSample
 from mercatura.sources.tables import replace_table, table_or_none
-from mercatura.streaming import daily_sales, order_sales_stream, stream_parquet
+from mercatura.streaming import daily_sales, latest_orders, order_sales_stream, stream_parquet
 
 # The corpus subpackage is optional; everything else works without it.
-try:
+corpus = corpus_pipeline = None
+
+
+def _is_there(name: str) -> bool:
+    """Whether there is a module, not just a folder of its name. What fails inside it should raise."""
+    spec = importlib.util.find_spec(name)
+    return spec is not None and spec.origin is not None
+
+
+if _is_there("mercatura.llm") and _is_there("corpus_pipeline"):
     import corpus_pipeline
     from mercatura.llm import queries as corpus
-except ImportError:
-    corpus = corpus_pipeline = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -293,9 +301,54 @@ def _stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = daily_sales(
         _item_stream(spark, sf_dir), t.orders, f"{folder}/days", f"{folder}/checkpoint", DELIVERED
     )
+    return _day_report(days)
+
+
+def _day_report(days: DataFrame) -> DataFrame:
     return days.select("day", F.col("revenue").cast("double").alias("revenue"), "items")
 
 
+def _stream_late_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items come before most of their orders do, and before those they know are delivered."""
+    t = _tables(spark, sf_dir)
+    folder = scratch_path(spark, "stream-late")
+    known = t.orders.where(F.col("order_id") % 3 == 0).withColumn("order_status", F.lit("O"))
+
+    def days(orders: DataFrame) -> DataFrame:
+        stream = _item_stream(spark, sf_dir)
+        return daily_sales(stream, orders, f"{folder}/items", f"{folder}/checkpoint", DELIVERED)
+
+    days(known)
+    return _day_report(days(t.orders))
+
+
+def _stream_order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders come as a stream of versions, the last of them first."""
+    t = _tables(spark, sf_dir)
+    folder = scratch_path(spark, "stream-versions")
+    last = t.orders.withColumn("version", F.lit(2))
+    first = t.orders.withColumns({"version": F.lit(1), "order_status": F.lit(DELIVERED)})
+    for number, version in enumerate((last, first)):
+        version.write.parquet(f"{folder}/in/{number}")
+        stream = stream_parquet(spark, f"{folder}/in/*", last.schema, files_per_batch=2)
+        orders = latest_orders(stream, f"{folder}/orders", f"{folder}/orders-checkpoint", "version", 2)
+    per_order = order_sales_stream(
+        _item_stream(spark, sf_dir), orders, f"{folder}/items", f"{folder}/items-checkpoint", DELIVERED
+    )
+    return growth_report(monthly_totals(per_order))
+
+
+def _stream_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many batches, whose folds are merged on the way."""
+    t = _tables(spark, sf_dir)
+    folder = scratch_path(spark, "stream-merged")
+    t.order_items.repartition(10).write.parquet(f"{folder}/in")
+    stream = stream_parquet(spark, f"{folder}/in", t.order_items.schema, files_per_batch=1)
+    return _day_report(
+        daily_sales(stream, t.orders, f"{folder}/items", f"{folder}/checkpoint", DELIVERED, fan_in=3)
+    )
+
+
 # Tables and the job ------------------------------------------------------------------------------
 
 
@@ -470,6 +523,9 @@ def queries() -> dict[str, Query]:
         # Streaming
         "stream_sales": _stream_sales,
         "stream_daily_sales": _stream_daily,
+        "stream_late_orders": _stream_late_orders,
+        "stream_order_versions": _stream_order_versions,
+        "stream_merged_days": _stream_merged,
         # Tables and the job
         "catalog_category_analysis": _catalog_categories,
         "layout_sales_patterns": _bucketed_sales,
@@ -707,6 +763,13 @@ FROM seller_metrics""",
 FROM monthly""",
         _MONTHLY,
     )
+    day_report = _sql(
+        """SELECT day, CAST(sum(price) AS DOUBLE) AS revenue, count(*) AS items
+FROM (SELECT CAST(date_trunc('day', o.order_purchase_timestamp) AS TIMESTAMP) AS day, i.price
+      FROM f_items i JOIN f_orders o ON i.order_id = o.order_id
+      WHERE o.order_status = 'F') AS sold
+GROUP BY day"""
+    )
     label = """'say "hi", twice' AS label"""
     return {
         "sales_patterns": sales,
@@ -924,12 +987,9 @@ FROM points GROUP BY revenue_quintile, n, q1, median, q3""",
             _BOX,
         ),
         "stream_sales": time_report,
-        "stream_daily_sales": _sql(
-            """SELECT day, CAST(sum(price) AS DOUBLE) AS revenue, count(*) AS items
-FROM (SELECT CAST(date_trunc('day', o.order_purchase_timestamp) AS TIMESTAMP) AS day, i.price
-      FROM f_items i JOIN f_orders o ON i.order_id = o.order_id
-      WHERE o.order_status = 'F') AS sold
-GROUP BY day"""
-        ),
+        "stream_daily_sales": day_report,
+        "stream_late_orders": day_report,
+        "stream_order_versions": time_report,
+        "stream_merged_days": day_report,
         **_corpus_sql(),
     }

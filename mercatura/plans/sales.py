@@ -76,14 +76,26 @@ def item_sums(items: DataFrame) -> DataFrame:
     return fold_for_join(items, "order_id", *sums)
 
 
+def refold_items(parts: DataFrame) -> DataFrame:
+    """Add up rows of ``item_sums`` that were made from parts of the items."""
+    sums = [F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in parts.columns if c != "order_id"]
+    return fold_for_join(parts, "order_id", *sums)
+
+
 def order_sales(orders: DataFrame, items: DataFrame, delivered: str = "delivered") -> DataFrame:
-    """Delivered orders that have items, with the sums over them.
+    """Delivered orders that have items, with the sums over them."""
+    kept = items.drop(DELIVERED_AT) if DELIVERED_AT in orders.columns else items
+    return sales_of_folds(orders, item_sums(kept), delivered)
+
+
+def sales_of_folds(orders: DataFrame, folds: DataFrame, delivered: str = "delivered") -> DataFrame:
+    """``order_sales`` from rows of ``item_sums``, one for each order.
 
     ``seconds`` adds up the delivery time once per item, ``timed`` counts the items that have
     one. Dates on the order hold for each of its items; without any dates both are empty.
     """
     on_order = DELIVERED_AT in orders.columns
-    on_item = not on_order and DELIVERED_AT in items.columns
+    on_item = not on_order and "delivered_items" in folds.columns
     bought = orders.where(F.col("order_status") == delivered).select(
         "order_id", "customer_id", PURCHASED, *([DELIVERED_AT] if on_order else [])
     )
@@ -97,10 +109,8 @@ def order_sales(orders: DataFrame, items: DataFrame, delivered: str = "delivered
         timed = F.when(start.isNotNull(), F.col("delivered_items"))
     else:
         seconds, timed = (F.lit(None).cast(WHOLE) for _ in range(2))
-    kept = items.drop(DELIVERED_AT) if on_order else items
     return (
-        item_sums(kept)
-        .join(bought, "order_id")
+        folds.join(bought, "order_id")
         .select(
             "order_id",
             "customer_id",
@@ -129,13 +139,6 @@ def fold_to_orders(facts: DataFrame) -> DataFrame:
     )
 
 
-def refold_orders(parts: DataFrame) -> DataFrame:
-    """Add up rows of ``fold_to_orders`` that were made from parts of the items."""
-    return parts.groupBy("order_id", "customer_id", "month").agg(
-        *[F.sum(c).alias(c) for c in ("price", "freight_value", "seconds", "timed")]
-    )
-
-
 def monthly_totals(per_order: DataFrame) -> DataFrame:
     """Per month of purchase: distinct orders and customers, exact sums, delivery time.
 

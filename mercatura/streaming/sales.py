@@ -1,22 +1,25 @@
-"""Sales from a stream of order items.
+"""Sales from streams of order items and of orders.
 
-Every micro-batch is folded before it is written, to a folder of its own that a repeated batch
-replaces, and the folds are added up when they are read. Sums and counts do not depend on how the
-items were cut into batches, nothing is ever late, and what is kept grows with the orders or the
-days, not with the items.
+Every micro-batch of items is folded to one row per order before it is written, and the folds are added
+up when they are read. They meet the orders only then: items that come before their order, or before it is
+delivered, wait in their fold, and a status that changes later changes the result. So the result is that
+of the batch report over the items and orders that have come, in whatever order and batches they came.
+What is kept grows with the orders, not with the items.
+
+Orders may be a table, read as it is at each run, or a stream of their versions (``latest_orders``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercatura.functions import month_of
-from mercatura.plans.sales import PURCHASED, delivered_items, fold_to_orders, refold_orders
+from mercatura.plans.sales import PURCHASED, item_sums, refold_items, sales_of_folds
+from mercatura.streaming.store import FAN_IN, FoldStore
 
 
 def stream_parquet(
@@ -52,42 +55,56 @@ def append_available(stream: DataFrame, folder: str, checkpoint: str) -> DataFra
 
 
 def fold_batches(
-    stream: DataFrame, fold: Callable[[DataFrame], DataFrame], folder: str, checkpoint: str
+    stream: DataFrame,
+    fold: Callable[[DataFrame, int], DataFrame],
+    merge: Callable[[DataFrame], DataFrame],
+    folder: str,
+    checkpoint: str,
+    fan_in: int = FAN_IN,
 ) -> DataFrame:
-    """Fold everything there is, batch by batch, and return the folds of all batches.
+    """Fold everything there is, batch by batch, and return the folds of all batches added up.
 
-    Run again with the same folders to take in what has come since. A batch that is repeated
-    after a failure overwrites its own folder, so it counts once.
+    ``fold`` gets a batch and its number. Run again with the same folders to take in what has come
+    since. A batch that is repeated after a failure counts once; see ``store`` for what is kept.
     """
-
-    def write(batch: DataFrame, number: int) -> None:
-        fold(batch).write.mode("overwrite").parquet(f"{folder}/batch={number}")
-
+    spark = stream.sparkSession
+    schema = fold(spark.createDataFrame([], stream.schema), 0).schema
+    store = FoldStore(spark, folder, schema, merge, fan_in)
     query = (
-        stream.writeStream.foreachBatch(write)
+        stream.writeStream.foreachBatch(lambda batch, number: store.put(number, fold(batch, number)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    spark = stream.sparkSession
-    empty = spark.createDataFrame([], stream.schema)
-    schema = fold(empty).schema
-    try:
-        return spark.read.schema(schema).parquet(folder).select(*schema.names)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return store.read()
 
 
-def _day_sums(facts: DataFrame) -> DataFrame:
-    day = F.col(PURCHASED).cast("date").cast("timestamp_ntz")
-    return facts.groupBy(day.alias("day")).agg(
-        F.sum("price").alias("revenue"),
-        F.sum("freight_value").alias("freight_cost"),
-        F.count(F.lit(1)).alias("items"),
-    )
+def fold_items(item_stream: DataFrame, folder: str, checkpoint: str, fan_in: int = FAN_IN) -> DataFrame:
+    """One row per order over all items that have come, whether or not the order has."""
+    return fold_batches(item_stream, lambda batch, _: item_sums(batch), refold_items, folder, checkpoint, fan_in)
+
+
+def latest_orders(
+    order_stream: DataFrame, folder: str, checkpoint: str, version: str | None = None, fan_in: int = FAN_IN
+) -> DataFrame:
+    """Each order as it was last: with the greatest ``version``, or else as the last batch had it.
+
+    Of rows that are equal in that, the greatest one stays, column by column, so that a repeated
+    batch chooses the same.
+    """
+    columns = [c for c in order_stream.columns if c != "order_id"]
+
+    def fold(batch: DataFrame, number: int) -> DataFrame:
+        at = F.col(version) if version else F.lit(number).cast("long")
+        rows = batch.select("order_id", F.struct(at.alias("_at"), *columns).alias("_last"))
+        return last(rows)
+
+    def last(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("order_id").agg(F.max("_last").alias("_last"))
+
+    found = fold_batches(order_stream, fold, last, folder, checkpoint, fan_in)
+    return found.select("order_id", *[F.col("_last")[c].alias(c) for c in columns])
 
 
 def daily_sales(
@@ -96,16 +113,19 @@ def daily_sales(
     folder: str,
     checkpoint: str,
     delivered: str = "delivered",
+    fan_in: int = FAN_IN,
 ) -> DataFrame:
-    """Totals per day of purchase over all items that have come, complete at any time."""
-    facts = delivered_items(orders, item_stream, delivered)
+    """Totals per day of purchase over all items that have come of the orders as they are now."""
+    folds = fold_items(item_stream, folder, checkpoint, fan_in)
+    bought = orders.where(F.col("order_status") == delivered).select("order_id", PURCHASED)
+    day = F.col(PURCHASED).cast("date").cast("timestamp_ntz")
     return (
-        fold_batches(facts, _day_sums, folder, checkpoint)
-        .groupBy("day")
+        folds.join(bought, "order_id")
+        .groupBy(day.alias("day"))
         .agg(
-            F.sum("revenue").alias("revenue"),
-            F.sum("freight_cost").alias("freight_cost"),
-            F.sum("items").alias("items"),
+            F.sum("price").alias("revenue"),
+            F.sum("freight_value").alias("freight_cost"),
+            F.sum("items").cast("long").alias("items"),
         )
     )
 
@@ -116,10 +136,15 @@ def order_sales_stream(
     folder: str,
     checkpoint: str,
     delivered: str = "delivered",
+    fan_in: int = FAN_IN,
 ) -> DataFrame:
     """One row per order over all items that have come, as the monthly reports take them."""
-    facts = delivered_items(orders, item_stream, delivered)
-    return refold_orders(fold_batches(facts, fold_to_orders, folder, checkpoint))
+    return sales_of_folds(orders, fold_items(item_stream, folder, checkpoint, fan_in), delivered)
+
+
+def waiting_items(folds: DataFrame, orders: DataFrame) -> DataFrame:
+    """The folds whose order has not come."""
+    return folds.join(orders.select("order_id"), "order_id", "left_anti")
 
 
 def months_from_days(days: DataFrame) -> DataFrame:

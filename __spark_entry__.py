@@ -10,6 +10,7 @@ from __future__ import annotations
 import importlib.util
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ from mercatura.schema import SCHEMAS
 from mercatura.session import scratch_path, tune
 from mercatura.sources import star_sample
 from mercatura.sources.csv_files import clean_table, read_clean, read_plain, write_csv
-from mercatura.sources.layout import write_layout
+from mercatura.sources.layout import BY_TIME, between, write_by_time, write_layout
 from mercatura.sources.star_sample import DELIVERED, StarSample
 from mercatura.sources.tables import replace_table, table_or_none
 from mercatura.streaming import daily_sales, latest_orders, order_sales_stream, stream_parquet
@@ -382,6 +383,54 @@ def _bucketed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_patterns(orders, items, DELIVERED)
 
 
+# Parquet's row groups are small here, so that a sample has more than one.
+ROW_GROUP_BYTES = 256 * 1024
+A_MONTH = (datetime(1995, 3, 1), datetime(1995, 4, 1))
+CUSTOMERS_ASKED = (1, 7, 100, 370)
+PRODUCTS_ASKED = (2, 55, 199)
+SELLERS_ASKED = (3, 8)
+
+
+def _laid_out(spark: SparkSession, t: StarSample) -> str:
+    """Orders and items with what finds their rows: buckets, Bloom filters and a copy by time."""
+    database = _database(spark)
+    write_layout(
+        {"orders": t.orders, "order_items": t.order_items}, 8, database, row_group_bytes=ROW_GROUP_BYTES
+    )
+    write_by_time(t.orders, f"orders{BY_TIME}", database=database, row_group_bytes=ROW_GROUP_BYTES)
+    return database
+
+
+def _month_from_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales of one month, whose orders are found by their time."""
+    database = _laid_out(spark, _tables(spark, sf_dir))
+    orders = between(spark.table(f"{database}.orders{BY_TIME}"), *A_MONTH)
+    return sales_patterns(orders, spark.table(f"{database}.order_items"), DELIVERED)
+
+
+def _customers_from_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders of a few customers, with their items."""
+    database = _laid_out(spark, _tables(spark, sf_dir))
+    asked = spark.table(f"{database}.orders").where(F.col("customer_id").isin(*CUSTOMERS_ASKED))
+    joined = ordered_items(asked, spark.table(f"{database}.order_items"), ["customer_id"], ["price"])
+    return joined.groupBy("customer_id", "order_id").agg(
+        F.count(F.lit(1)).alias("items"), F.sum("price").cast("double").alias("spend")
+    )
+
+
+def _items_from_layout(key: str, asked: tuple[int, ...]) -> Query:
+    """What was sold of a few products, or by a few sellers."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        database = _laid_out(spark, _tables(spark, sf_dir))
+        found = spark.table(f"{database}.order_items").where(F.col(key).isin(*asked))
+        return found.groupBy(key).agg(
+            F.count(F.lit(1)).alias("items"), F.sum("price").cast("double").alias("revenue")
+        )
+
+    return run
+
+
 def _job(report: str) -> Query:
     """The whole run over CSV files made of the tables; one of its reports."""
 
@@ -529,6 +578,10 @@ def queries() -> dict[str, Query]:
         # Tables and the job
         "catalog_category_analysis": _catalog_categories,
         "layout_sales_patterns": _bucketed_sales,
+        "layout_month_sales": _month_from_layout,
+        "layout_customer_orders": _customers_from_layout,
+        "layout_product_sales": _items_from_layout("product_id", PRODUCTS_ASKED),
+        "layout_seller_sales": _items_from_layout("seller_id", SELLERS_ASKED),
         "job_time_metrics": _job("time_metrics"),
         **_corpus_queries(),
     }
@@ -909,6 +962,26 @@ fences AS (
             "SELECT * FROM categories", _categories_sql("p.product_category_name")
         ),
         "layout_sales_patterns": sales,
+        "layout_month_sales": _sql(
+            f"""SELECT month, orders AS order_count, revenue, customers AS customer_count,
+       revenue / nullif(orders, 0) AS avg_order_value,
+       revenue / nullif(customers, 0) AS revenue_per_customer
+FROM monthly WHERE month = TIMESTAMP '{A_MONTH[0]}'""",
+            _MONTHLY,
+        ),
+        "layout_customer_orders": _sql(
+            f"""SELECT o.customer_id, o.order_id, count(*) AS items, CAST(sum(i.price) AS DOUBLE) AS spend
+FROM f_orders o JOIN f_items i ON i.order_id = o.order_id
+WHERE o.customer_id IN {CUSTOMERS_ASKED} GROUP BY o.customer_id, o.order_id"""
+        ),
+        "layout_product_sales": _sql(
+            f"""SELECT product_id, count(*) AS items, CAST(sum(price) AS DOUBLE) AS revenue
+FROM f_items WHERE product_id IN {PRODUCTS_ASKED} GROUP BY product_id"""
+        ),
+        "layout_seller_sales": _sql(
+            f"""SELECT seller_id, count(*) AS items, CAST(sum(price) AS DOUBLE) AS revenue
+FROM f_items WHERE seller_id IN {SELLERS_ASKED} GROUP BY seller_id"""
+        ),
         "job_time_metrics": time_report,
         "dedupe": _sql(
             """SELECT order_id, order_item_id, product_id, seller_id,

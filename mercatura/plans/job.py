@@ -39,7 +39,7 @@ from mercatura.plans.sellers import METRICS, seller_performance
 from mercatura.schema import SCHEMAS, Tables
 from mercatura.session import checkpointed, tune
 from mercatura.sources.csv_files import clean_table, load_files, typed
-from mercatura.sources.layout import write_layout
+from mercatura.sources.layout import BY_TIME, LOOKUP_KEYS, TIME_KEY, write_by_time, write_layout
 from mercatura.sources.tables import bundle, qualified, replace_folder
 
 log = logging.getLogger(__name__)
@@ -208,6 +208,9 @@ def run(
         stored = {name: spark.read.parquet(f"{out}/tables/{name}") for name in loaded}
     else:
         write_layout(loaded, buckets, database)
+        orders = loaded["orders"]
+        if dict(orders.dtypes).get(TIME_KEY, "").startswith("timestamp"):
+            write_by_time(orders, f"orders{BY_TIME}", database=database, lookups=LOOKUP_KEYS["orders"])
         stored = {name: spark.table(qualified(name, database)) for name in loaded}
 
     tables = bundle(stored)

@@ -217,6 +217,73 @@ def test_skewed_tables_are_not_bucketed_unasked(spark):
     assert spark.table("skewed.order_items").count() == 2000
 
 
+def rows_scanned(df):
+    """Rows that the scans of ``df`` hand on: those of the row groups that are not skipped."""
+    df.collect()
+
+    def walk(node):
+        if "AdaptiveSparkPlan" in node.nodeName():
+            return walk(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            return walk(node.plan())
+        own = node.metrics().get("numOutputRows") if "Scan" in node.nodeName() else None
+        below = [walk(node.children().apply(i)) for i in range(node.children().size())]
+        return (own.get().value() if own is not None and own.isDefined() else 0) + sum(below)
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def many_orders(spark, n=60_000):
+    """A third of them were bought at one moment."""
+    at = F.timestamp_seconds(F.when(F.col("id") % 3 == 0, 1_500_000_000).otherwise(1_483_228_800 + F.col("id") * 500))
+    return spark.range(n).select(
+        F.col("id").cast("string").alias("order_id"),
+        (F.col("id") * 7919 % 50_000).alias("customer_id"),
+        F.when(F.col("id") % 1000 != 0, at).cast("timestamp_ntz").alias("order_purchase_timestamp"),
+    )
+
+
+def test_a_span_of_time_reads_few_row_groups(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    spark.sql("CREATE DATABASE IF NOT EXISTS timed")
+    orders = many_orders(spark)
+    layout.write_by_time(orders, "orders_by_time", database="timed", row_group_bytes=30_000)
+    stored = spark.table("timed.orders_by_time")
+    for start, end in (("2017-03-01", "2017-04-01"), ("2017-03-05T10:00:00", "2017-03-05T12:00:00"),
+                       ("2017-07-14T02:40:00", "2017-07-14T02:40:01"), ("2030-01-01", "2030-02-01")):
+        start, end = ts(start), ts(end)
+        at = F.col("order_purchase_timestamp")
+        want = orders.where((at >= F.lit(str(start)).cast("timestamp_ntz")) & (at < F.lit(str(end)).cast("timestamp_ntz")))
+        got = layout.between(stored, start, end)
+        assert got.columns == orders.columns
+        assert sorted(rows(got)) == sorted(rows(want))
+        assert "order_purchase_timestamp_day" in plan(got).split("PushedFilters")[1]
+        assert rows_scanned(got) <= want.count() + 60_000 / 4
+    assert rows_scanned(stored) == 60_000
+    sizes = [r[0] for r in stored.groupBy(F.input_file_name()).count().select("count").collect()]
+    assert len(sizes) > 2 and max(sizes) <= 2 * 60_000 / len(sizes)
+
+
+def test_a_lookup_reads_few_row_groups(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS looked_up")
+    orders = many_orders(spark)
+    items = spark.range(60_000).select(
+        F.col("id").cast("string").alias("order_id"),
+        (F.col("id") * 104_729 % 59_999).alias("product_id"),
+        (F.col("id") * 1_299_709 % 40_009).cast("string").alias("seller_id"),
+    )
+    layout.write_layout({"orders": orders, "order_items": items}, 4, "looked_up", row_group_bytes=30_000)
+    for name, df, key, value in (("orders", orders, "customer_id", 4242), ("order_items", items, "product_id", 77),
+                                 ("order_items", items, "seller_id", "1234")):
+        stored = spark.table(f"looked_up.{name}")
+        got = stored.where(F.col(key) == value)
+        want = df.where(F.col(key) == value)
+        assert got.count() == want.count() > 0
+        assert rows_scanned(got) < 60_000 / 3 and rows_scanned(stored) == 60_000
+        assert rows_scanned(stored.where(F.col(key).isin(value, value + value))) < 60_000 / 2
+    assert layout.lookup_options([]) == {}
+
+
 def test_jdbc_options():
     table = JdbcTable("jdbc:postgresql://db/shop", "orders", user="u", password="p")
     assert table.read_options() == {
@@ -404,6 +471,9 @@ def test_job(spark, tmp_path, buckets, capsys):
     assert rates["order_id is in orders"] == 100.0
     assert rates["product has a category"] == pytest.approx(500 / 7)
     assert read(f"{out}/plots/revenue_trend").count() == 6
+    if buckets:
+        may = layout.between(spark.table("shop.orders_by_time"), ts("2018-05-01"), ts("2018-06-01"))
+        assert may.count() == 10
     job.show_summaries(reports)
     assert "toys" not in capsys.readouterr().err
 

@@ -27,6 +27,7 @@ from mercatura.operators import cleaning, quality
 from mercatura.operators.describe import box_outliers, describe
 from mercatura.operators.fanout import weighted, weighted_scores, with_review_weight
 from mercatura.operators.ranking import ntile
+from mercatura.operators.selection import SortKey, with_tiles
 from mercatura.plans import job, plots
 from mercatura.plans.customers import customer_behavior, customer_metrics
 from mercatura.plans.job import top_products, top_states
@@ -173,6 +174,17 @@ def _window_ntile(value: str, name: str) -> Query:
     return _on_tables(build)
 
 
+def _window_tiles(value: str, name: str) -> Query:
+    """The same tiles from the rows at which they begin."""
+
+    def build(t: StarSample) -> DataFrame:
+        rows = _seller_revenue(t).select("seller_id", value)
+        keys = [SortKey(value, descending=True), SortKey("seller_id", nulls_first=False)]
+        return with_tiles(rows, 5, {name: keys})
+
+    return _on_tables(build)
+
+
 def _elapsed(t: StarSample) -> DataFrame:
     joined = ordered_items(
         t.orders,
@@ -513,8 +525,8 @@ def queries() -> dict[str, Query]:
         # Aggregates and windows
         "agg_count_distinct": _on_tables(_count_distinct),
         "window_lag": _on_tables(_window_lag),
-        "window_ntile_revenue": _window_ntile("revenue", "revenue_quintile"),
-        "window_ntile_rating": _window_ntile("avg_rating", "rating_quintile"),
+        "window_ntile_revenue": _window_tiles("revenue", "revenue_quintile"),
+        "window_ntile_rating": _window_tiles("avg_rating", "rating_quintile"),
         "window_ntile_revenue_distributed": _window_ntile("revenue", "revenue_quintile"),
         "window_ntile_rating_distributed": _window_ntile("avg_rating", "rating_quintile"),
         # Scalars

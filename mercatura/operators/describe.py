@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercatura.operators.quantiles import exact_quantiles
+from mercatura.operators.quantiles import exact_quantiles, grouped_quantiles
 from mercatura.session import checkpointed
 
 STATISTICS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
@@ -18,47 +18,31 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Statistics as rows (``statistic``), described columns as columns.
 
     Standard deviation is the sample one; quartiles are exact, interpolated linearly. The values
-    are stored once and then read for the moments and for the distributed quartiles.
+    are stored once; the moments come from the first pass over them that the quartiles take. An empty
+    table gives no rows.
     """
-    values = [
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
-        for c in columns
-    ]
-    long = df.select(F.inline(F.array(*values)))
+    named = {c: f"_c{i}" for i, c in enumerate(columns)}
+    values = checkpointed(
+        df.select(F.lit(0).alias("_all"), *[F.col(c).cast("double").alias(n) for c, n in named.items()])
+    )
     moments = [
-        F.count("value").cast("double").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+        m.alias(f"{name}{n}")
+        for n in named.values()
+        for name, m in (("mean", F.avg(n)), ("std", F.stddev_samp(n)), ("min", F.min(n)), ("max", F.max(n)))
     ]
-    long = checkpointed(long)
-    found = (
-        long.groupBy("metric")
-        .agg(*moments)
-        .join(exact_quantiles(long, "metric", "value", QUARTILES), "metric", "left")
-    )
-    cells = [F.col(c) for c in ("count", "mean", "std", "min")]
-    cells += [F.col("quantiles")[i] for i in range(len(QUARTILES))]
-    cells.append(F.col("max"))
-    # One row per described column up to here; turn them around.
-    turned = found.select(
-        "metric",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("place"), F.lit(s).alias("statistic"), v.alias("value"))
-                    for i, (s, v) in enumerate(zip(STATISTICS, cells))
-                ]
-            )
-        ),
-    )
-    return (
-        turned.groupBy("place", "statistic")
-        .agg(*[F.max(F.when(F.col("metric") == c, F.col("value"))).alias(c) for c in columns])
-        .orderBy("place")
-        .drop("place")
-    )
+    found = grouped_quantiles(values, "_all", list(named.values()), QUARTILES, *moments)
+
+    def cells(i: int, n: str) -> list[Column]:
+        quartiles = [F.col(f"quantiles_{i}")[j] for j in range(len(QUARTILES))]
+        return [F.col(f"n_{i}").cast("double"), *[F.col(m + n) for m in ("mean", "std", "min")], *quartiles, F.col("max" + n)]
+
+    table = [cells(i, n) for i, n in enumerate(named.values())]
+    lines = [
+        F.struct(F.lit(s).alias("statistic"), *[own[at].alias(n) for own, n in zip(table, named.values(), strict=True)])
+        for at, s in enumerate(STATISTICS)
+    ]
+    turned = found.select(F.inline(F.array(*lines)))
+    return turned.withColumnsRenamed({n: c for c, n in named.items()})
 
 
 def _with_fences(df: DataFrame, group: str, value: str, keep: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mercatura.functions import MICROS_PER_HOUR, elapsed, exact, mean, mean_elapsed
 from mercatura.operators.fanout import COUNT, weighted, weighted_scores, with_review_weight
-from mercatura.operators.ranking import ntile
+from mercatura.operators.selection import SortKey, with_tiles
 from mercatura.plans.sales import PURCHASED, ordered_items
 
 SHIPPED_AT = "order_delivered_carrier_date"
@@ -119,8 +119,10 @@ def seller_performance(
     metrics = seller_metrics(
         sellers, items, orders, reviews, one_review_per_order=one_review_per_order
     )
-    tie = [F.col("seller_id").asc_nulls_last(), F.col("seller_state").asc_nulls_last()]
-    ranked = metrics.where(F.col("total_orders") >= orders_at_least)
-    for value, name in (("revenue", "revenue_quintile"), ("avg_rating", "rating_quintile")):
-        ranked = ntile(ranked, QUINTILES, [F.col(value).desc_nulls_first(), *tie], name)
-    return ranked
+    enough = metrics.where(F.col("total_orders") >= orders_at_least)
+    tie = [SortKey("seller_id", nulls_first=False), SortKey("seller_state", nulls_first=False)]
+    orders_by = {
+        name: [SortKey(value, descending=True), *tie]
+        for value, name in (("revenue", "revenue_quintile"), ("avg_rating", "rating_quintile"))
+    }
+    return with_tiles(enough, QUINTILES, orders_by)

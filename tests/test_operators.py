@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from mercatura.operators import cleaning, quality
+from mercatura.operators import cleaning, quality, selection
 from mercatura.operators.describe import box_outliers, box_stats, describe
 from mercatura.operators.fanout import review_stats
 from mercatura.operators.quantiles import exact_quantiles
@@ -75,6 +75,39 @@ def test_no_rank_gathers_all_rows(spark):
     assert "ntile" not in plan(ntile(df, 5, by_value(), "t"))
 
 
+def test_tiles_from_their_first_rows(spark, monkeypatch):
+    """Parts are narrowed by small samples here, however many rows are equal in the first key."""
+    monkeypatch.setattr(selection, "FEW", 100)
+    monkeypatch.setattr(selection, "SAMPLED", 60)
+    df = spark.range(3000).select(
+        "id",
+        F.when(F.col("id") % 5 == 0, None).when(F.col("id") % 3 == 0, 7.5).otherwise(F.hash("id") % 400 / 4).alias("v"),
+        F.when(F.col("id") % 50 != 0, F.concat(F.lit("s"), F.hash("id") % 9)).alias("s"),
+        F.timestamp_seconds(F.hash("id") % 20).cast("timestamp_ntz").alias("t"),
+    )
+    orders = {
+        "a": [selection.SortKey("v", descending=True), selection.SortKey("id")],
+        "b": [selection.SortKey("v", nulls_first=False), selection.SortKey("s", descending=True), selection.SortKey("id", True)],
+        "c": [selection.SortKey("s", descending=True, nulls_first=False), selection.SortKey("t"), selection.SortKey("id")],
+    }
+    got = selection.with_tiles(df, 7, orders)
+    want = df.withColumns(
+        {name: F.ntile(7).over(Window.orderBy(*[k.order() for k in keys])) for name, keys in orders.items()}
+    )
+    assert sorted(rows(got), key=str) == sorted(rows(want), key=str)
+    # More equal rows than are sorted at once have no order.
+    with pytest.raises(ValueError, match="equal"):
+        selection.with_tiles(df, 3, {"x": [selection.SortKey("t")]})
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 7])
+def test_tiles_of_few_rows(spark, n):
+    df = spark.range(n).select("id", (F.col("id") % 2).alias("v"))
+    got = selection.with_tiles(df, 5, {"t": [selection.SortKey("v"), selection.SortKey("id")]})
+    want = df.withColumn("t", F.ntile(5).over(Window.orderBy("v", "id")))
+    assert sorted(rows(got)) == sorted(rows(want))
+
+
 # Quantiles and summaries ---------------------------------------------------------------------------
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -303,29 +304,49 @@ def plain_norm(line):
     return re.sub(r"[ \t\n\x0b\f\r\x85\xa0]+", " ", line).strip(" ").lower()
 
 
-def levenshtein(a, b):
-    row = list(range(len(b) + 1))
+def edits_within(a, b, most):
+    """Whether ``most`` edits make one of the other: no cell further off the diagonal can matter."""
+    counts = Counter(a)
+    counts.subtract(Counter(b))
+    # Each edit mends one character that is too many and one that is missing.
+    if max(sum(n for n in counts.values() if n > 0), -sum(n for n in counts.values() if n < 0)) > most:
+        return False
+    row = {j: j for j in range(min(most, len(b)) + 1)}
     for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        new = {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            if j:
+                new[j] = min(row.get(j, most) + 1, new.get(j - 1, most) + 1, row.get(j - 1, most + 1) + (x != b[j - 1]))
+            else:
+                new[j] = i
+        if min(new.values()) > most:
+            return False
         row = new
-    return row[-1]
+    return row.get(len(b), most + 1) <= most
+
+
+def test_bounded_edits():
+    def whole(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    rng = random.Random(5)
+    for _ in range(3000):
+        a, b = ("".join(rng.choice("abc") for _ in range(rng.randrange(9))) for _ in range(2))
+        most = rng.randrange(8)
+        assert edits_within(a, b, most) == (whole(a, b) <= most)
 
 
 def plain_line_dedup(spark, docs):
     lines_of = {(k, t): t.split("\n") for k, t in docs if t is not None}
     different = sorted({plain_norm(x) for own in lines_of.values() for x in own} - {""})
-    words = {w for x in different for w in x.split(" ")}
-    value = {w: h & (2**64 - 1) for w, h in rows(
-        spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", "xxhash64(w)"))}
     text_hash = dict(rows(spark.createDataFrame([(t,) for _, t in lines_of], "t string").selectExpr("t", "xxhash64(t)")))
 
-    def sim(line):
-        own = set(line.split(" "))
-        return sum(1 << b for b in range(64) if 2 * sum(value[w] >> b & 1 for w in own) > len(own))
-
-    sims = {x: sim(x) for x in different}
     parent = {x: x for x in different}
 
     def root(x):
@@ -338,8 +359,7 @@ def plain_line_dedup(spark, docs):
         for b in different[i + 1 :]:
             longer = max(len(a), len(b))
             allowed = int(longer * (1 - lines.SIMILARITY) + 1e-9)
-            if (sims[a] ^ sims[b]).bit_count() <= lines.DISTANCE and longer - min(len(a), len(b)) <= allowed \
-                    and levenshtein(a, b) <= allowed:
+            if longer - min(len(a), len(b)) <= allowed and edits_within(a, b, allowed):
                 parent[root(a)] = root(b)
                 links += 1
 
@@ -464,7 +484,7 @@ def test_likeness_alone_links_lines(spark, table):
         x = f"{word()} {word()} {word()} {word()}{word()}"
         i = rng.randrange(len(x))
         pairs.append((x, x[:i] + "q" + x[i + 1 :]))
-    alike = [(x, y) for x, y in pairs if levenshtein(x, y) <= int(max(len(x), len(y)) * 0.2 + 1e-9) and x != y]
+    alike = [(x, y) for x, y in pairs if x != y and edits_within(x, y, int(max(len(x), len(y)) * 0.2 + 1e-9))]
     assert len(alike) > 120
     docs = [(2 * i + j, line) for i, pair in enumerate(alike) for j, line in enumerate(pair)]
     got = {r["doc_id"]: r["n_removed"] for r in lines.dedupe_lines(table(docs, "doc_id long, text string")).collect()}

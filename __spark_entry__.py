@@ -55,7 +55,13 @@ from mercatura.sources.csv_files import clean_table, read_clean, read_plain, wri
 from mercatura.sources.layout import BY_TIME, between, write_by_time, write_layout
 from mercatura.sources.star_sample import DELIVERED, StarSample
 from mercatura.sources.tables import replace_table, table_or_none
-from mercatura.streaming import daily_sales, latest_orders, order_sales_stream, stream_parquet
+from mercatura.streaming import (
+    daily_sales,
+    estimated_customers,
+    latest_orders,
+    order_sales_stream,
+    stream_parquet,
+)
 
 # The corpus subpackage is optional; everything else works without it.
 corpus = corpus_pipeline = None
@@ -288,6 +294,28 @@ def _validation_rules(t: StarSample) -> DataFrame:
     return items.unionByName(referenced)
 
 
+def _watched_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of the items from the job that writes them."""
+    items = _tables(spark, sf_dir).order_items
+    seen = quality.Watch(items)
+    seen.on(items).write.parquet(scratch_path(spark, "watched"))
+    return seen.column_profile().select("column_name", "null_percentage")
+
+
+REFERENCES = [
+    quality.Reference("product is known", "order_items", "products", "product_id"),
+    quality.Reference("seller is known", "order_items", "sellers", "seller_id"),
+    quality.Reference("order is known", "order_items", "orders", "order_id"),
+    quality.Reference("order has a review", "order_items", "order_reviews", "order_id"),
+    quality.Reference("customer is known", "orders", "customers", "customer_id"),
+]
+
+
+def _references(t: StarSample) -> DataFrame:
+    names = {n for r in REFERENCES for n in (r.child, r.parent)}
+    return quality.validate_references({name: getattr(t, name) for name in names}, REFERENCES)
+
+
 # Streaming -------------------------------------------------------------------------------------
 
 
@@ -362,6 +390,15 @@ def _stream_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stream_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """About how many customers bought on each day."""
+    t = _tables(spark, sf_dir)
+    folder = scratch_path(spark, "stream-customers")
+    t.orders.repartition(4).write.parquet(f"{folder}/in")
+    stream = stream_parquet(spark, f"{folder}/in", t.orders.schema, files_per_batch=1)
+    return estimated_customers(stream, f"{folder}/days", f"{folder}/checkpoint", fan_in=2)
+
+
 # Tables and the job ------------------------------------------------------------------------------
 
 
@@ -454,7 +491,8 @@ def _job(report: str) -> Query:
         paths = {name: f"{folder}/csv/{name}" for name in tables}
         for name, path in paths.items():
             write_csv(getattr(t, name), path)
-        return job.run(spark, paths, f"{folder}/out", delivered=DELIVERED)[report]
+        found = job.run(spark, paths, f"{folder}/out", delivered=DELIVERED)[report]
+        return _rounded(found, 4, *METRICS) if report == "seller_summary" else found
 
     return run
 
@@ -569,6 +607,8 @@ def queries() -> dict[str, Query]:
         ),
         "null_reduction_dates": _on_tables(_null_reduction_dates),
         "validation_rules": _on_tables(_validation_rules),
+        "validation_references": _on_tables(_references),
+        "watched_null_profile": _watched_profile,
         # Heads, tails, summaries, plot rows
         "top_states": _on_tables(lambda t: top_states(_behavior(t))),
         "top_products": _on_tables(lambda t: top_products(_products(t))),
@@ -587,6 +627,7 @@ def queries() -> dict[str, Query]:
         "stream_late_orders": _stream_late_orders,
         "stream_order_versions": _stream_order_versions,
         "stream_merged_days": _stream_merged,
+        "stream_customer_estimates": _stream_customers,
         # Tables and the job
         "catalog_category_analysis": _catalog_categories,
         "layout_sales_patterns": _bucketed_sales,
@@ -595,6 +636,7 @@ def queries() -> dict[str, Query]:
         "layout_product_sales": _items_from_layout("product_id", PRODUCTS_ASKED),
         "layout_seller_sales": _items_from_layout("seller_id", SELLERS_ASKED),
         "job_time_metrics": _job("time_metrics"),
+        "job_seller_summary": _job("seller_summary"),
         **_corpus_queries(),
     }
 
@@ -763,6 +805,14 @@ def _incomplete(view: str, columns: list[str]) -> str:
     return _sql("\nUNION ALL\n".join(rows))
 
 
+_VIEW_OF = {
+    "orders": "f_orders",
+    "order_items": "f_items",
+    "order_reviews": "f_reviews",
+    "products": "f_products",
+    "sellers": "f_sellers",
+    "customers": "f_customers",
+}
 _ORDER_COLUMNS = ["order_id", "customer_id", "order_status", "order_purchase_timestamp"]
 _ITEM_COLUMNS = [
     "order_id",
@@ -1016,6 +1066,18 @@ SELECT 'product_category_name',
        CAST(count(*) - count(coalesce(product_category_name, '')) AS DOUBLE) * 100.0 / count(*)
 FROM f_products"""
         ),
+        "watched_null_profile": _null_counts("f_items", _ITEM_COLUMNS),
+        "job_seller_summary": _describe_sql(),
+        "validation_references": _sql(
+            "\nUNION ALL\n".join(
+                f"""SELECT '{r.child}' AS table_name, '{r.rule}' AS rule, count(*) AS checked_rows,
+       count(CASE WHEN {r.key} IN (SELECT {r.key} FROM {_VIEW_OF[r.parent]}) THEN 1 END) AS passed_rows,
+       count(CASE WHEN {r.key} IN (SELECT {r.key} FROM {_VIEW_OF[r.parent]}) THEN 1 END) * 100.0 / count(*)
+         AS pass_rate
+FROM {_VIEW_OF[r.child]}"""
+                for r in REFERENCES
+            )
+        ),
         "validation_rules": _sql(
             "\nUNION ALL\n".join(
                 [

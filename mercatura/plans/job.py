@@ -13,12 +13,11 @@ from pyspark.sql import types as T
 from mercatura.operators.cleaning import parse_dates
 from mercatura.operators.describe import describe
 from mercatura.operators.quality import (
-    column_profile,
-    date_ranges,
+    Reference,
+    Watch,
     duplicate_count,
-    null_reduction,
     validate,
-    validate_reference,
+    validate_references,
 )
 from mercatura.plans import plots
 from mercatura.plans.customers import customer_behavior
@@ -88,46 +87,45 @@ def standard_rules(tables: Tables) -> dict[str, dict[str, Column]]:
     return {name: checks for name, checks in rules.items() if name in present}
 
 
-def validation(tables: Tables) -> DataFrame:
-    """Pass rate of the standard rules and of the references between tables."""
-    present = tables.present()
-    parts = [
-        validate(present[name], checks).withColumn("table_name", F.lit(name))
-        for name, checks in standard_rules(tables).items()
-    ]
+REFERENCES = [
+    Reference(f"{key} is in {parent}", child, parent, key)
     for child, parent, key in (
         ("order_items", "orders", "order_id"),
         ("order_items", "products", "product_id"),
         ("order_items", "sellers", "seller_id"),
         ("orders", "customers", "customer_id"),
         ("order_reviews", "orders", "order_id"),
-    ):
-        rule = f"{key} is in {parent}"
-        parts.append(
-            validate_reference(present[child], present[parent], key, rule).withColumn(
-                "table_name", F.lit(child)
-            )
-        )
-    joined = parts[0]
-    for part in parts[1:]:
-        joined = joined.unionByName(part)
+    )
+]
+
+
+def validation(tables: Tables, watched: Mapping[str, Watch] | None = None) -> DataFrame:
+    """Pass rate of the standard rules and of the references between tables. What was watched when it
+    was written is not read again for the rules."""
+    present = tables.present()
+    joined = validate_references(present, REFERENCES)
+    for name, checks in standard_rules(tables).items():
+        rates = watched[name].validation() if watched else validate(present[name], checks)
+        joined = joined.unionByName(rates.withColumn("table_name", F.lit(name)))
     return joined.select("table_name", "rule", "checked_rows", "passed_rows", "pass_rate")
 
 
+def _dates(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+
+
 def quality_report(
-    raw: Mapping[str, DataFrame], clean: Mapping[str, DataFrame]
+    raw: Mapping[str, Watch], clean: Mapping[str, Watch], stored: Mapping[str, DataFrame]
 ) -> dict[str, DataFrame]:
-    """NULLs as read and as stored, incomplete rows, duplicate keys, date ranges."""
-    report = {
-        f"null_reduction/{name}": null_reduction(df, clean[name]) for name, df in raw.items()
-    }
-    for name, df in clean.items():
-        report[f"columns/{name}"] = column_profile(df)
+    """NULLs as read and as stored, incomplete rows, date ranges, all from the passes that wrote the
+    tables; and duplicate keys."""
+    report = {f"null_reduction/{name}": seen.null_reduction(clean[name]) for name, seen in raw.items()}
+    for name, df in stored.items():
+        report[f"columns/{name}"] = clean[name].column_profile()
         if name in KEYS:
             report[f"duplicates/{name}"] = duplicate_count(df, KEYS[name])
-        dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
-        if dates:
-            report[f"date_ranges/{name}"] = date_ranges(df, dates)
+        if _dates(df):
+            report[f"date_ranges/{name}"] = clean[name].date_ranges()
     return report
 
 
@@ -196,27 +194,35 @@ def run(
     """
     tune(spark)
     out = out_dir.rstrip("/")
-    raw = {}
+    raw, before = {}, {}
     for name, df in load_files(spark, paths, on_missing=on_missing, multi_line=multi_line).items():
-        replace_folder(df, f"{out}/raw/{name}")
-        raw[name] = spark.read.parquet(f"{out}/raw/{name}")
+        before[name] = Watch(df)
+        replace_folder(before[name].on(df), f"{out}/raw/{name}")
+        raw[name] = spark.read.schema(df.schema).parquet(f"{out}/raw/{name}")
     types = {name: typed(df, SCHEMAS.get(name)) for name, df in raw.items()}
     loaded = {name: clean_table(df) if clean else parse_dates(df) for name, df in types.items()}
+    rules = standard_rules(bundle(loaded))
+    watched = {
+        name: Watch(df, dates=_dates(df), rules=rules.get(name)) for name, df in loaded.items()
+    }
     if buckets is None:
         for name, df in loaded.items():
-            replace_folder(df, f"{out}/tables/{name}")
-        stored = {name: spark.read.parquet(f"{out}/tables/{name}") for name in loaded}
+            replace_folder(watched[name].on(df), f"{out}/tables/{name}")
+        stored = {
+            name: spark.read.schema(df.schema).parquet(f"{out}/tables/{name}") for name, df in loaded.items()
+        }
     else:
-        write_layout(loaded, buckets, database)
-        orders = loaded["orders"]
-        if dict(orders.dtypes).get(TIME_KEY, "").startswith("timestamp"):
-            write_by_time(orders, f"orders{BY_TIME}", database=database, lookups=LOOKUP_KEYS["orders"])
+        write_layout(loaded, buckets, database, watch=lambda name, df: watched[name].on(df))
         stored = {name: spark.table(qualified(name, database)) for name in loaded}
+        if TIME_KEY in _dates(stored["orders"]):
+            write_by_time(
+                stored["orders"], f"orders{BY_TIME}", database=database, lookups=LOOKUP_KEYS["orders"]
+            )
 
     tables = bundle(stored)
-    for name, df in quality_report(raw, stored).items():
+    for name, df in quality_report(before, watched, stored).items():
         replace_folder(df, f"{out}/quality/{name}")
-    replace_folder(validation(tables), f"{out}/quality/validation")
+    replace_folder(validation(tables, watched), f"{out}/quality/validation")
 
     reports = build_reports(tables, delivered=delivered, share=checkpointed)
     written = {}

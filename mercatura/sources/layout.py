@@ -14,7 +14,7 @@ but no timestamps, so the copy carries the day beside the time.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -97,8 +97,9 @@ def write_layout(
     *,
     max_skew: float = MAX_BUCKET_SKEW,
     row_group_bytes: int | None = None,
+    watch: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
 ) -> dict[str, bool]:
-    """Write every table; say for each whether it was bucketed.
+    """Write every table; say for each whether it was bucketed. ``watch`` gets each as it is written.
 
     The tables that join on ``order_id`` are bucketed, and those of ``LOOKUP_KEYS`` get Bloom filters. If one of them is too skewed for that,
     nothing is written and the call raises: write it plainly (``replace_table``), so that its
@@ -116,7 +117,7 @@ def write_layout(
         placed = df.repartition(buckets, BUCKET_KEY) if bucketed else df
         keys = [key for key in LOOKUP_KEYS.get(name, ()) if key in df.columns]
         options = lookup_options(keys, row_group_bytes)
-        writer = placed.write.mode("overwrite").format("parquet").options(**options)
+        writer = watch(name, placed).write.mode("overwrite").format("parquet").options(**options)
         if bucketed:
             writer = writer.bucketBy(buckets, BUCKET_KEY).sortBy(BUCKET_KEY)
         writer.saveAsTable(target)

@@ -1,6 +1,7 @@
 from mercatura.streaming.sales import (
     append_available,
     daily_sales,
+    estimated_customers,
     fold_batches,
     fold_items,
     latest_orders,
@@ -15,6 +16,7 @@ __all__ = [
     "FoldStore",
     "append_available",
     "daily_sales",
+    "estimated_customers",
     "fold_batches",
     "fold_items",
     "latest_orders",

@@ -211,6 +211,43 @@ def test_odd_column_names(spark):
     assert dict(rows(quality.null_profile(cleaning.fill_text(df.withColumnsRenamed({"c`d": "c"}))))) == {"a.b": 0.0, "c": 0.0}
 
 
+def test_what_is_watched_while_it_is_written_is_what_a_pass_finds(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, "a", None, ts("2018-01-01")), (2, None, 1.0, None), (3, "", 2.0, ts("2017-05-05T01:02:03"))],
+        "k int, `s.x` string, x double, at timestamp_ntz",
+    ).repartition(3)
+    rules = {"x is large": F.col("x") > 1.5, "k is known": F.col("k").isNotNull()}
+    for table in (df, df.limit(0)):
+        seen, later = quality.Watch(table, dates=["at"], rules=rules), quality.Watch(table.fillna(""))
+        seen.on(table).write.mode("overwrite").parquet(str(tmp_path / "out"))
+        later.on(table.fillna("")).write.mode("overwrite").parquet(str(tmp_path / "later"))
+        for got, want in (
+            (seen.column_profile(), quality.column_profile(table)),
+            (seen.date_ranges(), quality.date_ranges(table, ["at"])),
+            (seen.validation(), quality.validate(table, rules)),
+            (seen.null_reduction(later), quality.null_reduction(table, table.fillna(""))),
+        ):
+            assert sorted(rows(got)) == sorted(rows(want)) and got.dtypes == want.dtypes
+
+
+def test_all_references_read_each_table_once(spark):
+    tables = {
+        "items": spark.createDataFrame([(1, "a"), (1, None), (2, "b"), (None, "z")], "o int, p string"),
+        "orders": spark.createDataFrame([(1, 7), (1, 8), (3, None), (None, 9)], "o int, c long"),
+        "products": spark.createDataFrame([("a",), ("b",), (None,)], "p string"),
+        "customers": spark.createDataFrame([], "c long"),
+    }
+    references = [
+        quality.Reference("r1", "items", "orders", "o"),
+        quality.Reference("r2", "items", "products", "p"),
+        quality.Reference("r3", "orders", "customers", "c"),
+    ]
+    got = quality.validate_references(tables, references)
+    assert sorted(rows(got)) == [("items", "r1", 4, 2, 50.0), ("items", "r2", 4, 2, 50.0), ("orders", "r3", 4, 0, 0.0)]
+    none = {name: df.limit(0) for name, df in tables.items()}
+    assert rows(quality.validate_references(none, references)) == []
+
+
 def test_duplicates(spark):
     df = spark.createDataFrame(
         [(1, 1), (1, 1), (1, None), (1, None), (None, None), (None, None)], "a int, b int"

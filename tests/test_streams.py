@@ -13,6 +13,7 @@ from mercatura.plans.sales import monthly_sales, monthly_totals
 from mercatura.streaming import (
     FoldStore,
     daily_sales,
+    estimated_customers,
     fold_items,
     latest_orders,
     order_sales_stream,
@@ -200,3 +201,18 @@ def test_a_batch_repeated_by_the_stream_counts_once(spark, tmp_path):
     commits[-1].unlink()
     (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
     same(run(), want)
+
+
+def test_estimates_are_within_their_error(spark, tmp_path):
+    orders = spark.range(40_000).select(
+        F.col("id").cast("string").alias("order_id"),
+        (F.col("id") % 9000).alias("customer_id"),
+        F.expr("timestamp_ntz'2018-01-01' + make_interval(0, 0, 0, int(id % 2))").alias("order_purchase_timestamp"),
+    )
+    source = str(tmp_path / "in")
+    append(orders, source, 5)
+    stream = stream_parquet(spark, source, orders.schema, files_per_batch=1)
+    got = estimated_customers(stream, str(tmp_path / "days"), str(tmp_path / "checkpoint"), fan_in=2).collect()
+    assert len(got) == 2
+    for r in got:
+        assert abs(r["customers"] / 4500 - 1) < 4 * r["standard_error"] < 0.07

@@ -497,3 +497,16 @@ def test_rows_repeated_many_times_keep_their_links(spark, table):
     docs = [(None, line)] * 700 + [(2, line.replace("word7 ", "other ")), (3, "alone")]
     got = lines.dedupe_lines(table(docs, "doc_id long, text string")).collect()
     assert sorted(r["text"] for r in got if r["text"]) == ["alone", line]
+
+
+def test_words_may_run_together(spark, table):
+    """Edits at spaces change the number of words, between words that stay and words that do not."""
+    line = "alpha beta gamma delta epsilon zeta eta theta"
+    pairs = [
+        (f"one {line} {i}", f"one {line} {i}".replace(a, b))
+        for i, (a, b) in enumerate([("gamma delta", "gammaxdelta"), ("epsilon zeta", "epsilonzeta"), ("theta", "th eta")])
+    ]
+    pairs = [(x.replace("a", chr(98 + 3 * i)), y.replace("a", chr(98 + 3 * i))) for i, (x, y) in enumerate(pairs)]
+    docs = [(10 * i + j, x) for i, pair in enumerate(pairs) for j, x in enumerate(pair)]
+    got = {r["doc_id"]: r["n_removed"] for r in lines.dedupe_lines(table(docs, "doc_id long, text string")).collect()}
+    assert [got[10 * i + 1] for i in range(3)] == [1, 1, 1]

@@ -7,9 +7,10 @@ half, which is a permutation whatever the radices. Stepping on by one between th
 inverse leaves no value as it was. What is written back has the same punctuation and passes the
 same check. The same value gets the same pseudonym in every document, under one key.
 
-Kinds: payment cards, IBANs, phone numbers, US social security numbers, IPv4 addresses, calendar
-dates (permuted within 1900 to 2099, whatever their notation), the local parts of mail addresses,
-and access keys and credentials (by character class).
+Kinds: payment cards, IBANs, phone numbers, US social security and taxpayer numbers, IPv4 addresses, calendar
+dates (permuted within 1900 to 2099, in numbers or with English names of months), the local parts of mail addresses,
+and access keys and credentials (by character class; a credential has a digit, or a capital after a small
+letter, as words have not).
 
 Edge cases: a NULL text stays NULL, and an empty one empty; texts are taken whole; of overlapping
 finds the first in the list of kinds wins; other columns pass through and columns with the names
@@ -26,7 +27,7 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import lru_cache
-from math import prod
+from math import isqrt, prod
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -58,6 +59,12 @@ class Feistel:
                 a = (a + sign * self._hash(label, turn, b, left)) % left
         return a * right + b
 
+    def _walk(self, label: bytes, value: int, left: int, right: int, size: int, back: bool) -> int:
+        value = self._pass(label, value, left, right, back)
+        while value >= size:
+            value = self._pass(label, value, left, right, back)
+        return value
+
     def permute(self, kind: str, digits: Sequence[int], radices: Sequence[int], step: int = 1) -> list[int]:
         """The pseudonym of ``digits``; ``step=-1`` undoes it."""
         half = len(radices) // 2
@@ -65,12 +72,16 @@ class Feistel:
         size = left * right
         if size < 2:
             return list(digits)
+        if left == 1:
+            # One place has no halves: the network runs on a few more numbers, and walks on from those beyond.
+            left = isqrt(size - 1) + 1
+            right = -(-size // left)
         label = f"{kind}:{','.join(map(str, radices))}:".encode()
         value = 0
         for digit, radix in zip(digits, radices, strict=True):
             value = value * radix + digit
-        inside = self._pass(label, value, left, right, False)
-        value = self._pass(label, (inside + step) % size, left, right, True)
+        value = self._walk(label, value, left, right, size, False)
+        value = self._walk(label, (value + step) % size, left, right, size, True)
         out = []
         for radix in reversed(radices):
             value, digit = divmod(value, radix)
@@ -123,7 +134,13 @@ def _iban_pattern() -> re.Pattern[str]:
     for country, size in IBAN_SIZES.items():
         by_size.setdefault(int(size), []).append(country)
     forms = [rf"(?:{'|'.join(c)})\d{{2}}(?: ?[0-9A-Z]){{{size - 4}}}" for size, c in by_size.items()]
-    return re.compile(rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}\d{{2}})(?:{'|'.join(forms)})(?![0-9A-Za-z])", re.ASCII)
+    # A currency may be written right behind.
+    end = r"(?:(?![0-9A-Za-z])|(?=[A-Z]{3}(?![0-9A-Za-z])))"
+    return re.compile(rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}\d{{2}})(?:{'|'.join(forms)}){end}", re.ASCII | re.I)
+
+
+# How small letters are written: without spaces or in groups of four, unlike prose.
+_GROUPED = re.compile(r"[0-9a-z]+|[0-9a-z]{4}(?: [0-9a-z]{4})*(?: [0-9a-z]{1,3})?")
 
 
 def _mod97(text: str) -> int:
@@ -131,7 +148,10 @@ def _mod97(text: str) -> int:
 
 
 def iban(f: Feistel, text: str, step: int = 1) -> str | None:
-    plain = text.replace(" ", "")
+    small = text != text.upper()
+    if small and not _GROUPED.fullmatch(text):
+        return None
+    plain = text.replace(" ", "").upper()
     country, check, body = plain[:2], plain[2:4], plain[4:]
     if IBAN_SIZES.get(country) != str(len(plain)) or _mod97(body + country + check) != 1:
         return None
@@ -144,12 +164,22 @@ def iban(f: Feistel, text: str, step: int = 1) -> str | None:
         for v, r in zip(f.permute("iban", values, radices, step), radices, strict=True)
     )
     new = country + f"{98 - _mod97(new + country + '00'):02d}" + new
-    left = iter(new)
+    left = iter(new.lower() if small else new)
     return "".join(c if c == " " else next(left) for c in text)
 
 
+# The groups of taxpayer numbers, whose areas are 900 to 999.
+_TAXPAYER_GROUPS = [g for a, b in ((50, 65), (70, 88), (90, 92), (94, 99)) for g in range(a, b + 1)]
+
+
 def ssn(f: Feistel, text: str, step: int = 1) -> str | None:
     area, group, serial = (int(x) for x in text.split("-"))
+    if area >= 900:
+        if group not in _TAXPAYER_GROUPS:
+            return None
+        groups = len(_TAXPAYER_GROUPS)
+        new = f.permute("taxpayer", [area - 900, _TAXPAYER_GROUPS.index(group), serial], [100, groups, 10000], step)
+        return f"{new[0] + 900}-{_TAXPAYER_GROUPS[new[1]]:02d}-{new[2]:04d}"
     if not 1 <= area <= 899 or area == 666 or not group or not serial:
         return None
     place = area - 1 - (area > 666)
@@ -219,11 +249,33 @@ def calendar_date(f: Feistel, text: str, step: int = 1) -> str | None:
     return separator.join(f"{values[i]:0{len(parts[i])}d}" for i in range(3))
 
 
-_CLASSES = ((48, 10), (65, 26), (97, 26))
+MONTHS = (
+    "January February March April May June July August September October November December".split()
+)
+
+
+def written_date(f: Feistel, text: str, step: int = 1) -> str | None:
+    """``March 5, 2024`` or ``5 March 2024``."""
+    words = re.findall(r"\w+", text)
+    month = next(w for w in words if w in MONTHS)
+    number = next(w for w in words if w not in MONTHS)
+    year, day = int(words[-1]), int(number)
+    if not 1900 <= year <= 2099 or not 1 <= day <= monthrange(year, MONTHS.index(month) + 1)[1]:
+        return None
+    new = _day(f, date(year, MONTHS.index(month) + 1, day), step)
+    values = iter([MONTHS[new.month - 1], f"{new.day:0{len(number)}d}"][:: 1 if words[0] == month else -1])
+    return re.sub(r"\w+", lambda _: next(values, f"{new.year}"), text)
+
+
+# Digits, Latin letters, and the letters beyond ASCII that mail addresses have: Latin, Greek, Cyrillic.
+_CLASSES = (
+    (48, 10), (65, 26), (97, 26), (0xC0, 23), (0xD8, 7), (0xDF, 24), (0xF8, 8), (0x100, 128),
+    (0x391, 17), (0x3A3, 7), (0x3B1, 25), (0x410, 32), (0x430, 32),
+)
 
 
 def _by_class(f: Feistel, kind: str, text: str, step: int) -> str:
-    """Digits, capitals and small letters each among themselves; the rest stays."""
+    """Digits, capitals, small letters and letters of other ranges each among themselves; the rest stays."""
     codes = [ord(c) for c in text]
     bases = [next((k for k in _CLASSES if k[0] <= c < sum(k)), None) for c in codes]
     values = [c - b[0] for c, b in zip(codes, bases, strict=True) if b]
@@ -246,9 +298,16 @@ _SECRET = re.compile(r"^(.*?[=:]\s*[\"']?)(.*)$", re.DOTALL)
 
 def credential(f: Feistel, text: str, step: int = 1) -> str | None:
     name, value = _SECRET.match(text).groups()  # type: ignore[union-attr]
+    # What has neither digits nor capitals inside is more likely a word.
+    if not re.search(r"\d", value) and not re.search(r"[a-z][A-Z]", value):
+        return None
     if _HEX.fullmatch(value):
-        new = f.permute("hex", [int(c, 16) for c in value], [16] * len(value), step)
-        return name + "".join(f"{v:x}" for v in new)
+        new = [int(c, 16) for c in value]
+        while True:
+            new = f.permute("hex", new, [16] * len(value), step)
+            # Walks on to a value that has a digit too.
+            if min(new) < 10:
+                return name + "".join(f"{v:x}" for v in new)
     return name + _by_class(f, "secret", value, step)
 
 
@@ -269,9 +328,12 @@ KINDS = (
     Kind("date", re.compile(
         r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?!(?!T\d)[\w/-]|\.\d)",
         re.ASCII), calendar_date),
+    Kind("written_date", re.compile(
+        rf"(?<!\w)(?:(?:{'|'.join(MONTHS)}) \d{{1,2}}, ?\d{{4}}|\d{{1,2}} (?:{'|'.join(MONTHS)}),? \d{{4}})(?!\w)",
+        re.ASCII), written_date),
     Kind("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", re.ASCII), ssn),
     Kind("ipv4", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", re.ASCII), ipv4),
-    Kind("card", re.compile(r"(?<![\w.])\d{4}(?:[ -]?\d{4}){2}(?:[ -]?\d{1,7})(?![\w-])|(?<![\w.])\d{13,19}(?!\w)"
+    Kind("card", re.compile(r"(?<![\w.])\d{4}(?:[ .-]?\d{4}){2}(?:[ .-]?\d{1,7})(?![\w-])|(?<![\w.])\d{13,19}(?!\w)"
                             r"|(?<![\w.])\d{4}[ -]\d{6}[ -]\d{5}(?!\w)", re.ASCII), card),
     Kind("phone", re.compile(
         r"(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
@@ -279,8 +341,10 @@ KINDS = (
         r"|(?<![\w+])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w+.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])", re.ASCII), phone),
 )
 
-_LOCAL = re.compile(r"[0-9A-Za-z._%+\-]{1,64}\Z", re.ASCII)
-_DOMAIN = re.compile(r"(?:[0-9A-Za-z](?:[0-9A-Za-z\-]{0,61}[0-9A-Za-z])?\.)+[A-Za-z]{2,24}(?![0-9A-Za-z])", re.ASCII)
+_LETTERS = "A-Za-z" + "".join(f"{chr(a)}-{chr(a + n - 1)}" for a, n in _CLASSES[3:])
+_LOCAL = re.compile(rf"[0-9{_LETTERS}._%+\-]{{1,64}}\Z")
+_LABEL = rf"[0-9{_LETTERS}](?:[0-9{_LETTERS}\-]{{0,61}}[0-9{_LETTERS}])?"
+_DOMAIN = re.compile(rf"(?:{_LABEL}\.)+[{_LETTERS}]{{2,24}}(?![0-9{_LETTERS}])")
 
 
 def _mails(text: str) -> Iterator[tuple[int, int]]:

@@ -4,7 +4,9 @@ A page is cut into blocks of text. A linear classifier on a block's place in the
 elements, their names and roles), its link density and its length gives the log odds of being
 content: they become the capacities from the source (content) or to the sink (boilerplate). Names
 of boilerplate cost by their share of an element's names, which length and neighbours can outweigh;
-an article or main element inside lifts them, unless they are inside an article themselves.
+an article or main element inside lifts them, unless they are inside an article themselves. Names of readers'
+comments count whole. A form that holds parts of a page (a heading, navigation, an article), or nothing to fill
+in, is taken for a frame around the page and not for a form. What is styled not to show is no text.
 Neighbouring blocks, and the next block under the same parent, are tied by edges that weigh more
 the closer the two are in the DOM. The minimum cut is the labelling of least cost; blocks on the
 source's side are the main text, in page order.
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,8 +32,8 @@ from pyspark.sql import types as T
 
 # HTML elements by what they do to text.
 SKIPPED = frozenset(
-    "script style head title noscript template iframe object embed svg math canvas audio video"
-    " textarea select option datalist".split()
+    "script style head title noscript template iframe object embed svg canvas audio video"
+    " textarea select option datalist annotation annotation-xml".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset"
@@ -69,9 +71,14 @@ ASIDE_NAMES = frozenset(
     " copyright legal disclaimer".split()
 )
 ARTICLE_ELEMENTS = frozenset(["article", "main"])
-ARTICLE_NAMES = frozenset("article post entry story content body main text".split())
-# A name after one of these says what an element has or lacks, not what it is.
+POST_NAMES = frozenset("article post entry story".split())
+ARTICLE_NAMES = POST_NAMES | frozenset("content body main text".split())
+# Names of readers' comments decide alone, whatever else an element is called.
+COMMENT_NAMES = frozenset("comment comments reply replies discussion disqus".split())
+# A name after one of the first says what an element has or lacks, not what it is; one before one of the
+# second says what may be done.
 ABOUT_OTHERS = frozenset("has with no without".split())
+STATES = frozenset("open closed enabled disabled allowed status on off".split())
 
 
 @dataclass(frozen=True)
@@ -97,17 +104,25 @@ _RAW_TEXT = frozenset("script style textarea title noscript iframe xmp".split())
 # One attribute after the other, values with them, so that no word of a value is taken for a name.
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 _NAME = re.compile(r"[a-z]+")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b")
+# What tells a form around a page from one to fill in: parts of a page, or nothing to fill in.
+_FORM = re.compile(r"<form\b", re.I)
+_FORM_PARTS = re.compile(
+    r"<(?:(/)?(form)|(nav|header|footer|aside|main|article|h1)|(input|select|textarea|button))\b([^>]*)", re.I
+)
 
 # What holds for an element and all in it.
-_NEUTRAL, _ASIDE, _ARTICLE, _NAMED, _HIDDEN, _ASIDE_IN_ARTICLE = range(6)
+_NEUTRAL, _ASIDE, _ARTICLE, _NAMED, _HIDDEN, _ASIDE_IN_ARTICLE, _POST = range(7)
 
 
 class _Element:
-    __slots__ = ("depth", "kind", "name", "parent", "share")
+    __slots__ = ("block", "depth", "kind", "name", "parent", "share")
 
     def __init__(self, name: str, parent: _Element | None, kind: int, share: float = 0.0) -> None:
         self.name, self.parent, self.kind, self.share = name, parent, kind, share
         self.depth = parent.depth + 1 if parent else 0
+        # The block it is in.
+        self.block: _Element = self if parent is None or name in BLOCKS else parent.block
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -120,15 +135,44 @@ def _attributes(text: str) -> dict[str, str]:
 
 def _aside_share(names: list[str]) -> float:
     own = [n for i, n in enumerate(names) if not i or names[i - 1] not in ABOUT_OTHERS]
+    if any(n in COMMENT_NAMES and STATES.isdisjoint(own[i + 1 : i + 2]) for i, n in enumerate(own)):
+        return 1.0
     return sum(n in ASIDE_NAMES for n in own) / len(own) if own else 0.0
 
 
-def _kind(name: str, attributes: str, above: int, share: float) -> tuple[int, float]:
-    """What an element is, and the share of boilerplate in the names of it or of one around it."""
+def _page_wide(page: str) -> set[int]:
+    """Where forms begin that hold parts of a page, or nothing to fill in."""
+    out: set[int] = set()
+    first = _FORM.search(page)
+    if not first:
+        return out
+    start, has_parts, has_fields = -1, False, False
+    for found in _FORM_PARTS.finditer(page, first.start()):
+        closing, form, part, field, rest = found.groups()
+        if form:
+            # A form inside a form is none, as in browsers.
+            if closing and start >= 0:
+                if has_parts or not has_fields:
+                    out.add(start)
+                start = -1
+            elif not closing and start < 0:
+                start, has_parts, has_fields = found.start(), False, False
+        elif part:
+            has_parts = True
+        elif field.lower() != "input" or _attributes(rest).get("type") != "hidden":
+            has_fields = True
+    if start >= 0 and (has_parts or not has_fields):
+        out.add(start)
+    return out
+
+
+def _kind(name: str, attributes: str, above: int, share: float, wide: bool) -> tuple[int, float]:
+    """What an element is, and the share of boilerplate in the names of it or of one around it.
+    A wide form is around the page."""
     if above == _HIDDEN or name in SKIPPED:
         return _HIDDEN, share
     found = _attributes(attributes) if attributes and not attributes.isspace() else {}
-    if "hidden" in found or found.get("aria-hidden") == "true":
+    if "hidden" in found or found.get("aria-hidden") == "true" or _NOT_SHOWN.search(found.get("style", "")):
         return _HIDDEN, share
     role = found.get("role", "")
     if name in ARTICLE_ELEMENTS or role in ("main", "article"):
@@ -136,14 +180,20 @@ def _kind(name: str, attributes: str, above: int, share: float) -> tuple[int, fl
         return (above, share) if above in (_ARTICLE, _ASIDE_IN_ARTICLE) else (_ARTICLE, 0.0)
     if above in (_ASIDE, _ASIDE_IN_ARTICLE):
         return above, share
-    if name in ASIDE_ELEMENTS or (name == "header" and above != _ARTICLE) or role in ASIDE_ROLES:
+    if wide:
+        return above, share
+    if name in ASIDE_ELEMENTS or (name == "header" and above not in (_ARTICLE, _POST)) or role in ASIDE_ROLES:
         return (_ASIDE_IN_ARTICLE if above == _ARTICLE else _ASIDE), share
     if name in ("html", "body"):
         return above, share
     names = [_NAME.findall(found.get(key, "")) for key in ("class", "id")]
     own = max(map(_aside_share, names))
-    if own == 0 and above == _NEUTRAL and not ARTICLE_NAMES.isdisjoint([*names[0], *names[1]]):
-        return _NAMED, share
+    if own == 0 and above in (_NEUTRAL, _NAMED):
+        both = [*names[0], *names[1]]
+        if not POST_NAMES.isdisjoint(both):
+            return _POST, share
+        if not ARTICLE_NAMES.isdisjoint(both):
+            return _NAMED, share
     return above, max(share, own)
 
 
@@ -158,6 +208,9 @@ def blocks(page: str) -> list[Block]:
     """The page's visible blocks of text, in order."""
     out: list[Block] = []
     here = _Element("#page", None, _NEUTRAL)
+    wide = _page_wide(page)
+    # How many elements of each name are open, so that no walk looks for one that is not.
+    opened: Counter[str] = Counter()
     links = 0
     parts: list[str] = []
     linked: list[str] = []
@@ -171,6 +224,12 @@ def blocks(page: str) -> list[Block]:
             parts.clear()
             linked.clear()
 
+    def close(last: _Element) -> None:
+        nonlocal here
+        while here is not last.parent:
+            opened[here.name] -= 1
+            here = here.parent  # type: ignore[assignment]
+
     owner = here
     at = 0
     while True:
@@ -179,9 +238,7 @@ def blocks(page: str) -> list[Block]:
         if stop > at and here.kind != _HIDDEN:
             text = page[at:stop]
             if not parts:
-                owner = here
-                while owner.name not in BLOCKS and owner.parent:
-                    owner = owner.parent
+                owner = here.block
             parts.append(text)
             if links:
                 linked.append(text)
@@ -202,33 +259,35 @@ def blocks(page: str) -> list[Block]:
             end_block()
             links = 0 if not closing else links
         if closing:
-            element: _Element | None = here
-            while element is not None and element.name != name:
-                element = element.parent
-            if element is not None and element.parent is not None:
+            if opened[name]:
+                element = here
+                while element.name != name:
+                    element = element.parent  # type: ignore[assignment]
                 if name == "a":
                     links = 0
-                here = element.parent
+                close(element)
             continue
         if is_block:
             # A paragraph ends where the next block begins, and with it what was left open in it.
-            element = here
-            closes = CLOSED_BY.get(name, frozenset())
-            while element is not None and element.name not in SCOPES:
-                if element.name == "p" or element.name in closes:
-                    here = element.parent or here
+            ends = [n for n in ("p", *CLOSED_BY.get(name, ())) if opened[n]]
+            above: _Element | None = here if ends else None
+            while above is not None and above.name not in SCOPES:
+                if above.name in ends:
+                    close(above)
                     break
-                element = element.parent
+                above = above.parent
         attributes = found.group(3)
         if name in VOID or attributes.endswith("/") and not is_block:
             continue
-        here = _Element(name, here, *_kind(name, attributes, here.kind, here.share))
+        around = name == "form" and found.start() in wide
+        here = _Element(name, here, *_kind(name, attributes, here.kind, here.share, around))
+        opened[name] += 1
         if name == "a":
             links = 1
         if name in _RAW_TEXT:
-            close = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = close.end() if close else len(page)
-            here = here.parent or here
+            end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            at = end.end() if end else len(page)
+            close(here)
     end_block()
     return out
 
@@ -239,7 +298,7 @@ def log_odds(block: Block, costs: Costs) -> float:
     if kind in (_ASIDE, _ASIDE_IN_ARTICLE):
         total += costs.aside
     else:
-        place = {_ARTICLE: costs.in_article, _NAMED: costs.named_article}.get(kind, 0.0)
+        place = {_ARTICLE: costs.in_article, _NAMED: costs.named_article, _POST: costs.named_article}.get(kind, 0.0)
         total += (1 - share) * place + share * costs.named_aside
     if block.element.name in ("p", "h1", "blockquote", "pre"):
         total += costs.paragraph

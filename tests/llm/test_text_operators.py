@@ -428,3 +428,71 @@ def test_values_are_found_whatever_follows(value, after):
     new, found = pii.pseudonymise(text, network)
     assert len(found) == 1 and value not in new and new.endswith(after)
     assert pii.pseudonymise(new, network, -1)[0] == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<form id=aspnetForm><input type=hidden name=state><div>{ARTICLE}</div></form>",
+        f"<form><nav>Home</nav><div id=content>{ARTICLE}</div><input name=q><button>Go</button></form>",
+        f"<FORM>{ARTICLE}<form><header>Site</header></form><input>",
+        f"<article>{ARTICLE}<form><p>Get more by mail every week</p><input><button>Go</button></form></article>",
+        f"<article>{ARTICLE}<div class='user-comment-item first'><p>I like this, thanks</p></div></article>",
+        f"<article class='post comments-open'>{ARTICLE}<p style='color:red;Display : none'>no</p></article>",
+    ],
+)
+def test_forms_comments_and_styles(page: str) -> None:
+    assert mincut.main_text(page) == TEXT
+
+
+def test_formulas_and_headers_of_posts_are_text() -> None:
+    formula = "<math><mi>x</mi><annotation>\\x</annotation></math>"
+    assert mincut.main_text(f"<article><p>that {formula} holds</p></article>") == "that x holds"
+    assert mincut.main_text(f"<div class=post><header><h1>Title</h1></header>{ARTICLE}</div>") == f"Title\n{TEXT}"
+    assert mincut.main_text(f"<div id=content><header><h1>Site</h1></header>{ARTICLE}</div>") == TEXT
+
+
+def test_end_tags_without_a_start_are_passed_over() -> None:
+    page = "<font>" * 20_000 + ARTICLE + "</b><hr>" * 20_000
+    assert mincut.main_text(f"<article>{page}</article>") == TEXT
+
+
+def test_short_values_depend_on_the_key() -> None:
+    texts = {pii.pseudonymise("a@x.com", pii.Feistel(bytes([i]) * 16))[0] for i in range(40)}
+    assert len(texts) > 8 and "a@x.com" not in texts
+
+
+@pytest.mark.parametrize("size", [2, 3, 10, 26, 128])
+def test_one_place_is_permuted_and_found_again(size: int) -> None:
+    f = pii.Feistel(b"k" * 16)
+    new = [f.permute("x", [i], [size])[0] for i in range(size)]
+    assert sorted(new) == list(range(size))
+    assert all(f.permute("x", [n], [size], -1) == [i] and n != i for i, n in enumerate(new))
+
+
+@pytest.mark.parametrize(
+    "value",
+    [
+        "günther@x.de", "jean.dupont@exämple.com", "иван@пример.рф", "4111.1111.1111.1111",
+        "de89370400440532013000", "de89 3704 0044 0532 0130 00", "March 5, 2024", "5 March 2024", "912-70-1234",
+        "password: hunter2abc", "secret=deadbeef1", "token=abcdEfghij",
+    ],
+)
+def test_more_forms_of_values(value: str) -> None:
+    f = pii.Feistel(b"k" * 16)
+    text = f"Write to {value}, please"
+    new, found = pii.pseudonymise(text, f)
+    assert len(found) == 1 and value not in new
+    assert pii.pseudonymise(new, f, -1)[0] == text
+
+
+@pytest.mark.parametrize(
+    "text", ["password: required", "token: authentication", "at20 some more words of prose it is", "Mars 5, 2024", "March 32, 2024"]
+)
+def test_prose_stays(text: str) -> None:
+    assert pii.pseudonymise(text, pii.Feistel(b"k" * 16)) == (text, [])
+
+
+def test_a_currency_may_follow_an_iban() -> None:
+    new, found = pii.pseudonymise("DE89370400440532013000EUR 5", pii.Feistel(b"k" * 16))
+    assert [k for k, _ in found] == ["iban"] and new.endswith("EUR 5")

@@ -6,7 +6,7 @@ their SHA-256; a meeting counts if the full digests agree. The longest rule wins
 then by host, and a block goes before an allow for the same rule.
 
 Edge cases: a NULL URL or one without ``://`` has an empty host and path and fits no rule; an empty
-host fits none either; rules with a NULL host, path or verdict are left out; without rules, all
+host fits none either; an empty table gives no rows; rules with a NULL host, path or verdict are left out; without rules, all
 rows get the default verdict. Repeated rows are all judged, other columns pass through, and result
 names replace columns of the same name.
 """
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 RULE_COLUMNS = ("host", "path", "verdict")
+RESULTS = ("host", "path", "rule", "verdict")
 # Hex digits of the digest that the join runs on: four bytes.
 PREFIX_DIGITS = 8
 
@@ -94,8 +95,10 @@ def judge(
     lengths = rules.select(
         F.array_sort(F.collect_set(F.length("path"))).alias("lengths")
     ).scalar()
+    # The columns of the table travel as one value, so that none of their names can clash.
+    others = [c for c in df.columns if c not in RESULTS]
     named = df.select(
-        *[c for c in df.columns if c not in ("host", "path", "rule", "verdict")],
+        F.struct(*others).alias("others") if others else F.lit(None).alias("others"),
         host_of(F.col(url)).alias("host"),
         path_of(F.col(url)).alias("path"),
     )
@@ -120,15 +123,11 @@ def judge(
         .groupBy("host", "path")
         .agg(F.max(longest).alias("_best"))
     )
-    found = best.select(
-        F.col("host").alias("_host"),
-        F.col("path").alias("_path"),
-        F.col("_best.rule").alias("rule"),
-        F.col("_best.verdict").alias("verdict"),
-    )
-    same = (F.col("host") == F.col("_host")) & (F.col("path") == F.col("_path"))
-    return (
-        named.join(found, same, "left")
-        .drop("_host", "_path")
-        .withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    found = best.select("host", "path", "_best.rule", "_best.verdict")
+    return named.join(found, ["host", "path"], "left").select(
+        *[F.col("others")[c].alias(c) for c in others],
+        "host",
+        "path",
+        "rule",
+        F.coalesce("verdict", F.lit(default)).alias("verdict"),
     )

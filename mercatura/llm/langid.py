@@ -15,7 +15,8 @@ taken out of the counts it is judged by. Hosts are joined as one row each, so th
 summed up on the map side and its rows can be split.
 
 Edge cases: a NULL text counts as empty and says nothing; missing declarations, suffixes and hosts
-say nothing; a text without letters is ``und`` whatever else is known; ties go to the language
+say nothing; a text without letters is ``und`` whatever else is known, while a page without main text is
+judged by all it shows, and one that shows no letters by what else is known; ties go to the language
 first in the alphabet; equal rows get equal results; other columns pass through, and columns with
 the names of results are replaced. Without labelled text, everything is ``und``.
 More than ``MAX_LANGUAGES`` different labels raise ``ValueError``; nothing is lost silently.
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercatura.llm.mincut import main_text
+from mercatura.llm.mincut import blocks, main_text
 from mercatura.session import checkpointed
 
 BUCKET_BITS = 15
@@ -51,6 +52,8 @@ EVIDENCE_ROWS = 2.0
 # Per row: what its text says, and the counts it meets.
 _NUMBERS = ("_text", "_says", "_all", "_by_domain", "_by_host", "_with_suffix", "_with_declared")
 
+_EVIDENCE = ("_by_host", "_with_suffix", "_with_declared")
+
 RESULTS = ("language", "confidence", "text_language", "letters")
 
 _KEEP = np.zeros(256, bool)
@@ -122,6 +125,10 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang") -> Model
     return Model((*(name for name, _ in found), UNKNOWN), np.ascontiguousarray(np.array(logs).T))
 
 
+def _says_some(counts: object) -> bool:
+    return isinstance(counts, np.ndarray) and counts.sum() > 0
+
+
 def _softmax(logs: np.ndarray) -> np.ndarray:
     raised = np.exp(logs - logs.max(axis=-1, keepdims=True))
     return raised / raised.sum(axis=-1, keepdims=True)
@@ -157,6 +164,11 @@ def _posterior(rows: pd.DataFrame, size: int) -> np.ndarray:
     return _softmax(logs)
 
 
+def _words_of(page: str) -> str:
+    """A page's main text, or all it shows if nothing of it is main."""
+    return main_text(page) or "\n".join(block.text for block in blocks(page))
+
+
 def _with_likelihoods(df: DataFrame, model: Model, column: str, markup: bool) -> DataFrame:
     """``_text`` (log likelihoods), ``_says`` and ``letters`` in place of ``column``; from a page's
     main text if it is markup, and then ``_declared`` too.
@@ -172,7 +184,7 @@ def _with_likelihoods(df: DataFrame, model: Model, column: str, markup: bool) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [v or "" for v in batch.column(column).to_pylist()]
-            texts = map(main_text, values) if markup else values
+            texts = map(_words_of, values) if markup else values
             done = [model.likelihoods(t) for t in texts]
             arrays = [
                 *(batch.column(c) for c in kept),
@@ -255,15 +267,19 @@ def identify(
         for batch in batches:
             # Only the numbers become pandas; what passes through stays as it is.
             frame = pa.Table.from_batches([batch]).select([*_NUMBERS, "letters"]).to_pandas()
-            letters = frame["letters"].to_numpy() > 0
+            judged = frame["letters"].to_numpy() > 0
+            if markup:
+                # Of a page without letters, what else is known speaks.
+                judged |= np.array([[_says_some(v) for v in frame[name]] for name in _EVIDENCE], bool).any(axis=0)
             shares = _posterior(frame, size)
             says = np.stack(frame["_says"].to_numpy()) if len(frame) else np.zeros((0, size))
+            spoken = frame["letters"].to_numpy() > 0
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in kept),
-                    pa.array(np.where(letters, names[shares.argmax(axis=1)], UNKNOWN), pa.string()),
-                    pa.array(np.where(letters, shares.max(axis=1), 0.0), pa.float64()),
-                    pa.array(np.where(letters, names[says.argmax(axis=1)], UNKNOWN), pa.string()),
+                    pa.array(np.where(judged, names[shares.argmax(axis=1)], UNKNOWN), pa.string()),
+                    pa.array(np.where(judged, shares.max(axis=1), 0.0), pa.float64()),
+                    pa.array(np.where(spoken, names[says.argmax(axis=1)], UNKNOWN), pa.string()),
                     batch.column("letters"),
                 ],
                 [*kept, "language", "confidence", "text_language", "letters"],

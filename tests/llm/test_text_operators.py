@@ -496,3 +496,30 @@ def test_prose_stays(text: str) -> None:
 def test_a_currency_may_follow_an_iban() -> None:
     new, found = pii.pseudonymise("DE89370400440532013000EUR 5", pii.Feistel(b"k" * 16))
     assert [k for k, _ in found] == ["iban"] and new.endswith("EUR 5")
+
+
+def test_pages_without_main_text_are_judged_by_the_rest(spark, table) -> None:
+    model = langid.train(spark.read.parquet(f"{SAMPLE}/documents.parquet"))
+    german = spark.read.parquet(f"{SAMPLE}/documents.parquet").where("lang = 'de'").first()["text"]
+    pages = [
+        (i, f"<html lang=de><body><article>{german}</article></body></html>", "a.de") for i in range(6)
+    ] + [
+        (6, f"<html lang=de><body><nav><a href=x>{german}</a></nav></body></html>", "a.de"),
+        (7, "<html lang=de><body>12</body></html>", "a.de"),
+        (8, "<html><body>12</body></html>", "b.xx"),
+        (9, None, None),
+    ]
+    df = table(pages, "id int, html string, h string")
+    got = langid.identify(df, model, "html", markup=True, host=F.col("h"), suffix=langid.suffix_of(F.col("h")))
+    found = {r["id"]: (r["language"], r["text_language"]) for r in got.collect()}
+    assert found[6] == ("de", "de") and found[7] == ("de", "und")
+    assert found[8] == found[9] == ("und", "und")
+
+
+def test_url_columns_of_any_name_pass_through(table) -> None:
+    pages = table([("http://a.org/x", 1, 2, "old", 3)], "url string, _host int, _path int, host string, others int")
+    (row,) = urls.judge(pages, table(urls.RULES, "host string, path string, verdict string")).collect()
+    assert row.asDict() == {
+        "url": "http://a.org/x", "_host": 1, "_path": 2, "others": 3,
+        "host": "a.org", "path": "/x", "rule": "org/", "verdict": "allow",
+    }

@@ -11,22 +11,39 @@ over 2n k-grams is the lesser of two minima over n.
 
 Edge cases: a NULL or empty text has no entries; a shorter text than k is one k-gram; a text with
 fewer k-grams than a window is one window; texts are taken whole; equal texts have equal
-fingerprints; other columns pass through and a column named like the result is replaced.
-Columns with names that are used inside, which begin with an underscore, are dropped.
+fingerprints; an empty table gives no rows; other columns pass through, whatever their names, and a column
+named like the result is replaced. Keys may be NULL, repeated, and of any type that has an order.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercatura.session import checkpointed
+
 K = 12
 WINDOW = 16
 
 _POSITION_BITS = 31
 _LAST = (1 << _POSITION_BITS) - 1
-# Ranges of keys that neighbours are looked up in, as a power of two.
-_RANGE_BITS = 10
+# Neighbours are looked up in ranges of keys: at least so many, and more if they would hold more bytes of text.
+RANGES = 1024
+RANGE_BYTES = 256 << 20
+
+
+def _free(taken: Iterable[str], *names: str) -> list[str]:
+    """The names, longer by underscores where they are taken."""
+    used = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
 
 
 def entries(df: DataFrame, text: str, name: str, *, k: int = K, window: int = WINDOW) -> DataFrame:
@@ -42,19 +59,21 @@ def entries(df: DataFrame, text: str, name: str, *, k: int = K, window: int = WI
         high = F.shiftleft(F.shiftrightunsigned(F.xxhash64(gram), 64 - 31), _POSITION_BITS)
         return high + (F.lit(_LAST) - place)
 
-    kept = [F.col(c) for c in df.columns if c != name]
-    out = df.select(*kept, grams.alias("_grams"))
+    names = [c for c in df.columns if c != name]
+    kept = [F.col(c) for c in names]
+    all_grams, least, n = _free([*names, name], "grams", "least", "n")
+    out = df.select(*kept, grams.alias(all_grams))
     # Each step is a column of its own, so that none is computed twice.
-    out = out.select(*kept, F.transform("_grams", number).alias("_least"), F.size("_grams").alias("_n"))
+    out = out.select(*kept, F.transform(all_grams, number).alias(least), F.size(all_grams).alias(n))
     done = 1
     while done < window:
         step = min(done, window - done)
-        later = F.slice("_least", F.lit(step + 1), F.greatest(F.size("_least") - step, F.lit(0)))
+        later = F.slice(least, F.lit(step + 1), F.greatest(F.size(least) - step, F.lit(0)))
         # Beyond the end there is nothing, which is never the least.
-        least = F.zip_with("_least", later, lambda a, b: F.least(a, b))
-        out = out.select(*kept, least.alias("_least"), "_n")
+        lesser = F.zip_with(least, later, lambda a, b: F.least(a, b))
+        out = out.select(*kept, lesser.alias(least), n)
         done += step
-    whole_windows = F.slice("_least", F.lit(1), F.greatest(F.col("_n") - (window - 1), F.lit(1)))
+    whole_windows = F.slice(least, F.lit(1), F.greatest(F.col(n) - (window - 1), F.lit(1)))
     return out.select(*kept, F.array_distinct(whole_windows).alias(name))
 
 
@@ -87,51 +106,64 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either > 0, shared / either).otherwise(F.lit(1.0))
 
 
-def with_next(df: DataFrame, key: str, text: str, derive) -> DataFrame:
-    """Add ``next_...`` for each column of ``derive(df)``: the value in the next row by descending
-    ``key``, ties by text, NULL keys last, and the first row after the last.
+def _cuts(df: DataFrame, key: str, text: str) -> list:
+    """The least ``(key, hash of the text)`` of each range, in order: one row a range."""
+    narrow = checkpointed(
+        df.select(F.col(key).alias("key"), F.xxhash64(text).alias("tie"), F.octet_length(text).alias("size"))
+    )
+    total = narrow.agg(F.sum("size")).first()[0] or 0
+    spread = narrow.repartitionByRange(max(RANGES, -(-total // RANGE_BYTES)), "key", "tie")
+    firsts = spread.groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.struct("key", "tie")).alias("cut"))
+    return [row["cut"] for row in firsts.orderBy("cut").collect()]
 
-    The rows are cut into ranges of keys by approximate quantiles. Each range gets a copy of the
-    first row of the next one, so that no row's neighbour lies outside its range, and only one
-    range is ever sorted in one task.
-    """
-    ranges = 1 << _RANGE_BITS
-    shares = [i / ranges for i in range(1, ranges)]
-    # One row of numbers, as many as there are ranges.
-    found = df.select(F.percentile_approx(key, shares, 20 * ranges)).first()[0]
-    cuts = F.lit(found or [0] * len(shares))
-    # Binary search for the number of cuts that are not above the key.
-    steps = F.array(*[F.lit(1 << b) for b in reversed(range(_RANGE_BITS))])
-    place = F.aggregate(
+
+def _range_of(mark: Column, cuts: Column, n: int) -> Column:
+    """The number of cuts that are not above the mark, by binary search."""
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(n.bit_length()))])
+    # Beyond the last cut there is NULL, which nothing is above.
+    return F.aggregate(
         steps,
         F.lit(0),
-        lambda low, step: F.when(F.element_at(cuts, low + step) <= F.col(key), low + step).otherwise(low),
+        lambda low, step: F.when(F.get(cuts, low + step - 1) <= mark, low + step).otherwise(low),
     )
-    placed = df.withColumn("_range", F.when(F.col(key).isNull(), F.lit(-1)).otherwise(place))
+
+
+def with_next(df: DataFrame, key: str, text: str, derive) -> DataFrame:
+    """Add ``next_...`` for each column of ``derive(df)``: the value in the next row by descending
+    ``key``, NULL keys last, ties by the hash of the text, and the first row after the last.
+
+    The rows are cut into ranges of key and hash, so that a key that many rows have, or that they lack, is
+    spread over several ranges. Each range gets a copy of the first row of the next one, so that no row's
+    neighbour lies outside its range, and only one range is ever sorted in one task. Rows that are equal in
+    key and text are in one range.
+    """
+    at, guest, tie, top = _free(df.columns, "at", "guest", "tie", "top")
+    cuts = _cuts(df, key, text)
+    kind = df.schema[key].dataType
+    ends = F.array(*[F.struct(F.lit(k).cast(kind).alias("key"), F.lit(t).alias("tie")) for k, t in cuts])
+    tied = df.withColumn(tie, F.xxhash64(text))
+    mark = F.struct(F.col(key).alias("key"), F.col(tie).alias("tie"))
+    placed = tied.withColumn(at, _range_of(mark, ends, len(cuts)) if cuts else F.lit(0))
     # One row a range, so that broadcasting them is bounded and the texts need not move.
-    first_keys = placed.groupBy(F.col("_range").alias("_at")).agg(F.max(key).alias("_key"))
-    same = (F.col("_at") == F.col("_range")) & F.col("_key").eqNullSafe(F.col(key))
-    # The first row of each range by key and text.
+    tops = placed.groupBy(F.col(at).alias("range")).agg(F.max(mark).alias(top))
+    first = (F.col("range") == F.col(at)) & (F.col(top) == mark)
     heads = (
-        placed.join(F.broadcast(first_keys), same)
-        .groupBy("_range")
-        .agg(F.first("_key").alias(key), F.min(F.coalesce(F.col(text), F.lit(""))).alias(text))
-    )
-    downwards = Window.orderBy(F.desc("_range"))
-    lowest = Window.orderBy("_range")
-    guests = (
-        heads.withColumn("_before", F.lag("_range").over(downwards))
-        .withColumn("_lowest", F.first("_range").over(lowest))
-        .select(key, text, F.coalesce("_before", "_lowest").alias("_range"), F.lit(True).alias("_guest"))
+        placed.select(key, text, tie, at)
+        .join(F.broadcast(tops), first)
+        .groupBy(at, key, tie)
+        .agg(F.min(F.coalesce(F.col(text), F.lit(""))).alias(text))
     )
-    everything = placed.withColumn("_guest", F.lit(False)).unionByName(guests, allowMissingColumns=True)
-    ready = derive(everything.repartition("_range"))
-    order = Window.partitionBy("_range").orderBy("_guest", F.desc_nulls_last(key), F.coalesce(text, F.lit("")))
-    added = [c for c in ready.columns if c not in df.columns and not c.startswith("_")]
+    # No range is empty: each holds its own cut.
+    above = F.when(F.col(at) < len(cuts), F.col(at) + 1).otherwise(F.lit(1))
+    guests = heads.select(key, text, tie, above.alias(at), F.lit(True).alias(guest))
+    everything = placed.withColumn(guest, F.lit(False)).unionByName(guests, allowMissingColumns=True)
+    ready = derive(everything.repartition(at))
+    order = Window.partitionBy(at).orderBy(guest, F.desc_nulls_last(key), F.desc(tie), F.coalesce(text, F.lit("")))
+    added = [c for c in ready.columns if c not in everything.columns]
     return (
         ready.withColumns({f"next_{c}": F.lead(c).over(order) for c in (text, *added)})
-        .where(~F.col("_guest"))
-        .drop("_range", "_guest")
+        .where(~F.col(guest))
+        .drop(at, guest, tie)
     )
 
 
@@ -150,17 +182,18 @@ def edited_entries(
     start = F.greatest(kept - (k + 2 * window - 4), F.lit(1))
     sewn = F.substring(F.coalesce(F.col(following), F.lit("")), F.lit(1), half)
     columns = df.columns
+    begin, tail, rest = _free([*columns, edited, name], "begin", "tail", "rest")
     out = df.withColumns(
         {
-            "_start": start,
+            begin: start,
             edited: F.concat(F.substring(whole, F.lit(1), kept), sewn),
-            "_tail": F.concat(F.substring(whole, start, kept - start + 1), sewn),
+            tail: F.concat(F.substring(whole, start, kept - start + 1), sewn),
         }
     )
-    out = entries(out, "_tail", "_rest", k=k, window=window)
-    shift = F.col("_start") - 1
+    out = entries(out, tail, rest, k=k, window=window)
+    shift = F.col(begin) - 1
     before = F.filter(own, lambda e: position(e) < shift + F.when(shift > 0, F.lit(window - 1)).otherwise(F.lit(0)))
-    moved = F.transform("_rest", lambda e: e - shift)
+    moved = F.transform(rest, lambda e: e - shift)
     joined = F.array_distinct(F.concat(before, moved))
     return out.select(*columns, edited, joined.alias(name))
 

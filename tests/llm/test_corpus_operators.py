@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from datetime import date
 
 import duckdb
 import numpy as np
@@ -297,6 +298,40 @@ def test_fingerprint_edge_cases(spark, table, store):
     assert rows(Q.op7_fingerprints(spark, store(documents=table([], "doc_id long, text string")))) == []
 
 
+@pytest.mark.parametrize("kind", ["long", "string", "date"])
+def test_neighbours_of_hot_and_missing_keys(spark, monkeypatch, kind):
+    monkeypatch.setattr(winnow, "RANGES", 16)
+    rng = random.Random(3)
+    keys = [None] * 300 + [7] * 200 + [rng.randrange(400) for _ in range(100)]
+    df = spark.createDataFrame([(k, f"text {i}", i) for i, k in enumerate(keys)], "k int, t string, at int").select(
+        {"long": F.col("k").cast("long"), "string": F.format_string("%04d", "k"), "date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("k"))}[kind]
+        .alias("k"), "t", "at", F.lit(1).alias("_n"), F.lit(2).alias("guest"), F.lit(3).alias("Least"))
+    df = df.withColumn("k", F.when(F.col("k") != "null", F.col("k"))) if kind == "string" else df
+    sizes = []
+
+    def derive(rows):
+        sizes.extend(r["count"] for r in rows.groupBy(next(c for c in rows.columns if c.startswith("at") and c != "at")).count().collect())
+        return winnow.entries(rows, "t", "e")
+
+    got = winnow.with_next(df, "k", "t", derive).collect()
+    tie = dict(rows(df.select("t", F.xxhash64("t"))))
+    order = sorted(got, key=lambda r: (r["k"] is not None, r["k"] or keys_type(kind), tie[r["t"]]), reverse=True)
+    assert len(got) == len(keys) and max(sizes) < 120
+    for r, after in zip(order, order[1:] + order[:1]):
+        assert (r["next_t"], r["next_e"]) == (after["t"], after["e"])
+        assert (r["_n"], r["guest"], r["Least"]) == (1, 2, 3)
+
+
+def keys_type(kind):
+    return {"long": 0, "string": "", "date": date(1, 1, 1)}[kind]
+
+
+def test_entries_keep_columns_of_any_name(table):
+    df = table([(1, "a text of some length", 1, 2, 3, 4)], "id int, text string, _n int, grams int, _least int, N int")
+    (row,) = winnow.winnow(df).collect()
+    assert row.__fields__ == ["id", "text", "_n", "grams", "_least", "N", "fingerprint"] and row["grams"] == 2
+
+
 # Lines ---------------------------------------------------------------------------------------------------------
 
 

@@ -17,7 +17,8 @@ repetition, word shape), never ids, languages or sources.
 
 Edge cases: a NULL text counts as empty; an empty text has features and a score like any other;
 labels that contradict each other make a text untrusted; without any positive, scores are the
-middle, 0.5. Repeated rows are scored each; other columns pass through.
+middle, 0.5; an empty table gives no rows. Repeated rows are scored each; other columns pass through,
+whatever their names, and a column ``score`` is replaced.
 """
 
 from __future__ import annotations
@@ -249,8 +250,13 @@ def classify(
 ) -> DataFrame:
     """Add ``score`` in place of ``text``. ``trusted`` holds the keys of known good texts; all
     of ``docs`` is the unlabelled text."""
-    rows = checkpointed(add_features(docs.drop("features", "score"), text))
+    # A column of the name that is used inside gets another one until the end.
+    taken = {c.lower() for c in docs.columns}
+    clash = [c for c in docs.columns if c.lower() == "features" and c not in (key, text)]
+    spare = next(n for n in (f"features_{i}" for i in range(len(taken) + 1)) if n not in taken)
+    named = docs.drop("score").withColumnsRenamed({c: spare for c in clash})
+    rows = checkpointed(add_features(named, text))
     good = trusted.select(key).distinct()
     positive = rows.join(good, key, "left_semi")
     model = fit(positive, rows, prior=prior)
-    return scores(rows, model.weights)
+    return scores(rows, model.weights).withColumnsRenamed({spare: c for c in clash})

@@ -523,3 +523,10 @@ def test_url_columns_of_any_name_pass_through(table) -> None:
         "url": "http://a.org/x", "_host": 1, "_path": 2, "others": 3,
         "host": "a.org", "path": "/x", "rule": "org/", "verdict": "allow",
     }
+
+
+def test_a_column_named_features_passes_through(table) -> None:
+    docs = table([(1, "a text", "x", 5), (2, None, None, 6)], "doc_id long, text string, Features string, features_0 int")
+    got = quality.classify(docs, table([(1,)], "doc_id long"))
+    assert {r["doc_id"]: (r["Features"], r["features_0"]) for r in got.collect()} == {1: ("x", 5), 2: (None, 6)}
+    assert got.columns == ["doc_id", "Features", "features_0", "score"]

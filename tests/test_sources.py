@@ -333,6 +333,18 @@ def test_shared_folder_comes_from_the_session(spark):
     assert first.startswith(base) and first != second
 
 
+def test_a_shared_folder_needs_no_scheme_on_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(session, "_is_local", lambda spark: False)
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert "://" not in base
+    assert session.shared_dir(spark) == base
+    assert not list(Path(base).glob("probe-*"))
+    assert session.checkpointed(spark.range(3)).count() == 3
+    monkeypatch.setattr(session, "_is_shared", lambda spark, base: False)
+    with pytest.raises(ValueError, match="own disk"):
+        session.shared_dir(spark)
+
+
 # Streams ---------------------------------------------------------------------------------------------------
 
 

@@ -42,6 +42,13 @@ def bucket_skew(df: DataFrame, key: str, buckets: int) -> float:
     return 0.0 if not rows else largest * buckets / rows
 
 
+# A writer keeps all sizes that a row group's filter was tried in, and its footer, until it closes the file.
+# Where row groups are small, there are many of both, so filters get no larger than a quarter of the row
+# group (every value of four bytes another one, ten bits each) and files hold no more rows than this.
+FILE_ROWS = 1_000_000
+MOST_FILTER_BYTES = 1 << 20
+
+
 def lookup_options(keys: Iterable[str], row_group_bytes: int | None = None) -> dict[str, str]:
     """Writer options for Bloom filters as large as the values of a row group need.
 
@@ -53,6 +60,8 @@ def lookup_options(keys: Iterable[str], row_group_bytes: int | None = None) -> d
         options["parquet.bloom.filter.adaptive.enabled"] = "true"
     if row_group_bytes:
         options["parquet.block.size"] = str(row_group_bytes)
+        options["parquet.bloom.filter.max.bytes"] = str(min(max(row_group_bytes // 4, 1024), MOST_FILTER_BYTES))
+        options["maxRecordsPerFile"] = str(FILE_ROWS)
     return options
 
 

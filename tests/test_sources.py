@@ -284,6 +284,22 @@ def test_a_lookup_reads_few_row_groups(spark):
     assert layout.lookup_options([]) == {}
 
 
+def test_small_row_groups_leave_a_writer_little_to_keep(spark, monkeypatch):
+    monkeypatch.setattr(layout, "FILE_ROWS", 5_000, raising=False)
+    options = layout.lookup_options(["customer_id"], 30_000)
+    assert int(options["parquet.bloom.filter.max.bytes"]) <= 30_000 / 4
+    assert "maxRecordsPerFile" not in layout.lookup_options(["customer_id"])
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept_small")
+    orders = many_orders(spark)
+    layout.write_layout({"orders": orders}, 4, "kept_small", row_group_bytes=30_000)
+    layout.write_by_time(orders, "orders_by_time", database="kept_small", row_group_bytes=30_000)
+    for name in ("orders", "orders_by_time"):
+        stored = spark.table(f"kept_small.{name}").select(*orders.columns)
+        assert sorted(map(str, rows(stored))) == sorted(map(str, rows(orders)))
+        sizes = [r[0] for r in stored.groupBy(F.input_file_name()).count().select("count").collect()]
+        assert max(sizes) <= 5_000
+
+
 def test_jdbc_options():
     table = JdbcTable("jdbc:postgresql://db/shop", "orders", user="u", password="p")
     assert table.read_options() == {

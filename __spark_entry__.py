@@ -25,7 +25,7 @@ from mercatura.functions import (
 )
 from mercatura.operators import cleaning, quality
 from mercatura.operators.describe import box_outliers, describe
-from mercatura.operators.fanout import weighted, weighted_scores, with_review_weight
+from mercatura.operators.fanout import weighted_row, weighted_row_scores, with_review_weight
 from mercatura.operators.ranking import ntile
 from mercatura.operators.selection import SortKey, with_tiles
 from mercatura.plans import job, plots
@@ -146,16 +146,15 @@ def _left_join_reviews(t: StarSample) -> DataFrame:
     folded = t.order_items.groupBy("order_id", "product_id").agg(
         F.sum("price").alias("price"), F.count(F.lit(1)).alias("rows")
     )
-    score_sum, scores = weighted_scores("rows")
-    return (
-        with_review_weight(folded, t.order_reviews)
-        .groupBy("order_id", "product_id")
-        .agg(
-            weighted("rows").cast("long").alias("joined_rows"),
-            weighted("price").cast("double").alias("joined_price"),
-            score_sum.cast("long").alias("score_sum"),
-            scores.cast("long").alias("scores"),
-        )
+    # Each order and product is one row before the join and after it: nothing is left to add up.
+    score_sum, scores = weighted_row_scores("rows")
+    return with_review_weight(folded, t.order_reviews).select(
+        "order_id",
+        "product_id",
+        weighted_row("rows").cast("long").alias("joined_rows"),
+        weighted_row("price").cast("double").alias("joined_price"),
+        score_sum.cast("long").alias("score_sum"),
+        scores.cast("long").alias("scores"),
     )
 
 

@@ -54,12 +54,23 @@ def with_review_weight(
     )
 
 
+def weighted_row(column: str) -> Column:
+    """The amount of one row as often as the plain left join would repeat it."""
+    return F.col(column) * F.col("weight")
+
+
+def weighted_row_scores(rows: str) -> tuple[Column, Column]:
+    """What ``weighted_scores`` adds up, of one row."""
+    n = F.col(rows).cast(COUNT)
+    return F.col("score_sum") * n, F.col("scores") * n
+
+
 def weighted(column: str) -> Column:
     """Sum of an amount as the plain left join would give it."""
-    return F.sum(F.col(column) * F.col("weight"))
+    return F.sum(weighted_row(column))
 
 
 def weighted_scores(rows: str) -> tuple[Column, Column]:
     """Sum and count of scores when each of ``rows`` rows meets every review of its order."""
-    n = F.col(rows).cast(COUNT)
-    return F.sum(F.col("score_sum") * n), F.sum(F.col("scores") * n)
+    score_sum, scores = weighted_row_scores(rows)
+    return F.sum(score_sum), F.sum(scores)

@@ -453,3 +453,34 @@ def test_hot_product_is_split(stored, joins, conf):
         stored["products"], stored["order_items"], stored["order_reviews"], None, more_orders_than=0
     )
     assert "skew=true" in final_plan(report)
+
+
+def test_left_join_reviews_adds_up_once(spark):
+    """Values are those of the plain left join, and nothing is grouped again after the join."""
+    from types import SimpleNamespace
+
+    from __spark_entry__ import _left_join_reviews
+
+    items = spark.createDataFrame(
+        [(1, 7, "2.50"), (1, 7, "3.00"), (1, 8, None), (2, 7, "1.00"), (None, 7, "4.00"), (None, 7, "5.00"), (3, None, "6.00")],
+        "order_id long, product_id long, price string",
+    ).withColumn("price", F.col("price").cast("decimal(12,2)"))
+    reviews = spark.createDataFrame(
+        [(1, 5), (1, None), (1, 2), (2, None), (None, 4), (9, 1)], "order_id long, review_score int"
+    )
+    got = _left_join_reviews(SimpleNamespace(order_items=items, order_reviews=reviews))
+    want = (
+        items.join(reviews, "order_id", "left")
+        .groupBy("order_id", "product_id")
+        .agg(
+            F.count(F.lit(1)),
+            F.sum("price").cast("double"),
+            F.sum("review_score"),
+            F.count("review_score"),
+        )
+    )
+    found = sorted(map(str, rows(got)))
+    # An order with reviews but without a score has no sum, as in SQL.
+    assert found == sorted(map(str, rows(want)))
+    above = plan(got).split("Join")[0]
+    assert "Aggregate" not in above

@@ -61,19 +61,19 @@ def entries(df: DataFrame, text: str, name: str, *, k: int = K, window: int = WI
 
     names = [c for c in df.columns if c != name]
     kept = [F.col(c) for c in names]
-    all_grams, least, n = _free([*names, name], "grams", "least", "n")
-    out = df.select(*kept, grams.alias(all_grams))
-    # Each step is a column of its own, so that none is computed twice.
-    out = out.select(*kept, F.transform(all_grams, number).alias(least), F.size(all_grams).alias(n))
+    (least,) = _free([*names, name], "least")
+    # Each step is a column of its own, so that none is computed twice. The k-grams are not one: as they
+    # are looked at once, they need not be written anywhere.
+    out = df.select(*kept, F.transform(grams, number).alias(least))
     done = 1
     while done < window:
         step = min(done, window - done)
         later = F.slice(least, F.lit(step + 1), F.greatest(F.size(least) - step, F.lit(0)))
         # Beyond the end there is nothing, which is never the least.
         lesser = F.zip_with(least, later, lambda a, b: F.least(a, b))
-        out = out.select(*kept, lesser.alias(least), n)
+        out = out.select(*kept, lesser.alias(least))
         done += step
-    whole_windows = F.slice(least, F.lit(1), F.greatest(F.col(n) - (window - 1), F.lit(1)))
+    whole_windows = F.slice(least, F.lit(1), F.greatest(F.size(least) - (window - 1), F.lit(1)))
     return out.select(*kept, F.array_distinct(whole_windows).alias(name))
 
 
@@ -168,13 +168,24 @@ def with_next(df: DataFrame, key: str, text: str, derive) -> DataFrame:
 
 
 def edited_entries(
-    df: DataFrame, text: str, following: str, own: str, name: str, edited: str, *, k: int = K, window: int = WINDOW
+    df: DataFrame,
+    text: str,
+    following: str,
+    own: str,
+    name: str,
+    edited: str,
+    following_own: str | None = None,
+    *,
+    k: int = K,
+    window: int = WINDOW,
 ) -> DataFrame:
     """Add ``edited``, the text with its last ``floor(n / 2)`` code points replaced by as many
     from the start of ``following``, and ``name``, its entries.
 
     Windows that lie in the part both texts share choose what they choose in the text, so only
-    the rest is hashed again, from two windows before the change on.
+    the rest is hashed again, from two windows before the change on. With ``following_own``, the
+    entries of ``following``, windows that lie in the replacement choose what they choose there: only
+    those across the seam and the last ones, whose choices the cut may hide, are hashed again.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     half = F.floor(F.char_length(whole) / 2).cast("int")
@@ -182,19 +193,34 @@ def edited_entries(
     start = F.greatest(kept - (k + 2 * window - 4), F.lit(1))
     sewn = F.substring(F.coalesce(F.col(following), F.lit("")), F.lit(1), half)
     columns = df.columns
-    begin, tail, rest = _free([*columns, edited, name], "begin", "tail", "rest")
-    out = df.withColumns(
+    begin, seam, added, tail, rest, last, end, ending = _free(
+        [*columns, edited, name], "begin", "seam", "added", "tail", "rest", "last", "end", "ending"
+    )
+    out = df.withColumns({begin: start, seam: kept, added: sewn})
+    # The last whole window of the replacement, from 0; below 0, it is all hashed again.
+    out = out.withColumn(last, F.char_length(added) - (k + window - 1) if following_own else F.lit(-1))
+    across = F.when(F.col(last) >= 0, F.substring(added, F.lit(1), F.lit(k + window - 2))).otherwise(F.col(added))
+    # No window that begins before this one chooses behind the last.
+    final = F.greatest(F.col(last) - (window - 2), F.lit(0))
+    out = out.withColumns(
         {
-            begin: start,
-            edited: F.concat(F.substring(whole, F.lit(1), kept), sewn),
-            tail: F.concat(F.substring(whole, start, kept - start + 1), sewn),
+            edited: F.concat(F.substring(whole, F.lit(1), F.col(seam)), F.col(added)),
+            tail: F.concat(F.substring(whole, F.col(begin), F.col(seam) - F.col(begin) + 1), across),
+            end: F.when(
+                F.col(last) >= 0, F.substring(added, final + 1, F.char_length(added) - final)
+            ).otherwise(F.lit("")),
         }
-    )
+    ).drop(added)
     out = entries(out, tail, rest, k=k, window=window)
     shift = F.col(begin) - 1
     before = F.filter(own, lambda e: position(e) < shift + F.when(shift > 0, F.lit(window - 1)).otherwise(F.lit(0)))
-    moved = F.transform(rest, lambda e: e - shift)
-    joined = F.array_distinct(F.concat(before, moved))
+    parts = [before, F.transform(rest, lambda e: e - shift)]
+    if following_own:
+        out = entries(out, end, ending, k=k, window=window)
+        reused = F.filter(F.coalesce(following_own, F.array().cast("array<bigint>")), lambda e: position(e) <= F.col(last))
+        parts.append(F.transform(reused, lambda e: e - F.col(seam)))
+        parts.append(F.transform(ending, lambda e: e - (F.col(seam) + final)))
+    joined = F.array_distinct(F.concat(*parts))
     return out.select(*columns, edited, joined.alias(name))
 
 

@@ -279,6 +279,33 @@ def test_fingerprints(spark, store):
         assert r["near_next"] == pytest.approx(alike(chosen(text), chosen(whole[following[key]])))
 
 
+def test_an_edited_text_is_hashed_at_its_seam_and_end_only(spark, monkeypatch):
+    rng = random.Random(4)
+    sizes = [0, 1, 2, 11, 12, 26, 27, 52, 53, 54, 55, 56, 68, 80, 81, 82, 84, 90, 110, 140, 141, 200, 2000]
+    made = [("".join(rng.choices("ab\u00e9\U0001f600", k=n)), "".join(rng.choices("abc", k=m))) for n in sizes for m in sizes]
+    made += [("a" * n, "a" * n) for n in sizes] + [(None, "a" * 90), ("a" * 90, None)]
+    df = spark.createDataFrame([(i, *pair) for i, pair in enumerate(made)], "id int, t string, f string")
+    df = winnow.entries(winnow.entries(df, "t", "own"), "f", "theirs").localCheckpoint()
+    done = winnow.edited_entries(df, "t", "f", "own", "e", "edited", "theirs")
+    whole = winnow.entries(done, "edited", "plain")
+    assert [r["id"] for r in whole.where("NOT e <=> plain").collect()] == []
+    assert done.count() == len(made)
+
+    hashed, entries = [], winnow.entries
+
+    def counted(rows, text, name, **options):
+        hashed.append(rows.agg(F.coalesce(F.sum(F.char_length(text)), F.lit(0))).first()[0])
+        return entries(rows, text, name, **options)
+
+    monkeypatch.setattr(winnow, "entries", counted)
+    long = [(i, "".join(rng.choices("abcd ", k=4000))) for i in range(5)]
+    docs = spark.createDataFrame(long, "doc_id long, text string")
+    monkeypatch.setattr(Q, "table", lambda *_: docs)
+    assert Q.op7_fingerprints(spark, "").count() == 5
+    # The first are the texts themselves, with the first row of each range once more.
+    assert sum(hashed[1:]) <= 5 * 200
+
+
 def test_shared_passages_share_an_entry(spark, table):
     passage = "the guarantee is one window and a k-gram"[: winnow.K + winnow.WINDOW - 1]
     assert len(passage) == winnow.K + winnow.WINDOW - 1

@@ -349,6 +349,36 @@ def test_shared_folder_comes_from_the_session(spark):
     assert first.startswith(base) and first != second
 
 
+def test_a_cluster_without_a_checkpoint_folder_uses_the_warehouse(spark, monkeypatch):
+    class Context:
+        master = "local-cluster[3,4,1024]"
+        applicationId = "other"
+        defaultParallelism = 2
+        _jvm, _jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+        given = None
+
+        def getCheckpointDir(self):
+            return self.given
+
+        def setCheckpointDir(self, path):
+            self.given = path
+
+    class Session:
+        sparkContext, range, read = Context(), spark.range, spark.read
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return None if key == "spark.checkpoint.dir" else spark.conf.get(key, default)
+
+    base = session.shared_dir(Session())
+    assert base == f"{spark.conf.get('spark.sql.warehouse.dir')}/_mercatura" == Session.sparkContext.given
+    Session.sparkContext.given = None
+    monkeypatch.setattr(session, "_is_shared", lambda spark, base: False)
+    with pytest.raises(ValueError, match="every executor"):
+        session.shared_dir(Session())
+
+
 def test_a_shared_folder_needs_no_scheme_on_a_cluster(spark, monkeypatch):
     monkeypatch.setattr(session, "_is_local", lambda spark: False)
     base = spark.conf.get("spark.checkpoint.dir")

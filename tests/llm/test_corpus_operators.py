@@ -572,3 +572,57 @@ def test_words_may_run_together(spark, table):
     docs = [(10 * i + j, x) for i, pair in enumerate(pairs) for j, x in enumerate(pair)]
     got = {r["doc_id"]: r["n_removed"] for r in lines.dedupe_lines(table(docs, "doc_id long, text string")).collect()}
     assert [got[10 * i + 1] for i in range(3)] == [1, 1, 1]
+
+
+def test_rounds_of_few_pairs_leave_few_to_compare(spark, table, monkeypatch):
+    """Lines that all meet, in chains of edits: rounds merge their groups, and the same lines go."""
+    draw = random.Random(5)
+    docs, at = [], 0
+    for _ in range(3):
+        own = [draw.choice("abcdefghij") + str(draw.randrange(1000)) for _ in range(12)]
+        for _ in range(14):
+            own = list(own)
+            own[draw.randrange(12)] = draw.choice("klmnopqrst") + str(draw.randrange(1000))
+            docs.append((at, " ".join(own)))
+            at += 1
+    compared = []
+    pairs_of = lines._other_pairs
+
+    def counted(*args):
+        compared.append(pairs_of(*args).count())
+        return pairs_of(*args)
+
+    monkeypatch.setattr(lines, "_other_pairs", counted)
+
+    def lost():
+        got = lines.dedupe_lines(table(docs, "doc_id long, text string")).collect()
+        return sorted(r["doc_id"] for r in got if r["n_removed"])
+
+    monkeypatch.setattr(lines, "CROWDED", float("inf"))
+    plain = lost()
+    monkeypatch.setattr(lines, "CROWDED", 0)
+    assert lost() == plain and plain
+    assert compared[1] < compared[0]
+
+
+def test_counted_letters_hide_no_link(spark, table):
+    draw = random.Random(8)
+    docs = []
+    for i in range(60):
+        line = "".join(draw.choice("etaoin zqxé") for _ in range(draw.randrange(5, 40))).strip() or "x"
+        edited = list(line)
+        for _ in range(draw.randrange(0, 9)):
+            edited.insert(draw.randrange(len(edited) + 1), draw.choice("etaoinzqxé"))
+        docs += [(2 * i, line), (2 * i + 1, "".join(edited).strip())]
+    df = table(docs, "doc_id long, text string")
+    found = lines._lines(df, "doc_id", "text").groupBy("_h1", "_h2").agg(
+        F.min(F.struct("_key", "_text_hash", "_line")).alias("_first")
+    )
+    numbered = found.withColumn("node", F.col("_first._key"))
+    kept = [r["node"] for r in numbered.collect()]
+    nodes = spark.createDataFrame([(x, y) for x in kept for y in kept if x < y], "a long, b long")
+    plain, counted = (
+        sorted(rows(lines._linked(nodes, numbered, df, "doc_id", "text", lines.SIMILARITY, letters)))
+        for letters in ((), lines._COUNTED)
+    )
+    assert plain == counted and plain

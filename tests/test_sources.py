@@ -1,5 +1,6 @@
 """CSV reading, tables, layout, JDBC options, streams, the whole job, and the driver contract."""
 
+import time
 from decimal import Decimal
 from pathlib import Path
 
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from mercatura import session
 from mercatura.functions import elapsed, month_of, since_epoch
+from mercatura.llm import lines
 from mercatura.plans import job
 from mercatura.plans.products import category_analysis
 from mercatura.plans.sales import delivered_items, fold_to_orders, monthly_sales, monthly_totals
@@ -391,6 +393,29 @@ def test_a_shared_folder_needs_no_scheme_on_a_cluster(spark, monkeypatch):
         session.shared_dir(spark)
 
 
+def _shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for folder in manager.localDirsString() for f in Path(folder).rglob("shuffle_*") if f.is_file()}
+
+
+@pytest.mark.parametrize("store", ["checkpoint", "shelf"])
+def test_what_a_stored_table_shuffled_goes_at_once(spark, store):
+    before = _shuffle_files(spark)
+    option = spark.conf.get(session._CLEANUP, None)
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    shelf = lines._Shelf(spark)
+    done = session.checkpointed(df) if store == "checkpoint" else shelf.put(df)
+    # Held by the frames above, nothing else would delete them.
+    for _ in range(50):
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(session._CLEANUP, None) == option
+    assert sorted(rows(done)) == sorted(rows(df)) == sorted(rows(df))
+    shelf.clear()
+
+
 # Streams ---------------------------------------------------------------------------------------------------
 
 

@@ -626,3 +626,45 @@ def test_counted_letters_hide_no_link(spark, table):
         for letters in ((), lines._COUNTED)
     )
     assert plain == counted and plain
+
+
+def signed_lines(spark, table, docs):
+    df = table(docs, "doc_id long, text string")
+    return lines._signatures(df, "doc_id", "text").withColumn("node", F.monotonically_increasing_id()).withColumn("_n", F.lit(1))
+
+
+def test_band_keys_are_compiled(spark, table, request):
+    """Java interprets methods of over 8,000 bytes for ever."""
+    signed = signed_lines(spark, table, [(1, "a line of a few words"), (2, "another line")])
+    # Adaptive plans make their code when they run.
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.adaptive.enabled", before))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    codegen = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    for columns in ((), ("node", "_n")):
+        counts = lines._banded(signed, *columns).groupBy("key", *columns).count()
+        stages = codegen.codegenStringSeq(counts._jdf.queryExecution().executedPlan())
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+        assert sizes and max(sizes) <= 8_000
+
+
+def test_lines_that_are_not_near_are_no_pairs(spark, table):
+    """The marks are compared where lines meet, so the rows of that join are pairs of near lines."""
+    signed = signed_lines(spark, table, [(1, "a line of a few words"), (2, "another line")])
+    met = signed.select("node", "_n", (F.col("node") % 2).alias("key"))
+    plan = lines._first_pairs(met, signed.select("node", *lines._marks()), 0.8)._jdf.queryExecution().optimizedPlan().toString()
+    assert [x for x in plan.splitlines() if "Join Inner" in x and "bit_count" in x and "key" in x]
+
+
+def test_further_pairs_store_each_text_once(spark, table, monkeypatch):
+    docs = [(1, "one line of some words"), (2, "one line of some wards"), (3, "a line of other things")]
+    df = table(docs, "doc_id long, text string")
+    first = F.min(F.struct("_key", "_text_hash", "_line")).alias("_first")
+    found = lines._lines(df, "doc_id", "text").groupBy("_h1", "_h2").agg(first).select(F.col("_first._key").alias("node"), "_first")
+    stored = []
+    put = lines._Shelf.put
+    monkeypatch.setattr(lines._Shelf, "put", lambda self, df: (stored.append(df.columns), put(self, df))[1])
+    pairs = table([(1, 2), (1, 3), (2, 3)], "a long, b long")
+    got = rows(lines._linked(pairs, found, df, "doc_id", "text", lines.SIMILARITY, lines._COUNTED))
+    assert list(map(tuple, got)) == [(1, 2)]
+    assert [x for x in stored if "_norm" in x] and not [x for x in stored if "_x" in x]

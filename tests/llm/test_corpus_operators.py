@@ -656,6 +656,71 @@ def test_lines_that_are_not_near_are_no_pairs(spark, table):
     assert [x for x in plan.splitlines() if "Join Inner" in x and "bit_count" in x and "key" in x]
 
 
+def test_bands_in_parts_find_the_same(spark, table, monkeypatch):
+    """Rows by bands are stored one part of the bands after the other, pairs with their texts likewise."""
+    draw = random.Random(11)
+    docs = []
+    for i in range(30):
+        line = [draw.choice("abcdefghij") + str(draw.randrange(500)) for _ in range(draw.choice([2, 4, 12, 25]))]
+        docs.append((2 * i, " ".join(line)))
+        line[draw.randrange(len(line))] += "x"
+        docs.append((2 * i + 1, " ".join(line)))
+    df = table(docs, "doc_id long, text string")
+    signed = signed_lines(spark, table, docs)
+    whole = sorted(rows(lines._banded(signed, "node")))
+    assert whole == sorted(r for part in range(5) for r in rows(lines._banded(signed, "node", part=part, parts=5)))
+    put, most = lines._Shelf.put, []
+
+    def counted(self, df, *folders):
+        out = put(self, df, *folders)
+        if {"key", "_n"} <= set(df.columns):
+            most.append(out.count())
+        return out
+
+    monkeypatch.setattr(lines._Shelf, "put", counted)
+    plain = values(lines.dedupe_lines(df))
+    at_once = max(most)
+    monkeypatch.setattr(lines, "BANDED_AT_ONCE", 400)
+    monkeypatch.setattr(lines, "PAIRS_AT_ONCE", 1)
+    most.clear()
+    assert values(lines.dedupe_lines(df)) == plain
+    assert len(most) > 3 and max(most) < at_once / 2
+
+
+def test_lines_that_are_not_compared_are_not_shuffled(spark, table, monkeypatch):
+    docs = [(1, "one line of some words\n" + "\n".join(f"other line {i}" for i in range(40))), (2, "one line of some wards")]
+    df = table(docs, "doc_id long, text string")
+    first = F.min(F.struct("_key", "_text_hash", "_line")).alias("_first")
+    found = lines._lines(df, "doc_id", "text").groupBy("_h1", "_h2").agg(first).where("_first._line = 0")
+    found = found.select(F.col("_first._key").alias("node"), "_first")
+    split, let_through = lines._split, []
+
+    def watched(*args):
+        out = split(*args)
+        let_through.append(out.where("_may").count())
+        return out
+
+    monkeypatch.setattr(lines, "_split", watched)
+    pairs = table([(1, 2)], "a long, b long")
+    assert rows(lines._linked(pairs, found, df, "doc_id", "text", lines.SIMILARITY)) == [(1, 2)]
+    columns = lines._lines(df, "doc_id", "text").count()
+    assert columns == 42 and let_through == [2]
+
+
+def test_rows_with_marks_are_compiled(spark, table, request):
+    signed = signed_lines(spark, table, [(1, "a line of a few words"), (2, "another line")])
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.adaptive.enabled", before))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    codegen = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    bitmaps = lines._repeated(signed, 0, 1)
+    marked = lines._held(lines._held(lines._banded(signed, "node", "_n", *lines._marks()), bitmaps), bitmaps)
+    for df in (marked, lines._facing(marked, 0.8)):
+        stages = codegen.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+        assert sizes and max(sizes) <= 8_000
+
+
 def test_further_pairs_store_each_text_once(spark, table, monkeypatch):
     docs = [(1, "one line of some words"), (2, "one line of some wards"), (3, "a line of other things")]
     df = table(docs, "doc_id long, text string")
